@@ -108,30 +108,30 @@ class OrderedGroups:
         upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         local = df.select(
-            "*", F.row_number().over(ordered).cast("bigint").alias("_rn"),
-            F.lead(F.lit(1)).over(ordered).isNull().alias("_last"),
-            *[F.sum(c).over(upto).alias(f"_r_{n}") for n, c in running.items()],
-            *[F.sum(c).over(whole).alias(f"_t_{n}") for n, c in total.items()],
-            *[F.lag(c).over(ordered).alias(f"_p_{n}") for n, c in lag.items()],
-            *[F.lead(c).over(ordered).alias(f"_n_{n}") for n, c in lead.items()])
+            "*", F.row_number().over(ordered).cast("bigint").alias("_og_rn"),
+            F.lead(F.lit(1)).over(ordered).isNull().alias("_og_last"),
+            *[F.sum(c).over(upto).alias(f"_og_r_{n}") for n, c in running.items()],
+            *[F.sum(c).over(whole).alias(f"_og_t_{n}") for n, c in total.items()],
+            *[F.lag(c).over(ordered).alias(f"_og_p_{n}") for n, c in lag.items()],
+            *[F.lead(c).over(ordered).alias(f"_og_n_{n}") for n, c in lead.items()])
 
         edge = F.struct(*self.order)
         prev_vals = F.struct(F.lit(1).alias("_"), *[F.col(c).alias(n) for n, c in lag.items()])
         next_vals = F.struct(F.lit(1).alias("_"), *[F.col(c).alias(n) for n, c in lead.items()])
         chunks = (df.filter("_hot").groupBy(*by).agg(
-            F.count(F.lit(1)).alias("_cnt"),
-            *[F.sum(c).alias(f"_cr_{n}") for n, c in running.items()],
-            *[F.sum(c).alias(f"_ct_{n}") for n, c in total.items()],
-            F.max_by(prev_vals, edge).alias("_tail"), F.min_by(next_vals, edge).alias("_head")))
+            F.count(F.lit(1)).alias("_og_cnt"),
+            *[F.sum(c).alias(f"_og_cr_{n}") for n, c in running.items()],
+            *[F.sum(c).alias(f"_og_ct_{n}") for n, c in total.items()],
+            F.max_by(prev_vals, edge).alias("_og_tail"), F.min_by(next_vals, edge).alias("_og_head")))
         # one row per chunk of a hot key: a few thousand rows per key at most
         across = Window.partitionBy(*self.keys).orderBy("_chunk")
         before = across.rowsBetween(Window.unboundedPreceding, -1)
         everything = across.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         carry = chunks.select(
-            *by, F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_before"),
-            *[F.sum(f"_cr_{n}").over(before).alias(f"_b_{n}") for n in running],
-            *[F.sum(f"_ct_{n}").over(everything).alias(f"_g_{n}") for n in total],
-            F.lag("_tail").over(across).alias("_tail"), F.lead("_head").over(across).alias("_head"))
+            *by, F.coalesce(F.sum("_og_cnt").over(before), F.lit(0)).alias("_og_before"),
+            *[F.sum(f"_og_cr_{n}").over(before).alias(f"_og_b_{n}") for n in running],
+            *[F.sum(f"_og_ct_{n}").over(everything).alias(f"_og_g_{n}") for n in total],
+            F.lag("_og_tail").over(across).alias("_og_tail"), F.lead("_og_head").over(across).alias("_og_head"))
         joined = _null_safe_join(local, carry, by, "left")
 
         def carried(local_name, carry_name):
@@ -141,13 +141,13 @@ class OrderedGroups:
         out = [c for c in df.columns]
         cols = [F.col(c) for c in out]
         if row_number:
-            cols.append((F.col("_rn") + F.coalesce(F.col("_before"), F.lit(0))).alias(row_number))
-        cols += [carried(f"_r_{n}", f"_b_{n}").alias(n) for n in running]
-        cols += [F.when(F.col("_hot"), F.col(f"_g_{n}")).otherwise(F.col(f"_t_{n}")).alias(n) for n in total]
-        cols += [F.when(F.col("_hot") & (F.col("_rn") == 1), F.col(f"_tail.{n}"))
-                 .otherwise(F.col(f"_p_{n}")).alias(n) for n in lag]
-        cols += [F.when(F.col("_hot") & F.col("_last"), F.col(f"_head.{n}"))
-                 .otherwise(F.col(f"_n_{n}")).alias(n) for n in lead]
+            cols.append((F.col("_og_rn") + F.coalesce(F.col("_og_before"), F.lit(0))).alias(row_number))
+        cols += [carried(f"_og_r_{n}", f"_og_b_{n}").alias(n) for n in running]
+        cols += [F.when(F.col("_hot"), F.col(f"_og_g_{n}")).otherwise(F.col(f"_og_t_{n}")).alias(n) for n in total]
+        cols += [F.when(F.col("_hot") & (F.col("_og_rn") == 1), F.col(f"_og_tail.{n}"))
+                 .otherwise(F.col(f"_og_p_{n}")).alias(n) for n in lag]
+        cols += [F.when(F.col("_hot") & F.col("_og_last"), F.col(f"_og_head.{n}"))
+                 .otherwise(F.col(f"_og_n_{n}")).alias(n) for n in lead]
         return joined.select(*cols)
 
 
