@@ -1,3 +1,3 @@
 """All named queries with their comparison SQL."""
-from . import series, text  # noqa: F401
+from . import series, text, timeline  # noqa: F401
 from .registry import ORACLE, QUERIES  # noqa: F401
