@@ -1,6 +1,8 @@
 """Rule-based choice of one good frame per clip from per-frame detections."""
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,7 +58,7 @@ def persistence_gate(placed: DataFrame, keys: list[str], fps: float) -> DataFram
         n.alias("total"), (single / n).alias("single_share"), (many / n).alias("multiple_share"),
         moves.alias("transitions"), jumps.alias("jumps"))
     continuity = F.when(F.col("transitions") > 0, 1 - F.col("jumps") / F.col("transitions")).otherwise(F.lit(0.0))
-    needed = max(K.MIN_ROWS, -(-int(fps * 1000) // 2000))
+    needed = max(K.MIN_ROWS, math.ceil(fps * 0.5))
     out = out.withColumn("continuity", continuity)
     return out.withColumn("approved", (F.col("total") >= needed) & (F.col("single_share") >= K.PERSISTENCE_MIN)
                           & (F.col("multiple_share") <= K.MULTIPLE_MAX)
