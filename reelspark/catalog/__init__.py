@@ -1,3 +1,3 @@
 """All named queries with their comparison SQL."""
-from . import plans, series, text, timeline  # noqa: F401
+from . import folds, plans, selection, series, streams, text, timeline  # noqa: F401
 from .registry import ORACLE, QUERIES  # noqa: F401

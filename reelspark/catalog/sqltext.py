@@ -58,8 +58,7 @@ def has_verb(x):
 
 
 def close_sentence(x):
-    t = f"regexp_replace({x}, '[ ,;:]+$', '')"
-    return f"(CASE WHEN regexp_matches({t}, '[.!?…]$') THEN {t} ELSE {t} || '.' END)"
+    return f"regexp_replace(rtrim({x}, ' ,;:'), '([^.!?…])\\z', '\\1.')"
 
 
 def strip_html(x):

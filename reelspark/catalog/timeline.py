@@ -140,17 +140,17 @@ def segments(spark, d):
     return T.segments(t.select("script_id", "idx"), t.filter("own_scene").select("script_id", "idx"), ["script_id"], "idx")
 
 
-@query("boundary_issues", with_views("takes_v", extra="""c AS (SELECT script_id, idx, lpad(CAST(idx AS VARCHAR), 2, '0') AS label FROM takes_v),
-  b AS (SELECT script_id, label FROM c WHERE idx % 3 <> 0 UNION ALL SELECT script_id, label FROM c WHERE idx = 2 UNION ALL SELECT script_id, 'x' || label FROM c WHERE idx = 4
+@query("boundary_issues", with_views("takes_v", extra="""c AS (SELECT script_id, idx, own_scene, take_type, lpad(CAST(idx AS VARCHAR), 2, '0') AS label FROM takes_v),
+  b AS (SELECT script_id, label FROM c WHERE own_scene UNION ALL SELECT script_id, label FROM c WHERE take_type = 'habla' UNION ALL SELECT script_id, 'x' || label FROM c WHERE idx = 4
     UNION ALL SELECT script_id, '98' FROM c WHERE idx = 5),
   m AS (SELECT script_id, label, count(*) AS times FROM b GROUP BY ALL)""") + """SELECT script_id, label, 'duplicate' AS issue FROM m WHERE times > 1
   UNION ALL SELECT script_id, label, 'malformed' FROM m WHERE NOT regexp_full_match(label, '[0-9]{2}')
   UNION ALL SELECT script_id, label, 'unknown_clip' FROM m WHERE (script_id, label) NOT IN (SELECT (script_id, label) FROM c)
   UNION ALL SELECT script_id, label, 'before_first' FROM m WHERE label = '01'""")
 def boundary_issues(spark, d):
-    c = takes(spark, d).select("script_id", "idx", F.lpad(F.col("idx").cast("string"), 2, "0").alias("label"))
+    c = takes(spark, d).select("script_id", "idx", "own_scene", "take_type", F.lpad(F.col("idx").cast("string"), 2, "0").alias("label"))
     s = lambda where, label: c.filter(where).select("script_id", label.alias("label"))
-    b = (s("idx % 3 <> 0", F.col("label")).unionByName(s("idx = 2", F.col("label")))
+    b = (s("own_scene", F.col("label")).unionByName(s("take_type = 'habla'", F.col("label")))
          .unionByName(s("idx = 4", F.concat(F.lit("x"), "label"))).unionByName(s("idx = 5", F.lit("98"))))
     return T.boundary_issues(c, b, ["script_id"], "idx")
 

@@ -68,7 +68,7 @@ def frames_that_fit(width, height, free_mib) -> Column:
         F.greatest(F.lit(K.FRAMES_MIN), ladder_floor(raw))).cast("int")
 
 
-def one_take_format(n_words, free_mib=F.lit(K.MIB_BUDGET)) -> Column:
+def one_take_format(n_words, free_mib=K.MIB_BUDGET) -> Column:
     """Struct of frames, width and height at which this many words fit in one take."""
     raw = F.floor((F.rint(spoken_seconds(n_words) * K.FPS) - K.LADDER_BASE) / K.LADDER_STEP)
     frames = (raw + 1) * K.LADDER_STEP + K.LADDER_BASE

@@ -11,11 +11,12 @@ from . import constants as K
 # Whitespace as Unicode text defines it, spelled out so that every engine agrees.
 WS = (r"[\t-\r\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
       r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+WS_CHARS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+ODD_WS = WS.replace(r"\x{20}", r"\x{1F}")
+IRREGULAR_WS = f" {WS}+|{ODD_WS}{WS}*"
 WORD = r"[\p{L}\p{N}_]"
 NOT_WORD = r"[^\p{L}\p{N}_]"
-HELD_DOT = "\ue000"
 QUOTES = " \t«»\"'“”"
-EDGE_QUOTES = r"""^[ \t«»"'“”]+|[ \t«»"'“”]+$"""
 
 
 def _fold_table() -> tuple[str, str]:
@@ -37,22 +38,25 @@ FOLD_FROM, FOLD_TO = _fold_table()
 
 
 def _c(x) -> Column:
-    return F.col(x) if isinstance(x, str) else x
+    return F.col(x) if isinstance(x, str) else x if isinstance(x, Column) else F.lit(x)
 
 
 def let(value: Column, body):
-    """Bind an expression once inside a lambda-heavy expression."""
+    """Bind an expression once.
+
+    A lambda body evaluates whatever it captures again for every element, so anything that is
+    not a plain column is bound before it is used inside one.
+    """
     return F.transform(F.array(value), body)[0]
 
 
 def squish(x) -> Column:
-    """Collapse whitespace and trim."""
-    one = F.regexp_replace(F.coalesce(_c(x), F.lit("")), WS + "+", " ")
-    return F.trim(one)
+    """Collapse whitespace and trim.  Only runs and unusual blanks are rewritten."""
+    return F.trim(F.regexp_replace(F.coalesce(_c(x), F.lit("")), IRREGULAR_WS, " "))
 
 
 def strip_ws(x) -> Column:
-    return F.regexp_replace(_c(x), f"^{WS}+|{WS}+$", "")
+    return F.btrim(_c(x), F.lit(WS_CHARS))
 
 
 def words(x) -> Column:
@@ -63,6 +67,12 @@ def word_count(x) -> Column:
     return F.size(words(x))
 
 
+def squished_count(x) -> Column:
+    """Number of words of a text whose words are separated by single blanks."""
+    t = _c(x)
+    return F.when(t == "", 0).otherwise(F.length(t) - F.length(F.replace(t, F.lit(" "), F.lit(""))) + 1)
+
+
 def fold_accents(x) -> Column:
     """Lower case without diacritics."""
     lowered = F.translate(F.lower(F.coalesce(_c(x), F.lit(""))), FOLD_FROM, FOLD_TO)
@@ -85,17 +95,17 @@ def strip_html(x) -> Column:
 
 def sentences(x, abbreviations: str | None = K.ABBREVIATIONS, ends: str = ".!?…",
               strip_quotes: bool = True) -> Column:
-    """Split into sentences; a dot that belongs to an abbreviation does not end one."""
-    t = squish(x)
-    if abbreviations:
-        t = F.regexp_replace(t, rf"(?iu)(^|{NOT_WORD})({abbreviations})\.", "$1$2" + HELD_DOT)
-    parts = F.split(t, rf"(?<=[{ends}]) ")
-
-    def tidy(p):
-        p = F.replace(p, F.lit(HELD_DOT), F.lit("."))
-        return F.regexp_replace(p, EDGE_QUOTES, "") if strip_quotes else F.trim(p)
+    """Split into sentences; a dot that belongs to an abbreviation does not end one.
 
-    return F.filter(F.transform(parts, tidy), lambda p: p != "")
+    The split looks back from each blank, so the text is scanned once.  Words inside a
+    sentence are separated by single blanks.
+    """
+    boundary = f" (?<=[{ends}] )"
+    if abbreviations:
+        boundary += rf"(?<!(?:^|{NOT_WORD})(?iu:{abbreviations})\. )"
+    edge = QUOTES if strip_quotes else " "
+    return F.filter(F.transform(F.split(squish(x), boundary), lambda p: F.btrim(p, F.lit(edge))),
+                    lambda p: p != "")
 
 
 _STEM = "^(.{4,}?)(?:" + "|".join(K.SUFFIXES) + ")$"
@@ -131,45 +141,58 @@ VERB_PATTERN = verb_pattern()
 
 
 def has_verb(x) -> Column:
-    return F.lower(F.coalesce(_c(x), F.lit(""))).rlike(VERB_PATTERN)
+    """Some finite verb: a listed form, or a long enough word with a verb ending."""
+    listed = sorted(set(K.VERB_FORMS))
+
+    def is_verb(w):
+        ending = F.lit(False)
+        for e in K.VERB_ENDINGS:
+            ending = ending | w.endswith(e)
+        return w.isin(listed) | ((F.length(w) >= K.VERB_MIN_LENGTH) & ending)
+
+    lowered = F.lower(F.coalesce(_c(x), F.lit("")))
+    return F.exists(F.regexp_extract_all(lowered, F.lit(WORD + "+"), F.lit(0)), is_verb)
 
 
 def close_sentence(x) -> Column:
-    t = F.regexp_replace(_c(x), "[ ,;:]+$", "")
-    return F.when(t.rlike("[.!?…]$"), t).otherwise(F.concat(t, F.lit(".")))
+    t = F.rtrim(_c(x), F.lit(" ,;:"))
+    return F.regexp_replace(t, r"([^.!?…])\z", "$1.")
 
 
 _MARKER = "^(" + "|".join(K.TAIL_MARKERS) + ") "
 
 
-def shorten(sentence, cap: int, minimum: int) -> Column:
+def shorten(sentence, cap, minimum) -> Column:
     """Longest prefix of at most `cap` words that still reads as a sentence, or null.
 
     A cut is legal before a marker word, needs a verb in front of it and must not
     end in a word that asks for more.  A list is never cut at its conjunction.
     """
-    def build(ws):
-        folded = F.transform(ws, fold_accents)
-        first_verb = F.array_position(F.transform(ws, has_verb), True)
+    cap, minimum = _c(cap), _c(minimum)
 
-        def legal(n, fd, fv):
-            last = F.regexp_replace(F.element_at(fd, n), r"^[.,;:()]+|[.,;:()]+$", "")
-            after = F.concat(F.array_join(F.slice(fd, n + 1, 3), " "), F.lit(" "))
-            recent = F.slice(ws, F.greatest(n - 2, F.lit(1)), F.least(n, F.lit(3)))
-            in_list = F.element_at(fd, n + 1).isin(list(K.LIST_MARKERS)) & (
-                last.rlike("^[0-9.,%]+$") | F.exists(recent, lambda w: w.endswith(",")))
-            return (after.rlike(_MARKER) & ~last.isin(K.FORBIDDEN_ENDINGS)
-                    & (fv > 0) & (fv <= n) & ~in_list)
+    def legal(n, ws, fd):
+        last = F.btrim(F.element_at(fd, n), F.lit(".,;:()"))
+        after = F.concat(F.array_join(F.slice(fd, n + 1, 3), " "), F.lit(" "))
+        recent = F.slice(ws, F.greatest(n - 2, F.lit(1)), F.least(n, F.lit(3)))
+        in_list = F.element_at(fd, n + 1).isin(list(K.LIST_MARKERS)) & (
+            last.rlike("^[0-9.,%]+$") | F.exists(recent, lambda w: w.endswith(",")))
+        return after.rlike(_MARKER) & ~last.isin(K.FORBIDDEN_ENDINGS) & ~in_list
 
-        cuts = let(
-            F.struct(folded.alias("fd"), first_verb.alias("fv")),
-            lambda s: F.filter(F.sequence(F.lit(minimum), F.lit(cap)),
-                               lambda n: legal(n, s["fd"], s["fv"])))
-        best = F.array_max(cuts)
-        return F.when(F.size(ws) <= cap, close_sentence(F.array_join(ws, " "))).otherwise(
-            close_sentence(F.array_join(F.slice(ws, 1, best), " ")))
+    def cut(ws):
+        folded = F.split(fold_accents(F.array_join(F.slice(ws, 1, cap + 3), " ")), " ")
+        cuts = let(folded, lambda fd: F.filter(F.sequence(minimum, cap), lambda n: legal(n, ws, fd)))
 
-    return let(words(sentence), build)
+        def with_verb(ns):
+            # the first verb decides: every later cut has it in front
+            first = F.array_position(F.transform(F.slice(ws, 1, F.array_max(ns)), has_verb), True)
+            return F.when(F.size(ns) > 0, let(first, lambda p: F.when(
+                p > 0, F.array_max(F.filter(ns, lambda n: n >= p)))))
+
+        best = let(cuts, with_verb)
+        return let(best, lambda n: F.when(n.isNotNull(), close_sentence(F.array_join(F.slice(ws, 1, n), " "))))
+
+    return let(words(sentence), lambda ws: F.when(
+        F.size(ws) <= cap, close_sentence(F.array_join(ws, " "))).otherwise(cut(ws)))
 
 
 def repeated_prefix(unit_tokens, said: Column, minimum: int = K.LITERAL_REPEAT_TOKENS) -> Column:
@@ -235,6 +258,9 @@ def wrap_lines(x, width: int = K.CAPTION_WIDTH) -> Column:
 
 def group_lines(lines: Column, size: int = K.CAPTION_LINES) -> Column:
     """Consecutive groups of at most `size` lines, each joined by a line break."""
-    starts = F.filter(F.sequence(F.lit(0), F.greatest(F.size(lines) - 1, F.lit(0))),
-                      lambda i: (i % size == 0) & (i < F.size(lines)))
-    return F.transform(starts, lambda i: F.array_join(F.slice(lines, i + 1, size), "\n"))
+    def build(ls):
+        starts = F.filter(F.sequence(F.lit(0), F.greatest(F.size(ls) - 1, F.lit(0))),
+                          lambda i: (i % size == 0) & (i < F.size(ls)))
+        return F.transform(starts, lambda i: F.array_join(F.slice(ls, i + 1, size), "\n"))
+
+    return let(lines, build)

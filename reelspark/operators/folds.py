@@ -22,7 +22,6 @@ def pack(sentences: Column, seconds: float) -> Column:
     """
     cap = int(seconds * K.WORDS_PER_SECOND)
     kind = "struct<done:array<struct<first:int,last:int,n_words:int>>,first:int,last:int,n:int>"
-    sizes = F.transform(sentences, X.word_count)
     zero = F.lit(None).cast(kind)
 
     def step(acc, i, n):
@@ -47,7 +46,7 @@ def pack(sentences: Column, seconds: float) -> Column:
             F.array_join(F.slice(sents, s["first"] + 1, s["last"] - s["first"] + 1), " ").alias("text"),
             s["n_words"].alias("n_words")))
 
-    return let(F.struct(sentences.alias("s"), sizes.alias("n")), lambda b: fold(b["s"], b["n"]))
+    return let(sentences, lambda s: let(F.transform(s, X.squished_count), lambda n: fold(s, n)))
 
 
 def packed_units(df: DataFrame, key: str, text: str, seconds: float) -> DataFrame:
@@ -64,3 +63,180 @@ def priced_documents(df: DataFrame, key: str, text: str, seconds: float) -> Data
             .select(key, F.size("u").cast("bigint").alias("n_units"), total("n_words").alias("n_words"),
                     total("frames").alias("frames"))
             .withColumn("seconds", F.round(F.col("frames") / K.FPS, 6)))
+
+
+# --- already-said filter ---------------------------------------------------------------
+_STRINGS = "cast(array() as array<string>)"
+
+
+def novelty(stems: Column, said: Column) -> Column:
+    """Struct of fresh stems, repeated share and whether the sentence is skipped.
+
+    The share is measured against the smaller of the two sets, so a long sentence that repeats
+    a whole headline does not hide behind its own words.
+    """
+    n = F.size(stems)
+    base = F.when(F.size(said) > 0, F.least(n, F.size(said))).otherwise(n)
+    return let(F.size(F.array_except(stems, said)), lambda fresh: let(
+        F.when(base > 0, (n - fresh) / base).otherwise(F.lit(0.0)), lambda share: F.struct(
+            fresh.alias("fresh"), share.alias("repeated"),
+            ((n > 0) & ((fresh < K.NEW_STEMS_MIN) | (share >= K.REPEAT_SHARE_MAX))).alias("skip"))))
+
+
+def novelty_filter(df: DataFrame, key: str, text: str) -> DataFrame:
+    """Keep or skip each sentence of a document by what was kept before it."""
+    units = F.transform(X.sentences(text), lambda s: F.struct(s.alias("sentence"), X.content_set(s).alias("stems")))
+    zero = F.expr(f"named_struct('said', {_STRINGS}, 'out', cast(array() as array<struct<sentence:string,fresh:int,"
+                  "repeated:double,skip:boolean>>))")
+
+    def step(acc, u):
+        return let(novelty(u["stems"], acc["said"]), lambda v: F.struct(
+            F.when(v["skip"], acc["said"]).otherwise(F.array_union(acc["said"], u["stems"])).alias("said"),
+            F.array_append(acc["out"], F.struct(u["sentence"].alias("sentence"), v["fresh"].alias("fresh"),
+                                                v["repeated"].alias("repeated"), v["skip"].alias("skip"))).alias("out")))
+
+    folded = df.select(key, F.aggregate(units, zero, step, lambda acc: acc["out"]).alias("_o"))
+    return folded.select(key, F.posexplode("_o").alias("_p", "o")).select(
+        key, (F.col("_p") + 1).alias("idx"), "o.sentence", "o.fresh", "o.repeated", "o.skip")
+
+
+# --- whole plan --------------------------------------------------------------------------
+_TAKE = "struct<text:string,n_words:int,frames:int>"
+_WARN = "struct<kind:string,detail:string>"
+_STATE = (f"named_struct('said', {_STRINGS}, 'spoken', ' ', 'open', {_STRINGS}, 'n_open', 0, "
+          f"'takes', cast(array() as array<{_TAKE}>), 'seconds', 0.0D, 'warnings', cast(array() as array<{_WARN}>), "
+          "'stop', false)")
+_FIELDS = ("said", "spoken", "open", "n_open", "takes", "seconds", "warnings", "stop")
+
+
+def _with(acc: Column, **changes: Column) -> Column:
+    return F.struct(*[(changes[f] if f in changes else acc[f]).alias(f) for f in _FIELDS])
+
+
+def _warned(acc: Column, kind: str, detail: Column) -> Column:
+    return F.array_append(acc["warnings"], F.struct(F.lit(kind).alias("kind"), detail.alias("detail")))
+
+
+def plan_column(headline, body, max_seconds, target_seconds, max_units: int = K.MAX_UNITS,
+                max_frames=K.FRAMES_MAX, one_take: bool = False) -> Column:
+    """Plan of one document as struct(takes, seconds, warnings).
+
+    Sentences are shortened where they do not fit, skipped when already said, pruned when they
+    open with a run said before, and packed into takes whose length follows their words.  What
+    is said is chosen against a fixed reference length, so a longer take never changes the text.
+    All limits may be columns.
+    """
+    top_frames = X._c(max_frames)
+    limit = F.least(X._c(max_seconds), top_frames / K.FPS)
+    capacity = F.least(limit, F.lit(K.REFERENCE_TAKE_SECONDS)) * K.WORDS_PER_SECOND
+    whole = lambda share, least: F.greatest(F.lit(least), F.floor(capacity * share).cast("int"))
+    limits = F.struct(whole(K.CAPACITY_SLACK, 6).alias("cap"), whole(K.CAPACITY_FLOOR, 4).alias("floor"),
+                      whole(K.MIN_CUT_SHARE, 6).alias("cut"), X._c(target_seconds).cast("double").alias("target"),
+                      top_frames.cast("int").alias("frames"))
+
+    def described(text):
+        return F.struct(text.alias("text"), X.squished_count(text).alias("n"), X.content_set(text).alias("stems"),
+                        X.tokens(text).alias("tokens"))
+
+    def build(lim):
+        def full(acc):
+            return (F.size(acc["takes"]) >= max_units) | (acc["seconds"] >= lim["target"])
+
+        def close(acc):
+            frames = N.frames_for_words(acc["n_open"], lim["frames"])
+            closed = let(frames, lambda f: _with(
+                acc, open=F.expr(_STRINGS), n_open=F.lit(0), seconds=acc["seconds"] + f / K.FPS,
+                takes=F.array_append(acc["takes"], F.struct(F.array_join(acc["open"], " ").alias("text"),
+                                                            acc["n_open"].alias("n_words"), f.alias("frames")))))
+            return F.when(F.size(acc["open"]) > 0, closed).otherwise(acc)
+
+        def add(acc, u):
+            grown = _with(acc, open=F.array_append(acc["open"], u["text"]), n_open=acc["n_open"] + u["n"],
+                          said=F.array_union(acc["said"], u["stems"]),
+                          spoken=F.concat(acc["spoken"], F.array_join(u["tokens"], " "), F.lit(" ")))
+            if one_take:
+                return grown
+            return let(grown, lambda a: F.when(
+                (a["n_open"] >= lim["floor"]) & (a["n_open"] + lim["cut"] > lim["cap"]), close(a)).otherwise(a))
+
+        def place(acc, u):
+            if one_take:
+                return add(acc, u)
+            overflow = (F.size(acc["open"]) > 0) & (acc["n_open"] + u["n"] > lim["cap"])
+            after = let(close(acc), lambda a: F.when(full(a), _with(a, stop=F.lit(True))).otherwise(add(a, u)))
+            return F.when(overflow, after).otherwise(add(acc, u))
+
+        def unsaid(acc, u):
+            def pruned(n):
+                return let(X.prune_prefix(u["text"], n), lambda t: F.when(
+                    t.isNull(), _with(acc, warnings=_warned(acc, "repeats_literally", u["text"]))).otherwise(
+                    let(described(t), lambda v: place(_with(acc, warnings=_warned(acc, "pruned", t)), v))))
+            return let(X.repeated_prefix(u["tokens"], acc["spoken"]),
+                       lambda n: F.when(n > 0, pruned(n)).otherwise(place(acc, u)))
+
+        def step(acc, u):
+            decide = let(novelty(u["stems"], acc["said"]), lambda v: F.when(
+                v["skip"], _with(acc, warnings=_warned(acc, "already_said", u["text"]))).otherwise(unsaid(acc, u)))
+            return F.when(acc["stop"] | full(acc), acc).otherwise(decide)
+
+        def start(sents):
+            def unit(s, i):
+                return let(X.shorten(s, lim["cap"], lim["cut"]), lambda t: F.struct(
+                    F.when(t.isNull() & (i == 0), X.close_sentence(s)).otherwise(t).alias("text"),
+                    F.when(t.isNull(), F.when(i == 0, "headline_uncut").otherwise("dropped")).alias("kind"),
+                    s.alias("sentence")))
+            return F.transform(sents, unit)
+
+        def fold(units):
+            early = F.transform(F.filter(units, lambda u: u["kind"].isNotNull()),
+                                lambda u: F.struct(u["kind"].alias("kind"), u["sentence"].alias("detail")))
+            kept = F.transform(F.filter(units, lambda u: u["text"].isNotNull()), lambda u: described(u["text"]))
+            folded = F.aggregate(kept, F.expr(_STATE), step,
+                                 lambda acc: F.when(full(acc), acc).otherwise(close(acc)))
+
+            def finish(acc):
+                rate = lambda t: t["n_words"] / (t["frames"] / K.FPS)
+                late = F.filter(F.transform(acc["takes"], lambda t: F.struct(
+                    N.rate_band(rate(t)).alias("kind"), t["text"].alias("detail"))), lambda w: w["kind"] != "ok")
+                return F.struct(acc["takes"].alias("takes"), acc["seconds"].alias("seconds"),
+                                F.concat(early, acc["warnings"], late).alias("warnings"))
+            return let(folded, finish)
+
+        first = F.slice(X.sentences(headline), 1, 1)
+        return let(let(F.concat(first, X.sentences(body)), start), fold)
+
+    return let(limits, build)
+
+
+def plan_news(news: DataFrame, key: str = "doc_id", headline: str = "headline", body: str = "body",
+              max_seconds: float = K.REFERENCE_TAKE_SECONDS, target_seconds: float = K.TARGET_SECONDS,
+              max_units: int = K.MAX_UNITS, clean: bool = True) -> DataFrame:
+    """One plan per acceptable document (headline present, both parts within their limits)."""
+    h, b = (X.strip_html(headline), X.strip_html(body)) if clean else (F.col(headline), F.col(body))
+    base = news.select(key, h.alias("_h"), b.alias("_b")).filter(
+        (F.col("_h") != "") & (F.length("_h") <= K.HEADLINE_MAX) & (F.length("_b") <= K.BODY_MAX))
+    return base.select(key, plan_column("_h", "_b", max_seconds, target_seconds, max_units).alias("plan"))
+
+
+def plan_one_take(news: DataFrame, key: str = "doc_id", headline: str = "headline", body: str = "body",
+                  budget_mib: float = K.MIB_BUDGET) -> DataFrame:
+    """The whole document as one take: measure its words, choose the largest frame that fits, plan again."""
+    base = news.select(key, X.strip_html(headline).alias("_h"), X.strip_html(body).alias("_b")).filter(
+        (F.col("_h") != "") & (F.length("_h") <= K.HEADLINE_MAX) & (F.length("_b") <= K.BODY_MAX))
+    words_of = lambda plan: F.aggregate(plan["takes"], F.lit(0), lambda a, t: a + t["n_words"])
+    probe = base.withColumn("_n", let(plan_column("_h", "_b", 60.0, 9999.0, 1, one_take=True), words_of))
+    sized = probe.withColumn("format", N.one_take_format("_n", budget_mib))
+    seconds = F.col("format.frames") / K.FPS
+    return sized.select(key, "format", plan_column(
+        "_h", "_b", seconds, seconds, 1, max_frames=F.col("format.frames"), one_take=True).alias("plan"))
+
+
+def plan_units(plans: DataFrame, key: str = "doc_id") -> DataFrame:
+    rate = F.rint(F.col("t.n_words") / (F.col("t.frames") / K.FPS) * 100) / 100
+    return plans.select(key, F.posexplode("plan.takes").alias("_p", "t")).select(
+        key, (F.col("_p") + 1).alias("unit_idx"), "t.text", "t.n_words", "t.frames", rate.alias("rate"))
+
+
+def plan_warnings(plans: DataFrame, key: str = "doc_id") -> DataFrame:
+    return plans.select(key, F.posexplode("plan.warnings").alias("_p", "w")).select(
+        key, (F.col("_p") + 1).alias("seq"), "w.kind", "w.detail")

@@ -25,10 +25,13 @@ def topic_search(topics: DataFrame, catalogue: DataFrame, topic_id: str = "topic
 
     lengths = [r[0] for r in catalogue.select(F.length(item_id)).distinct().limit(1024).collect()]
     dashed = F.replace(X.fold_accents(topic), F.lit(" "), F.lit("-"))
-    windows = F.flatten(F.array(*[
-        F.when(F.length("_t") >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.length("_t") - (n - 1), F.lit(1))),
-                                                lambda i, n=n: F.substring(F.col("_t"), i, F.lit(n))))
-        .otherwise(F.expr("cast(array() as array<string>)")) for n in sorted(lengths) if n]))
+
+    def stretches(n):
+        starts = F.sequence(F.lit(1), F.greatest(F.length("_t") - (n - 1), F.lit(1)))
+        return F.when(F.length("_t") >= n, F.transform(starts, lambda i: F.substring(F.col("_t"), i, F.lit(n)))).otherwise(
+            F.expr("cast(array() as array<string>)"))
+
+    windows = F.flatten(F.array(*[stretches(n) for n in sorted(lengths) if n]))
     named = (topics.filter(F.size(X.search_tokens(topic)) > 0).select(topic_id, dashed.alias("_t"))
              .select(topic_id, F.explode(F.array_distinct(windows)).alias(item_id))
              .join(catalogue.select(item_id), item_id)

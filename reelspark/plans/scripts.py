@@ -13,7 +13,7 @@ from ..functions import constants as K
 from ..functions import text as X
 from ..functions.fingerprints import canonical_fingerprint, run_fingerprint
 from ..functions.numeric import is_voice, ladder_valid
-from ..operators.ordered import numbered, ordered
+from ..operators.ordered import OrderedGroups
 from ..operators.sets import missing_headers
 
 BOM = "﻿"
@@ -69,7 +69,9 @@ def parse(lines: DataFrame, script: str = "script_id", max_rows: int | None = No
         own(1).alias("raw_mode"), own(2).alias("own_type"), own(3).alias("own_scene"), own(4).alias("own_ambience"),
         F.nullif(F.regexp_extract(F.element_at(F.array_append("named", F.lit("")), 1), K.FRAMES_FIELD_PATTERN, 1),
                  F.lit("")).cast("bigint").alias("own_frames"))
-    placed = numbered(body, [script], ["line_no"], "idx", max_rows)
+    # a script never has more takes than lines, and lines are cheap to count
+    groups = OrderedGroups.plan(lines, [script], ["line_no"], max_rows)
+    placed = groups.untag(groups.add(groups.tag(body), row_number="idx"))
     takes = normalize_modes(resolve_types(placed, headers, script))
 
     first = headers.select(script, "key", F.col("line_no").alias("_first"))

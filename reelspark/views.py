@@ -54,7 +54,8 @@ def frames(spark, folder) -> DataFrame:
     events = table(spark, folder, "events").select("event_id", "user_id", "value")
     vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
     rows = numbered(events, ["user_id"], ["event_id"], "pos")
-    return (rows.withColumn("vec_id", F.col("event_id") % 500).join(vectors, "vec_id").select(
+    n = vectors.count()         # vectors are numbered from 0; the count comes from file footers
+    return (rows.withColumn("vec_id", F.col("event_id") % n).join(vectors, "vec_id").select(
         F.col("user_id").alias("clip_id"), "event_id", (F.col("pos") - 1).cast("int").alias("frame_idx"),
         F.when(F.col("event_id") % 29 == 0, 0).when(F.col("event_id") % 31 == 0, 2).otherwise(1).alias("n_faces"),
         F.col("embedding").alias("emb"), F.col("value").alias("sharpness")))
@@ -83,7 +84,7 @@ SQL = {
   CAST(row_number() OVER (PARTITION BY e.user_id ORDER BY e.event_id) - 1 AS INT) AS frame_idx,
   CASE WHEN e.event_id % 29 = 0 THEN 0 WHEN e.event_id % 31 = 0 THEN 2 ELSE 1 END AS n_faces,
   m.embedding AS emb, e.value AS sharpness
-  FROM events e JOIN embeddings m ON m.vec_id = e.event_id % 500)""",
+  FROM events e JOIN embeddings m ON m.vec_id = e.event_id % (SELECT count(*) FROM embeddings))""",
     "cues_v": """cues_v AS (SELECT conv_id AS script_id, turn AS idx, role, text FROM conversations)""",
 }
 
