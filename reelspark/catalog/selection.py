@@ -282,13 +282,14 @@ def parse_telemetry(spark, d):
 
 
 @query("parse_srt", """WITH c AS (SELECT user_id, event_id, CAST(round_even(value * 1000, 0) AS BIGINT) AS a, event_type, CAST(round_even(value * 1000, 0) AS BIGINT) + (event_id % 7 - 1) * 500 AS b FROM events)
-  SELECT event_id, 1 AS block, a / 1000.0::DOUBLE AS t0, b / 1000.0::DOUBLE AS t1, event_type || ' second line' AS text FROM c WHERE b > a""")
+  SELECT event_id, 1 AS block, round(a / 1000.0::DOUBLE, 3) AS t0, round(b / 1000.0::DOUBLE, 3) AS t1, event_type || ' second line' AS text FROM c WHERE b > a""")
 def parse_srt(spark, d):
     a = F.rint(F.col("value") * 1000).cast("bigint")
     b = F.greatest(F.lit(0), a + (F.col("event_id") % 7 - 1) * 500)
     stamp = lambda ms: F.replace(N.timestamp_hms(ms / 1000), F.lit("."), F.lit(","))
     raw = F.concat(F.lit("1\n"), stamp(a), F.lit(" --> "), stamp(b), F.lit("\n"), F.col("event_type"), F.lit("\nsecond line  \n\n2\nno stamp here\n"))
-    return R.parse_srt(table(spark, d, "events").select("event_id", raw.alias("raw")), ["event_id"])
+    cues = R.parse_srt(table(spark, d, "events").select("event_id", raw.alias("raw")), ["event_id"])
+    return cues.withColumn("t0", F.round("t0", 3)).withColumn("t1", F.round("t1", 3))
 
 
 @query("parse_states", """SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'done' WHEN 'O' THEN 'generating' ELSE 'planned' END AS phase, 'job-' || o_custkey AS name, o_custkey % 9 AS completed,

@@ -50,6 +50,16 @@ def let(value: Column, body):
     return F.transform(F.array(value), body)[0]
 
 
+def once(df, **columns: Column):
+    """Add columns that are computed once per row.
+
+    A later filter on a plain projected column is pushed down by copying its expression, and a
+    column that is used often is copied often.  A one-row generator stops that copying.
+    """
+    fields = [c.alias(n) for n, c in columns.items()]
+    return df.select("*", F.inline(F.array(F.struct(*fields))))
+
+
 def squish(x) -> Column:
     """Collapse whitespace and trim.  Only runs and unusual blanks are rewritten."""
     return F.trim(F.regexp_replace(F.coalesce(_c(x), F.lit("")), IRREGULAR_WS, " "))

@@ -177,7 +177,11 @@ def plan_column(headline, body, max_seconds, target_seconds, max_units: int = K.
         def step(acc, u):
             decide = let(novelty(u["stems"], acc["said"]), lambda v: F.when(
                 v["skip"], _with(acc, warnings=_warned(acc, "already_said", u["text"]))).otherwise(unsaid(acc, u)))
-            return F.when(acc["stop"] | full(acc), acc).otherwise(decide)
+            return decide
+
+        def guarded(acc, text):
+            # sentences after the stop cost nothing: their words are only looked at when needed
+            return F.when(acc["stop"] | full(acc), acc).otherwise(let(described(text), lambda u: step(acc, u)))
 
         def start(sents):
             def unit(s, i):
@@ -190,8 +194,8 @@ def plan_column(headline, body, max_seconds, target_seconds, max_units: int = K.
         def fold(units):
             early = F.transform(F.filter(units, lambda u: u["kind"].isNotNull()),
                                 lambda u: F.struct(u["kind"].alias("kind"), u["sentence"].alias("detail")))
-            kept = F.transform(F.filter(units, lambda u: u["text"].isNotNull()), lambda u: described(u["text"]))
-            folded = F.aggregate(kept, F.expr(_STATE), step,
+            kept = F.transform(F.filter(units, lambda u: u["text"].isNotNull()), lambda u: u["text"])
+            folded = F.aggregate(kept, F.expr(_STATE), guarded,
                                  lambda acc: F.when(full(acc), acc).otherwise(close(acc)))
 
             def finish(acc):
@@ -213,7 +217,7 @@ def plan_news(news: DataFrame, key: str = "doc_id", headline: str = "headline",
               max_units: int = K.MAX_UNITS, clean: bool = True) -> DataFrame:
     """One plan per acceptable document (headline present, both parts within their limits)."""
     h, b = (X.strip_html(headline), X.strip_html(body)) if clean else (F.col(headline), F.col(body))
-    base = news.select(key, h.alias("_h"), b.alias("_b")).filter(
+    base = X.once(news, _h=h, _b=b).select(key, "_h", "_b").filter(
         (F.col("_h") != "") & (F.length("_h") <= K.HEADLINE_MAX) & (F.length("_b") <= K.BODY_MAX))
     return base.select(key, plan_column("_h", "_b", max_seconds, target_seconds, max_units).alias("plan"))
 
@@ -221,11 +225,11 @@ def plan_news(news: DataFrame, key: str = "doc_id", headline: str = "headline",
 def plan_one_take(news: DataFrame, key: str = "doc_id", headline: str = "headline", body: str = "body",
                   budget_mib: float = K.MIB_BUDGET) -> DataFrame:
     """The whole document as one take: measure its words, choose the largest frame that fits, plan again."""
-    base = news.select(key, X.strip_html(headline).alias("_h"), X.strip_html(body).alias("_b")).filter(
+    base = X.once(news, _h=X.strip_html(headline), _b=X.strip_html(body)).select(key, "_h", "_b").filter(
         (F.col("_h") != "") & (F.length("_h") <= K.HEADLINE_MAX) & (F.length("_b") <= K.BODY_MAX))
     words_of = lambda plan: F.aggregate(plan["takes"], F.lit(0), lambda a, t: a + t["n_words"])
-    probe = base.withColumn("_n", let(plan_column("_h", "_b", 60.0, 9999.0, 1, one_take=True), words_of))
-    sized = probe.withColumn("format", N.one_take_format("_n", budget_mib))
+    probe = X.once(base, _n=let(plan_column("_h", "_b", 60.0, 9999.0, 1, one_take=True), words_of))
+    sized = X.once(probe, format=N.one_take_format("_n", budget_mib))
     seconds = F.col("format.frames") / K.FPS
     return sized.select(key, "format", plan_column(
         "_h", "_b", seconds, seconds, 1, max_frames=F.col("format.frames"), one_take=True).alias("plan"))

@@ -23,7 +23,7 @@ def _pixels(data: bytes, height: int, width: int, channels: int) -> np.ndarray:
 
 
 def gray(a: np.ndarray) -> np.ndarray:
-    return 0.114 * a[:, :, 0] + 0.587 * a[:, :, 1] + 0.299 * a[:, :, 2]
+    return (114 * a[:, :, 0] + 587 * a[:, :, 1] + 299 * a[:, :, 2]) / 1000
 
 
 def blur(g: np.ndarray, sigma: float) -> np.ndarray:

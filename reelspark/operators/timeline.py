@@ -40,9 +40,9 @@ def spread_text(df: DataFrame, keep: list[str], text: str, t0: str = "t0", t1: s
                 width: int = K.CAPTION_WIDTH, lines: int = K.CAPTION_LINES) -> DataFrame:
     """Cut a text into captions inside its span; time is shared by words, nothing is lost."""
     groups = X.group_lines(X.wrap_lines(F.regexp_replace(text, r"[.]+$", ""), width), lines)
-    base = df.select(*keep, F.col(t0).alias("_s"), F.col(t1).alias("_e"), groups.alias("_g")).filter(F.size("_g") > 0)
+    base = X.once(df.select(*keep, F.col(t0).alias("_s"), F.col(t1).alias("_e"), F.col(text)), _g=groups)
     counts = F.transform("_g", lambda g: F.greatest(F.lit(1), X.word_count(g)))
-    rows = base.withColumn("_w", counts).select(
+    rows = X.once(base.filter(F.size("_g") > 0), _w=counts).select(
         *keep, "_s", "_e", "_w", F.posexplode("_g").alias("_i", "text"))
 
     def words_before(n):

@@ -28,28 +28,27 @@ def split_lines(scripts: DataFrame, script: str = "script_id", raw: str = "raw")
 
 def classify(lines: DataFrame, script: str = "script_id") -> DataFrame:
     """Kind and fields of every line that is neither blank nor a comment."""
-    text = X.strip_ws("line")
-    rows = lines.select(script, "line_no", text.alias("_t")).filter((F.col("_t") != "") & ~F.col("_t").startswith("#"))
+    rows = X.once(lines.select(script, "line_no", "line"), _t=X.strip_ws("line")).drop("line")
     t = F.col("_t")
+    rows = rows.filter((t != "") & ~t.startswith("#"))
     head = F.regexp_extract(t, K.HEADER_PATTERN, 1)
-    fields = F.transform(F.split(t, r"\|"), X.strip_ws)
-    rows = rows.select(
-        script, "line_no", "_t",
-        F.when(t.startswith("@"), "header").when(t.startswith("TOMA|") | t.startswith("HABLA|"), "take").otherwise("other").alias("kind"),
-        F.when(head != "", head).alias("key"),
-        F.when(head != "", F.trim(F.regexp_extract(t, K.HEADER_PATTERN, 2))).alias("value"), fields.alias("f"))
+    rows = X.once(
+        rows, f=F.transform(F.split(t, r"\|"), X.strip_ws), key=F.when(head != "", head),
+        value=F.when(head != "", F.trim(F.regexp_extract(t, K.HEADER_PATTERN, 2))),
+        kind=F.when(t.startswith("@"), "header").when(t.startswith("TOMA|") | t.startswith("HABLA|"), "take").otherwise("other"))
     tail = F.slice("f", 3, 100)
-    rows = rows.withColumn("named", F.filter(tail, lambda x: x.rlike(K.FRAMES_FIELD_PATTERN))) \
-               .withColumn("positional", F.filter(tail, lambda x: ~x.rlike(K.FRAMES_FIELD_PATTERN)))
+    rows = X.once(rows, named=F.filter(tail, lambda x: x.rlike(K.FRAMES_FIELD_PATTERN)),
+                  positional=F.filter(tail, lambda x: ~x.rlike(K.FRAMES_FIELD_PATTERN)))
     n = F.size("f")
+    take = F.col("kind") == "take"
     issue = (F.when(F.contains(t, F.lit("\0")), "nul_byte")
              .when((F.col("kind") == "header") & F.col("key").isNull(), "bad_header")
              .when(F.col("kind") == "other", "unexpected_line")
-             .when((F.col("kind") == "take") & ((n < 2) | (n > 7)), "field_count")
-             .when((F.col("kind") == "take") & (F.size("named") > 1), "repeated_frames")
-             .when((F.col("kind") == "take") & (F.size("positional") > 4), "too_many_positional")
-             .when((F.col("kind") == "take") & (F.element_at("f", 2) == ""), "empty_content"))
-    return rows.withColumn("issue", issue)
+             .when(take & ((n < 2) | (n > 7)), "field_count")
+             .when(take & (F.size("named") > 1), "repeated_frames")
+             .when(take & (F.size("positional") > 4), "too_many_positional")
+             .when(take & (F.get("f", F.lit(1)) == ""), "empty_content"))
+    return X.once(rows, issue=issue)
 
 
 def parse(lines: DataFrame, script: str = "script_id", max_rows: int | None = None
