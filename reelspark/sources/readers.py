@@ -22,10 +22,8 @@ def file_stem(path: Column) -> Column:
 
 
 def _whole(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    reader = spark.read.option("wholetext", True)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("raw"))
+    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    return reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("raw"))
 
 
 # --- news -------------------------------------------------------------------------------

@@ -101,7 +101,7 @@ def state_stream(updates: DataFrame, silence_ms: int = 600_000) -> DataFrame:
         yield pd.DataFrame([{"name": key[0], **now}]).astype({"completed": "Int64", "total": "Int64"})[
             ["name", "seq", *_STATE_FIELDS]]
 
-    return updates.select("name", "seq", *_STATE_FIELDS).groupBy("name").applyInPandasWithState(
+    return updates.select(F.col("name").cast("string").alias("name"), "seq", *_STATE_FIELDS).groupBy("name").applyInPandasWithState(
         update, STATE_SCHEMA, "seq bigint, phase string, message string, final string, completed bigint, total bigint",
         "update", GroupStateTimeout.ProcessingTimeTimeout)
 

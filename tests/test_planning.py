@@ -69,7 +69,7 @@ def test_plan_properties(corpus):
     assert search.ungrounded(units, src, ["doc_id"], ["unit_idx"]).count() == 0
     # never past the target by more than the last take
     over = plans.select(F.col("plan.seconds").alias("s"), F.try_element_at("plan.takes", F.lit(-1))["frames"].alias("f"))
-    assert over.filter(F.col("s") - F.col("f") / 24 >= 32.0).count() == 0
+    assert over.filter(F.col("s") - F.col("f") / 24 > 32.0 + 1e-6).count() == 0
     kinds = {r.kind for r in folds.plan_warnings(plans).select("kind").distinct().collect()}
     assert {"already_said", "pruned", "dropped"} <= kinds
 
