@@ -36,7 +36,7 @@ def corpus(spark, sf):
     made = spark.createDataFrame(rows, "doc_id bigint, headline string, body string")
     real = news(spark, sf).filter(F.trim("headline") != "").select(
         (F.col("doc_id") + 1000).alias("doc_id"), "headline", "body").limit(120)
-    return made.unionByName(real).cache()
+    return made.unionByName(real).repartition(8).cache()
 
 
 def expected(corpus, **kw):
