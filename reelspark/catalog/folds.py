@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..operators import folds, search
 from ..operators.ordered import top_per_group
-from ..views import news, table, with_views
+from ..views import documents, news, table, with_views
 from . import sqltext as S
 from .registry import query
 from .text import _PACK_SQL
@@ -22,7 +22,7 @@ from .text import _PACK_SQL
         FROM f JOIN w ON w.doc_id = f.doc_id AND w.idx = f.idx + 1)))
   SELECT doc_id, CAST(idx AS INT) AS idx, fresh, round(repeated, 6) AS repeated, skip FROM f WHERE idx > 0""")
 def novelty_filter(spark, d):
-    out = folds.novelty_filter(table(spark, d, "documents"), "doc_id", "text")
+    out = folds.novelty_filter(documents(spark, d), "doc_id", "text")
     return out.select("doc_id", "idx", "fresh", F.round("repeated", 6).alias("repeated"), "skip")
 
 
@@ -66,7 +66,7 @@ _TOPICS = "tp AS (SELECT item_id AS topic_id, text || ' doc ' || item_id * 7 AS
 def topic_search(spark, d):
     topics = table(spark, d, "benchmark").select(
         F.col("item_id").alias("topic_id"), F.concat("text", F.lit(" doc "), (F.col("item_id") * 7).cast("string")).alias("topic"))
-    docs = table(spark, d, "documents").select(
+    docs = documents(spark, d).select(
         F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("id"),
         F.concat_ws(" ", F.lit("doc"), F.col("doc_id").cast("string"), "lang", "text").alias("haystack"))
     return search.topic_search(topics, docs, k=3)
@@ -79,7 +79,7 @@ def topic_search(spark, d):
   SELECT c.doc_id, unit_idx, sentence, CASE WHEN plain IS NULL THEN 'missing_source' ELSE 'not_in_source' END AS reason
   FROM c LEFT JOIN src ON src.doc_id = c.doc_id WHERE core <> '' AND (plain IS NULL OR NOT contains(plain, core))""")
 def ungrounded_units(spark, d):
-    units = folds.packed_units(table(spark, d, "documents"), "doc_id", "text", 8.0)
+    units = folds.packed_units(documents(spark, d), "doc_id", "text", 8.0)
     src = news(spark, d).filter("lang <> 'es'").select("doc_id", "headline", F.replace("body", F.lit("ation"), F.lit("atjon")).alias("body"))
     return search.ungrounded(units, src, ["doc_id"], ["unit_idx"])
 

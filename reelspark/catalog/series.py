@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from ..functions import numeric as N
 from ..operators import series as R
 from ..operators.ordered import medians, numbered, top_per_group
-from ..views import series, table, with_views
+from ..views import documents, series, table, with_views
 from .registry import query
 
 GAP_HOURS = 12.0
@@ -24,7 +24,7 @@ def entropy_events(spark, d):
     (SELECT lang, ch, count(*)::DOUBLE AS c FROM (SELECT lang, unnest(regexp_extract_all(text, '[a-zA-Z]')) AS ch FROM documents)
      GROUP BY 1, 2)) GROUP BY lang""")
 def entropy_characters(spark, d):
-    c = table(spark, d, "documents").select("lang", F.explode(
+    c = documents(spark, d).select("lang", F.explode(
         F.regexp_extract_all("text", F.lit("[a-zA-Z]"), F.lit(0))).alias("ch"))
     return R.entropy(c, ["lang"], "ch").withColumn("entropy", F.round("entropy", 6))
 

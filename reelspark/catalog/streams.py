@@ -59,8 +59,8 @@ def usage_windows(spark, d):
   g AS (SELECT *, sum(CASE WHEN p IS NULL OR ts >= p + INTERVAL 12 HOUR THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM l)
   SELECT user_id, epoch_us(min(ts)) - 1704067200000000 AS start_us, max(value) AS peak, count(*) AS spikes FROM g GROUP BY user_id, s""")
 def spike_sessions(spark, d):
-    s = J.spike_sessions(table(spark, d, "events").filter("value > 60"), ["user_id"])
-    return s.select("user_id", micros_since_2024("start").alias("start_us"), "peak", "spikes")
+    s = table(spark, d, "events").filter("value > 60").select("user_id", micros_since_2024("ts").alias("t"), "value")
+    return J.spike_session_report(s, ["user_id"], gap=12 * 3_600_000_000).withColumnRenamed("start", "start_us")
 
 
 @query("progress_eta", """WITH e AS (SELECT user_id, event_id // 10 AS elapsed, CAST(floor(value) AS BIGINT) AS done FROM events),

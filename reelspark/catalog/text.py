@@ -5,13 +5,13 @@ from ..functions import constants as K
 from ..functions import numeric as N
 from ..functions import text as X
 from ..operators import folds
-from ..views import news, table, with_views
+from ..views import documents, news, table, with_views
 from . import sqltext as S
 from .registry import query
 
 
 def _docs(spark, d):
-    return table(spark, d, "documents")
+    return documents(spark, d)
 
 
 @query("strip_html", f"""SELECT page_id, {S.strip_html('html')} AS clean FROM pages""")

@@ -6,7 +6,7 @@ from ..functions import numeric as N
 from ..functions import text as X
 from ..operators import folds
 from ..operators import timeline as T
-from ..views import cues, takes, table, with_views
+from ..views import documents, cues, takes, table, with_views
 from . import sqltext as S
 from .registry import query
 from .text import _PACK_SQL
@@ -195,7 +195,7 @@ _SUPPORTS = ["hands on a desk", "street at dusk", "empty newsroom"]
     CAST(CASE WHEN vs.take_type IN ('habla', 'informativo') THEN b.frames ELSE 107 END AS INT) AS frames
   FROM vs LEFT JOIN b ON b.doc_id = vs.doc_id AND b.i = voice - 1""")
 def interleave(spark, d):
-    units = folds.packed_units(table(spark, d, "documents"), "doc_id", "text", 8.0)
+    units = folds.packed_units(documents(spark, d), "doc_id", "text", 8.0)
     units = units.withColumn("frames", N.frames_for_words("n_words"))
     arr = lambda xs: F.array(*[F.lit(x) for x in xs])
     return T.interleave(units, ["doc_id"], "unit_idx", "text", "frames", arr(_RHYTHM), arr(_SUPPORTS))

@@ -23,7 +23,7 @@ def topic_search(topics: DataFrame, catalogue: DataFrame, topic_id: str = "topic
     words = catalogue.select(item_id, F.explode(X.search_tokens(haystack)).alias("_w"))
     hits = words.join(wanted, "_w").groupBy(topic_id, item_id).agg(F.count(F.lit(1)).alias("score"))
 
-    lengths = [r[0] for r in catalogue.select(F.length(item_id)).distinct().limit(1024).collect()]
+    lengths = [r[0] for r in catalogue.select(F.length(item_id)).distinct().collect()]   # as many as ids have lengths
     dashed = F.replace(X.fold_accents(topic), F.lit(" "), F.lit("-"))
 
     def stretches(n):
@@ -50,8 +50,9 @@ def ungrounded(units: DataFrame, sources: DataFrame, keys: list[str], unit_cols:
     plain = F.lower(X.squish(F.concat_ws(" ", headline, body)))
     src = sources.select(*keys, plain.alias("_plain"))
     sents = units.select(*keys, *unit_cols, F.explode(X.sentences(text)).alias("sentence"))
-    core = F.regexp_replace(F.trim(X.squish(F.lower("sentence"))), "[.!?…]+$", "")
+    core = F.col("_core")
+    sents = X.once(sents, _core=F.rtrim(X.squish(F.lower("sentence")), F.lit(".!?…"))).filter(core != "")
     return (sents.join(src, keys, "left")
-            .filter((core != "") & (F.col("_plain").isNull() | ~F.contains("_plain", core)))
+            .filter(F.col("_plain").isNull() | ~F.contains("_plain", core))
             .select(*keys, *unit_cols, "sentence",
                     F.when(F.col("_plain").isNull(), "missing_source").otherwise("not_in_source").alias("reason")))

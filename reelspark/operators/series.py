@@ -63,11 +63,12 @@ def spike_groups(series: DataFrame, thresholds: DataFrame, keys: list[str], t: s
 
 
 def islands(df: DataFrame, keys: list[str], order: list[str], t: str, gap: float,
-            max_rows: int | None = None, name: str = "group_no") -> DataFrame:
-    """Number runs of rows whose distance to the previous row is at most `gap`."""
+            max_rows: int | None = None, name: str = "group_no", closed: bool = False) -> DataFrame:
+    """Number runs of rows whose distance to the previous row is at most `gap` (less than, if closed)."""
     groups = OrderedGroups.plan(df, keys, order, max_rows)
     lagged = groups.add(groups.tag(df), lag={"_prev": t})
-    opens = F.when(F.col("_prev").isNull() | (F.col(t) - F.col("_prev") > gap), 1).otherwise(0)
+    step = F.col(t) - F.col("_prev")
+    opens = F.when(F.col("_prev").isNull() | (step >= gap if closed else step > gap), 1).otherwise(0)
     return groups.untag(groups.add(lagged, running={name: opens})).drop("_prev")
 
 

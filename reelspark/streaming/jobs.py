@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.ordered import ordered
+from ..operators.series import islands
 
 LATENESS = "10 minutes"
 LOW_MEMORY_MIB = 1200
@@ -125,6 +126,14 @@ def spike_sessions(spikes: DataFrame, keys: list[str], ts: str = "ts", value: st
         *keys, F.col("s.start").alias("start"), "peak", "spikes")
 
 
+def spike_session_report(spikes: DataFrame, keys: list[str], t: str = "t", value: str = "value", gap: float = 12.0,
+                         max_rows: int | None = None) -> DataFrame:
+    """Batch twin of `spike_sessions` over numeric times; a hot key is split and not sorted in one task."""
+    runs = islands(spikes, keys, [t, value], t, gap, max_rows, "session", closed=True)
+    return runs.groupBy(*keys, "session").agg(F.min(t).alias("start"), F.max(value).alias("peak"),
+                                              F.count(F.lit(1)).alias("spikes")).drop("session")
+
+
 def progress_eta(events: DataFrame, keys: list[str], elapsed: str, done: str, total: str) -> DataFrame:
     """Remaining time = elapsed × remaining ÷ newly done; unknown before anything new is done."""
     fresh = F.max(done) - F.min(done)

@@ -12,6 +12,25 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+ROW_GROUP = 32 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows round-robin over the cores when the files hold too few row groups to fill them.
+
+    Text work is bound by computing, and a small file is one task however many cores there are.
+    Inputs that already give every core its own row groups are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    files = df.groupBy("_metadata.file_path").agg(F.max("_metadata.file_size").alias("size"))
+    total = files.agg(F.sum("size")).first()[0] or 0
+    return df.repartition(cores) if total < cores * ROW_GROUP else df
+
+
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(table(spark, folder, "documents"))
+
+
 def micros_since_2024(ts) -> Column:
     """Microseconds since 2024-01-01 of a zone-free timestamp, without any zone conversion."""
     ts = F.col(ts) if isinstance(ts, str) else ts
@@ -24,7 +43,7 @@ def micros_since_2024(ts) -> Column:
 def news(spark, folder) -> DataFrame:
     text = F.col("text")
     head = F.split_part(text, F.lit("\n"), F.lit(1))
-    return table(spark, folder, "documents").select(
+    return documents(spark, folder).select(
         "doc_id", "lang", "source", head.alias("headline"),
         F.substring(text, F.length(head) + 2, F.length(text)).alias("body"))
 

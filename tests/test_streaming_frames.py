@@ -56,6 +56,16 @@ def test_windows_stream(spark, sf):
     assert 0 < got.count() <= want.count() and got.exceptAll(want).count() == 0
 
 
+def test_session_windows_agree_with_islands(spark, sf):
+    e = spark.read.parquet(f"{sf}/events.parquet").filter("value > 60")
+    from reelspark.views import micros_since_2024
+    a = J.spike_sessions(e, ["user_id"]).select("user_id", micros_since_2024("start").alias("start"), "peak", "spikes")
+    s = e.select("user_id", micros_since_2024("ts").alias("t"), "value")
+    for max_rows in (10 ** 9, 5):
+        b = J.spike_session_report(s, ["user_id"], gap=12 * 3_600_000_000, max_rows=max_rows).select(*a.columns)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
 def test_growing_files(spark):
     base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     for part in range(2):
