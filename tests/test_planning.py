@@ -32,10 +32,10 @@ def made_up(seed):
 
 @pytest.fixture(scope="module")
 def corpus(spark, sf):
-    rows = [(i, *made_up(i)) for i in range(150)]
+    rows = [(i, *made_up(i)) for i in range(60)]
     made = spark.createDataFrame(rows, "doc_id bigint, headline string, body string")
     real = news(spark, sf).filter(F.trim("headline") != "").select(
-        (F.col("doc_id") + 1000).alias("doc_id"), "headline", "body").limit(120)
+        (F.col("doc_id") + 1000).alias("doc_id"), "headline", "body").orderBy("doc_id").limit(24)
     return made.unionByName(real).repartition(8).cache()
 
 
@@ -56,7 +56,7 @@ def test_plan_matches_row_model(corpus):
     for k in want:
         assert got[k][0] == want[k][0], k
         assert abs(got[k][1] - want[k][1]) < 1e-9
-    assert sum(len(v[0]) for v in want.values()) > 300
+    assert sum(len(v[0]) for v in want.values()) > 120
 
 
 def test_plan_properties(corpus):
