@@ -1,0 +1,6 @@
+"""Functions that run on executors travel by value, so executors need not have this package installed."""
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
