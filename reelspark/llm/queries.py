@@ -5,7 +5,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, decontaminate, licenses, quality, tokencount
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -35,3 +35,60 @@ def token_digests(docs: DataFrame, path: str) -> DataFrame:
 def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which ids does the tokenizer give every document, and does decoding return the text?"""
     return token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+_FOLDED_WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+
+@query("op1_contaminated_documents", rf"""
+WITH d AS (SELECT doc_id, {_FOLDED_WORDS} AS w FROM documents),
+i AS (SELECT item_id, {_FOLDED_WORDS} AS w FROM benchmark),
+wins AS (SELECT DISTINCT item_id, n, array_to_string(list_slice(w, s, s + n - 1), ' ') AS win
+    FROM (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM i WHERE len(w) > 0)),
+places AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s
+    FROM d, (SELECT DISTINCT n FROM wins) WHERE len(w) >= n),
+found AS (SELECT p.doc_id, p.s, p.n, wins.item_id
+    FROM (SELECT doc_id, s, n, array_to_string(list_slice(w, s, s + n - 1), ' ') AS win FROM places) p JOIN wins USING (n, win)),
+hit AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS place FROM found) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM found) GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(len(d.w), 0) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)""")
+def op1_contaminated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents repeat ten consecutive words of a test item, and how much of them?"""
+    found = decontaminate.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0), lambda n, s: n + s.end - s.start)
+    return found.select("doc_id", "n_words", n_hit.cast("long").alias("n_hit"), F.size("item_ids").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+                        (F.size("spans") > 0).alias("contaminated"))
+
+
+@query("op10_token_counts")
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many unigram tokens has every document?"""
+    return tokencount.count(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op2_quality_rules")
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents pass the rules and look like trusted text?"""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    trusted = labels.filter("quality = 1").select("doc_id")
+    return quality.judge(docs, trusted)
+
+
+@query("op9_license_scan")
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which licences does every document name, and where?"""
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("detections", lambda d: d.base)
+    kept = F.filter("detections", lambda d: d.base | d.kept)
+    names = lambda some: F.array_join(F.array_sort(F.array_distinct(F.transform(some, lambda d: d.label))), ",")
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"),
+        F.array_min(F.transform(base, lambda d: d.start)).cast("long").alias("first_word"),
+        F.array_max(F.transform(base, lambda d: d.start)).cast("long").alias("last_word"),
+        names(base).alias("base_labels"), names(kept).alias("labels"),
+        F.coalesce(F.array_max(F.transform(kept, lambda d: d.certainty)), F.lit(0.0)).alias("score"))
