@@ -5,7 +5,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, licenses, quality, tokencount
+from . import bpe, decontaminate, licenses, quality, substrings, tokencount, toxicity
+from .common import fold
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -92,3 +93,18 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_max(F.transform(base, lambda d: d.start)).cast("long").alias("last_word"),
         names(base).alias("base_labels"), names(kept).alias("labels"),
         F.coalesce(F.array_max(F.transform(kept, lambda d: d.certainty)), F.lit(0.0)).alias("score"))
+
+
+@query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How toxic is every document?"""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
+                                              "score", "predicted")
+
+
+@query("op4_substring_dedup")
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without passages that stand elsewhere?"""
+    return substrings.dedup(table(spark, sf_dir, "documents"))
