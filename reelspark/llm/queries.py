@@ -5,7 +5,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, licenses, quality, substrings, tokencount, toxicity
+from . import bpe, decontaminate, jaccard, licenses, quality, substrings, tokencount, toxicity
 from .common import fold
 
 QUERIES: dict = {}
@@ -108,3 +108,22 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without passages that stand elsewhere?"""
     return substrings.dedup(table(spark, sf_dir, "documents"))
+
+
+_BLANK_WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
+
+
+@query("op6_jaccard_components", rf"""
+WITH RECURSIVE d AS (SELECT doc_id, {_BLANK_WORDS} AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, p, p + 4), ' ') AS g
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS p FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+reach AS (SELECT a AS doc_id, a AS seen FROM links UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.seen),
+low AS (SELECT doc_id, min(seen) AS low FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(low, d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN low USING (doc_id)""")
+def op6_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents are near copies of each other, over any number of steps?"""
+    return jaccard.join(table(spark, sf_dir, "documents"))
