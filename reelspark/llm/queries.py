@@ -5,7 +5,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, jaccard, licenses, quality, substrings, tokencount, toxicity
+from . import bpe, decontaminate, jaccard, licenses, lm, quality, substrings, tokencount, toxicity
 from .common import fold
 
 QUERIES: dict = {}
@@ -127,3 +127,9 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN low USING (doc_id)""")
 def op6_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which documents are near copies of each other, over any number of steps?"""
     return jaccard.join(table(spark, sf_dir, "documents"))
+
+
+@query("op3_lm_scores")
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How likely is every document under a model of the others?"""
+    return lm.score(table(spark, sf_dir, "documents"))
