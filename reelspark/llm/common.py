@@ -36,12 +36,12 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def in_blocks(rows: DataFrame, per_partition: int = 2) -> DataFrame:
-    """Adds blk, a block number from a hash of the whole row, and shuffles by it once.
+def in_blocks(rows: DataFrame, by: tuple[str, ...] = ("key", "text"), per_partition: int = 2) -> DataFrame:
+    """Adds blk, a block number from a hash of key and text, and shuffles by it once.
 
     Evaluating it twice gives the same blocks with the same rows (in any order)."""
     n = partitions(rows.sparkSession)
-    return (rows.withColumn("blk", F.pmod(F.xxhash64(*rows.columns), F.lit(n * per_partition)).cast("int"))
+    return (rows.withColumn("blk", F.pmod(F.xxhash64(*by), F.lit(n * per_partition)).cast("int"))
             .repartition(n, "blk"))
 
 

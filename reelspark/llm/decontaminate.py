@@ -67,27 +67,35 @@ class WuManber:
             end += 1
 
 
-def _search(shard: list[tuple], size: int):
-    """Finds the windows of a shard of items in batches of (key, text, n_words, spans, item_ids)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+class Shard:
+    """Searches for all windows of a shard of (name, text) items, one per window length."""
+
+    def __init__(self, items: list[tuple], size: int):
         by_length: dict[int, dict[tuple, set]] = {}
-        for name, text in shard:
+        for name, text in items:
             for w in windows(words(text), size):
                 by_length.setdefault(len(w), {}).setdefault(w, set()).add(name)
-        searches = [(WuManber(n, owners), owners) for n, owners in sorted(by_length.items())]
+        self.searches = [(WuManber(n, owners), owners) for n, owners in sorted(by_length.items())]
+
+    def find(self, text: list[bytes]) -> Iterator[tuple[int, int, set]]:
+        for search, owners in self.searches:
+            for start, w in search.find(text):
+                yield start, start + len(w), owners[w]
+
+
+def _search(items: list[tuple], size: int):
+    """Finds a shard's windows in batches of (key, text, n_words, spans, item_ids)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard = Shard(items, size)
         for batch in batches:
             spans, ids, counts = batch.column(3).to_pylist(), batch.column(4).to_pylist(), []
             for row, text in enumerate(batch.column(1)):
                 own = words(text.as_py())
                 counts.append(len(own))
-                found, names = [], set()
-                for search, owners in searches:
-                    for start, w in search.find(own):
-                        found.append((start, start + len(w)))
-                        names |= owners[w]
+                found = list(shard.find(own))
                 if found:
-                    spans[row] = merged([*((s["start"], s["end"]) for s in spans[row]), *found])
-                    ids[row] = sorted({*ids[row], *(n for n in names if n is not None)})
+                    spans[row] = merged([*((s["start"], s["end"]) for s in spans[row]), *((a, b) for a, b, _ in found)])
+                    ids[row] = sorted({*ids[row], *(n for *_, names in found for n in names if n is not None)})
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(counts, pa.int64()),
                  pa.array(spans, batch.schema.field(3).type), pa.array(ids, batch.schema.field(4).type)],
@@ -95,6 +103,15 @@ def _search(shard: list[tuple], size: int):
     return run
 
 
+def _shards(items: DataFrame, item: str, item_text: str, shard_bytes: int) -> Iterator[list[tuple]]:
+    """Items (name as string, text) in shards of about so many bytes of text; each shard holds whole items."""
+    named = items.select(F.col(item).cast("string").alias("name"), F.col(item_text).alias("text")).filter("text is not null")
+    total = named.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    n = max(1, -(-total // shard_bytes))
+    for k in range(n):
+        yield [tuple(r) for r in named.filter(F.pmod(F.xxhash64("text"), F.lit(n)) == k).collect()]
+
+
 def merged(spans: list[tuple[int, int]]) -> list[dict]:
     out: list[dict] = []
     for start, end in sorted(spans):
@@ -110,20 +127,27 @@ def search(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "
     """(key, text, n_words, spans, item_ids): where words of the text lie in occurrences of item windows.
 
     spans: merged word ranges, from 0, end not included. item_ids: names as strings, sorted."""
-    named = items.select(F.col(item).cast("string").alias("name"), F.col(item_text).alias("text")).filter("text is not null")
-    total = named.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    shards = max(1, -(-total // shard_bytes))
     kind = docs.schema[key].dataType
     out = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.lit(0).cast("long").alias("n_words"),
                       F.array().cast("array<struct<start:int,end:int>>").alias("spans"),
                       F.array().cast("array<string>").alias("item_ids"))
     schema = T.StructType([T.StructField("key", kind), *out.schema.fields[1:]])
-    for n in range(shards):      # a shard: whole items by hash
-        part = named.filter(F.pmod(F.xxhash64("text"), F.lit(shards)) == n)
-        out = out.mapInArrow(_search([tuple(r) for r in part.collect()], size), schema)
+    for items_of_shard in _shards(items, item, item_text, shard_bytes):
+        out = out.mapInArrow(_search(items_of_shard, size), schema)
     return out.withColumnRenamed("key", key).withColumnRenamed("text", text)
 
 
-def without(found: DataFrame, text: str = "text") -> DataFrame:
-    """Rows without any hit."""
-    return found.filter(F.size("spans") == 0)
+def select_clean(docs: DataFrame, items: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
+                 size: int = 10, shard_bytes: int = 16 << 20) -> DataFrame:
+    """Rows without any hit, with all their columns."""
+    at = docs.columns.index(text)
+
+    def without(items_of_shard: list[tuple]):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            shard = Shard(items_of_shard, size)
+            for batch in batches:
+                yield batch.filter(pa.array([next(shard.find(words(x.as_py())), None) is None for x in batch.column(at)], pa.bool_()))
+        return run
+    for items_of_shard in _shards(items, item, item_text, shard_bytes):
+        docs = docs.mapInArrow(without(items_of_shard), docs.schema)
+    return docs

@@ -5,7 +5,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, jaccard, licenses, lm, quality, substrings, tokencount, toxicity
+from . import bpe, decontaminate, html, jaccard, licenses, lm, quality, substrings, tokencount, toxicity
 from .common import fold
 
 QUERIES: dict = {}
@@ -133,3 +133,9 @@ def op6_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How likely is every document under a model of the others?"""
     return lm.score(table(spark, sf_dir, "documents"))
+
+
+@query("op8_main_text")
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is the main text of every page?"""
+    return html.main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))

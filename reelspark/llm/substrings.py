@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import in_blocks, pack, partitions, unpack
 
@@ -69,9 +70,25 @@ def _listed(table: pa.Table) -> tuple[list[int], list[tuple], np.ndarray]:
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
-    """(key, text, n_words, n_removed, n_spans): every row's text without the repeats, words and cut words before it."""
-    shards = partitions(docs.sparkSession)
-    rows = in_blocks(docs.select(F.col(key).alias("key"), F.col(text).alias("text")))
+    """(key, text, n_words, n_removed, n_spans): every row's text without the repeats, its words before, words and runs cut."""
+    return (_cut(docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.lit(None).cast("int").alias("rest")), least)
+            .drop("rest").withColumnRenamed("key", key).withColumnRenamed("text", text))
+
+
+def rewrite(docs: DataFrame, key: str = "doc_id", text: str = "text", length: str = "n_chars", least: int = LEAST) -> DataFrame:
+    """The same rows and columns with the repeats cut from the text; a column of the text's length follows it."""
+    others = [c for c in docs.columns if c != text]
+    made = _cut(docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.struct(*others).alias("rest")), least)
+    new = {text: F.col("text")}
+    if length in others:
+        new[length] = F.length("text").cast(docs.schema[length].dataType)
+    return made.select(*(new.get(c, F.col("rest")[c]).alias(c) for c in docs.columns))
+
+
+def _cut(rows: DataFrame, least: int) -> DataFrame:
+    """Of (key, text, rest): key, rest, text without repeats, n_words, n_removed, n_spans."""
+    shards = partitions(rows.sparkSession)
+    rows = in_blocks(rows)
 
     def dealt(digests: np.ndarray) -> list[np.ndarray]:
         seen = np.unique(digests)
@@ -128,12 +145,12 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int =
                 raw = raw if raw.strip() else ""
             out[i] = raw, int(total[-1]), int(sum(total[b] - total[a] for a, b in runs)), len(runs)
         columns = list(zip(*(out[i] for i in range(len(texts)))))
-        return pa.table({"key": left.column("key"), "text": pa.array(columns[0], pa.string()), "n_words": pa.array(columns[1], pa.int64()),
+        return pa.table({"key": left.column("key"), "rest": left.column("rest"), "text": pa.array(columns[0], pa.string()), "n_words": pa.array(columns[1], pa.int64()),
                          "n_removed": pa.array(columns[2], pa.int64()), "n_spans": pa.array(columns[3], pa.int64())})
 
-    kind = rows.schema["key"].dataType.simpleString()
-    answers = (rows.groupBy("blk").applyInArrow(list_digests, "shard int, blk int, data binary")
+    schema = T.StructType([T.StructField("key", rows.schema["key"].dataType), T.StructField("rest", rows.schema["rest"].dataType),
+                           T.StructField("text", T.StringType()),
+                           *(T.StructField(c, T.LongType()) for c in ("n_words", "n_removed", "n_spans"))])
+    answers = (rows.select("blk", "key", "text").groupBy("blk").applyInArrow(list_digests, "shard int, blk int, data binary")
                .groupBy("shard").applyInArrow(first_blocks, "blk int, shard int, data binary"))
-    return (rows.groupBy("blk").cogroup(answers.groupBy("blk"))
-            .applyInArrow(cut_out, f"key {kind}, text string, n_words long, n_removed long, n_spans long")
-            .withColumnRenamed("key", key).withColumnRenamed("text", text))
+    return rows.groupBy("blk").cogroup(answers.groupBy("blk")).applyInArrow(cut_out, schema)

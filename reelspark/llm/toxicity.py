@@ -197,3 +197,14 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     return (docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, text string, score double")
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
             .withColumnRenamed("key", key).withColumnRenamed("text", text))
+
+
+def select_clean(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """Rows that score below 0.5, with all their columns."""
+    slope, intercept, at = model.slope, model.intercept, docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Model(slope, intercept)
+        for batch in batches:
+            yield batch.filter(pa.array([own.score(x.as_py()) < 0.5 for x in batch.column(at)], pa.bool_()))
+    return docs.mapInArrow(run, docs.schema)
