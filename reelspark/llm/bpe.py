@@ -1,7 +1,12 @@
 """BPE encoding and decoding with a table of distinct words.
 
-Texts are split into the tokenizer's words in Spark. Every distinct word is encoded once, in the shard
-that its hash names, and the ids are joined back to the words' positions. Decoding joins ids to pieces.
+Texts are split into the tokenizer's words in Spark. A task turns blocks of rows into word numbers and
+lists each block's distinct words. Every distinct word of the corpus is encoded once, in the shard that
+its hash names, and its ids are joined back to the words' positions. Decoding joins ids to pieces.
+
+A block is named by its content, and the numbers and the lists are read in two passes; so the input should
+give the same rows in the same order when read again, as tables and checkpoints do (a lost task of another
+input would find no answers and fail rather than give wrong ids).
 
 Defined cases: a null or empty text has no ids and decodes to the empty text; keys may be null or
 repeat, each row gives one row; other columns are not read. Special tokens inside a text are matched as
@@ -9,6 +14,7 @@ the tokenizer does. An unknown id has no piece and decodes to nothing; a null id
 """
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 from collections.abc import Iterator
@@ -20,11 +26,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column, deal, in_blocks, pack, partitions, unpack
+from .common import deal, pack, partitions, unpack
 
 #: Fixed value: how byte-level tokenizers of this family split a text.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: Words of a block of rows, at least (a row is never split).
+BLOCK_WORDS = 1_500_000
+
 
 def _definition(path: str) -> str:
     with open(path, encoding="utf-8") as f:
@@ -62,14 +71,14 @@ def encode(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str
     definition = _definition(tokenizer_path)
     specials = _specials(definition)
     shards = partitions(docs.sparkSession)
-    rows = in_blocks(docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")))
+    text_of = F.coalesce(F.col("text"), F.lit(""))
     # The JVM splits; where it may not know a character's class yet, the tokenizer's own splitter does.
-    odd = F.col("text").rlike(r"\p{Cn}")
-    rows = rows.select("blk", "key", F.when(odd, F.col("text")).alias("text"),
-                       F.when(~odd, words(F.col("text"), specials)).alias("words"))
+    odd = text_of.rlike(r"\p{Cn}")
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).select(
+        "key", F.when(odd, text_of).alias("text"), F.when(~odd, words(text_of, specials)).alias("words"))
 
-    def split(table: pa.Table) -> pa.ListArray:
-        listed, raw = column(table, "words"), column(table, "text")
+    def split(batch: pa.RecordBatch) -> pa.ListArray:
+        raw, listed = batch.column(1), batch.column(2)
         if raw.null_count == len(raw):
             return listed
         tok, out = _tokenizer(definition), listed.to_pylist()
@@ -81,21 +90,34 @@ def encode(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str
                     out[i] += [part[a:b] for _, (a, b) in tok.pre_tokenizer.pre_tokenize_str(part)]
         return pa.array(out, pa.list_(pa.string()))
 
-    def list_words(table: pa.Table) -> pa.Table:
-        dealt = deal(split(table).flatten().cast(pa.binary()), shards)
-        kept = [(i, x) for i, x in enumerate(dealt) if len(x)]
-        return pa.table({"shard": pa.array([i for i, _ in kept], pa.int32()),
-                         "blk": pa.array([table.column("blk")[0].as_py()] * len(kept), pa.int32()),
-                         "data": pa.array([pack(words=x) for _, x in kept], pa.binary())})
+    def list_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Per block of rows: its keys and word numbers under shard -1, and its distinct words by shard."""
+        for batch in batches:
+            every = split(batch)
+            ends = np.concatenate([[0], np.cumsum(every.value_lengths().fill_null(0).to_numpy())])
+            cuts = np.unique(np.append(np.searchsorted(ends, np.arange(0, ends[-1], BLOCK_WORDS), side="left"), len(every)))
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                part = every.slice(a, b - a)
+                coded = part.flatten().cast(pa.binary()).dictionary_encode()
+                dealt = deal(coded.dictionary, shards)
+                place = pc.index_in(coded.dictionary, value_set=pa.chunked_array(dealt, pa.binary()).combine_chunks())
+                whole = pack(keys=batch.column(0).slice(a, b - a), n=part.value_lengths().fill_null(0),
+                             places=place.take(coded.indices))
+                data = [whole, *(pack(words=x) for x in dealt if len(x))]
+                blk = hashlib.blake2b(b"".join(hashlib.blake2b(x).digest() for x in data), digest_size=16).digest()
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([-1, *(i for i, x in enumerate(dealt) if len(x))], pa.int32()),
+                    pa.array([blk] * len(data), pa.binary()), pa.array(data, pa.binary())], names=["shard", "blk", "data"])
 
     def encode_words(table: pa.Table) -> pa.Table:
         tok = _tokenizer(definition)
         asked = [unpack(x)["words"] for x in table.column("data").to_pylist()]
-        every = pc.unique(pa.chunked_array(asked)).cast(pa.string())
-        coded = tok.encode_batch(every.to_pylist(), add_special_tokens=False)
-        ids = pa.array([x.ids for x in coded], pa.list_(pa.int32()))
-        del coded
-        every = every.cast(pa.binary())
+        every = pc.unique(pa.chunked_array(asked, pa.binary()))
+        coded = []
+        for at in range(0, len(every), 10_000):
+            batch = tok.encode_batch(every.slice(at, 10_000).cast(pa.string()).to_pylist(), add_special_tokens=False)
+            coded.append(pa.array([x.ids for x in batch], pa.list_(pa.int32())))
+        ids = pa.chunked_array(coded, pa.list_(pa.int32())).combine_chunks()
         answers = []
         for x in asked:
             own = ids.take(pc.index_in(x, value_set=every))
@@ -103,32 +125,25 @@ def encode(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str
         return pa.table({"blk": table.column("blk"), "shard": table.column("shard"), "data": pa.array(answers, pa.binary())})
 
     def join_ids(left: pa.Table, right: pa.Table) -> pa.Table:
-        listed = split(left)
-        coded = listed.flatten().dictionary_encode()
-        distinct = coded.dictionary.cast(pa.binary())
-        dealt = deal(distinct, shards)
-        answers = {s.as_py(): unpack(d.as_py()) for s, d in zip(right.column("shard"), right.column("data"))}
-        got = [(dealt[s], answers[s]) for s in sorted(answers)]
-        if not got:
-            ids = pa.array([[]] * len(left), pa.list_(pa.int32()))
-            return pa.table({"key": left.column("key"), "ids": ids})
-        order = pc.index_in(distinct, value_set=pa.chunked_array([w for w, _ in got]).combine_chunks())
-        length = np.concatenate([a["n"].to_numpy() for _, a in got])
-        flat = pa.chunked_array([a["ids"] for _, a in got]).combine_chunks()
-        ends = np.concatenate([[0], np.cumsum(length)])
-        per_word = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat).take(order)
-        indices = coded.indices.to_numpy()
-        per_place = per_word.take(pa.array(indices))
-        bounds = np.concatenate([[0], np.cumsum(per_word.value_lengths().to_numpy()[indices])])
-        at = bounds[np.concatenate([[0], np.cumsum(listed.value_lengths().fill_null(0).to_numpy())])]
-        return pa.table({"key": left.column("key"),
-                         "ids": pa.ListArray.from_arrays(pa.array(at, pa.int32()), per_place.flatten())})
-
-    key_type = rows.schema["key"].dataType.simpleString()
-    table = (rows.groupBy("blk").applyInArrow(list_words, "shard int, blk int, data binary")
-             .groupBy("shard").applyInArrow(encode_words, "blk int, shard int, data binary"))
-    return (rows.groupBy("blk").cogroup(table.groupBy("blk"))
-            .applyInArrow(join_ids, f"key {key_type}, ids array<int>").withColumnRenamed("key", key))
+        answers = [unpack(d) for _, d in sorted(dict(zip(right.column("shard").to_pylist(), right.column("data").to_pylist())).items())]
+        length = np.concatenate([a["n"].to_numpy() for a in answers]) if answers else np.zeros(0, np.int64)
+        flat = pa.chunked_array([a["ids"] for a in answers], pa.int32()).combine_chunks()
+        per_word = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]), pa.int32()), flat)
+        out = []
+        for data in left.column("data").to_pylist():                         # equal blocks share a name
+            whole = unpack(data)
+            places = whole["places"].to_numpy()
+            bounds = np.concatenate([[0], np.cumsum(length[places], dtype=np.int64)])
+            at = bounds[np.concatenate([[0], np.cumsum(whole["n"].to_numpy(), dtype=np.int64)])]
+            ids = pa.ListArray.from_arrays(pa.array(at, pa.int32()), per_word.take(whole["places"]).flatten())
+            out.append(pa.table({"key": whole["keys"], "ids": ids}))
+        return pa.concat_tables(out)
+
+    kind = rows.schema["key"].dataType.simpleString()
+    listed = rows.mapInArrow(list_words, "shard int, blk binary, data binary")
+    table = (listed.filter("shard >= 0").groupBy("shard").applyInArrow(encode_words, "blk binary, shard int, data binary"))
+    return (listed.filter("shard < 0").groupBy("blk").cogroup(table.groupBy("blk"))
+            .applyInArrow(join_ids, f"key {kind}, ids array<int>").withColumnRenamed("key", key))
 
 
 def pieces(definition: str) -> list[bytes]:
