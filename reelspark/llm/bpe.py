@@ -33,6 +33,8 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 
 #: Words of a block of rows, at least (a row is never split).
 BLOCK_WORDS = 1_500_000
+#: Ids that are decoded at a time.
+DECODE_IDS = 500_000
 
 
 def _definition(path: str) -> str:
@@ -108,6 +110,8 @@ def encode(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str
                 yield pa.RecordBatch.from_arrays([
                     pa.array([-1, *(i for i, x in enumerate(dealt) if len(x))], pa.int32()),
                     pa.array([blk] * len(data), pa.binary()), pa.array(data, pa.binary())], names=["shard", "blk", "data"])
+            del every
+            pa.default_memory_pool().release_unused()
 
     def encode_words(table: pa.Table) -> pa.Table:
         tok = _tokenizer(definition)
@@ -137,6 +141,7 @@ def encode(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str
             at = bounds[np.concatenate([[0], np.cumsum(whole["n"].to_numpy(), dtype=np.int64)])]
             ids = pa.ListArray.from_arrays(pa.array(at, pa.int32()), per_word.take(whole["places"]).flatten())
             out.append(pa.table({"key": whole["keys"], "ids": ids}))
+        pa.default_memory_pool().release_unused()
         return pa.concat_tables(out)
 
     kind = rows.schema["key"].dataType.simpleString()
@@ -167,18 +172,20 @@ def decode(coded: DataFrame, tokenizer_path: str, ids: str = "ids", to: str = "d
     schema = T.StructType([*coded.schema.fields, T.StructField(to, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.array(pieces(definition), pa.binary())
-        for batch in batches:
-            lists = batch.column(batch.schema.get_field_index(ids))
-            flat = lists.flatten()
-            flat = flat.filter(pc.is_valid(flat)) if flat.null_count else flat
-            lists = lists if not lists.flatten().null_count else pa.array([[i for i in x or () if i is not None] for x in lists.to_pylist()], lists.type)
-            known = np.array(flat, dtype=np.int64)
-            place = pa.array(np.where((known >= 0) & (known < len(table)), known, len(table)))
-            found = pa.chunked_array([table, pa.array([b""], pa.binary())]).combine_chunks().take(place)
-            ends = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy())])
-            joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found), b"")
-            out = pa.array([x.decode("utf-8", "replace") for x in joined.to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, out], names=[*batch.schema.names, to])
+        table = pa.chunked_array([pieces(definition), [b""]], pa.binary()).combine_chunks()
+        for whole in batches:
+            at = whole.schema.get_field_index(ids)
+            ends = np.cumsum(whole.column(at).value_lengths().fill_null(0).to_numpy(), dtype=np.int64)
+            cuts = np.unique(np.searchsorted(ends, np.arange(0, ends[-1] + DECODE_IDS, DECODE_IDS))) if len(ends) else []
+            for a, b in zip([0, *cuts], [*cuts, len(ends)]):
+                batch = whole.slice(a, b - a)
+                lists = batch.column(at)
+                known = lists.flatten().cast(pa.int64()).fill_null(-1).to_numpy()
+                place = np.where((known >= 0) & (known < len(table) - 1), known, len(table) - 1)
+                bounds = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy())])
+                joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), table.take(pa.array(place))), b"")
+                out = pa.array([x.decode("utf-8", "replace") for x in joined.to_pylist()], pa.string())
+                yield pa.RecordBatch.from_arrays([*batch.columns, out], names=[*batch.schema.names, to])
+            pa.default_memory_pool().release_unused()
 
     return coded.mapInArrow(run, schema)
