@@ -10,19 +10,18 @@ from .common import checkpointed
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): every node of an edge (a, b) with the smallest node that it reaches.
 
-    A round takes the smallest label among the neighbours and then that label's own label; each is one
-    shuffle by node with a map-side minimum. Rounds grow with the logarithm of the longest chain; the
-    lineage is cut in the shared checkpoint folder after each."""
-    pairs = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b")
-    pairs = checkpointed(pairs.distinct())
-    labels = checkpointed(pairs.groupBy("a").agg(F.min("b").alias("near"))
-                          .select(F.col("a").alias("node"), F.least("a", "near").alias("label")))
+    A round takes the smallest label among a node and its neighbours and then that label's own label: one
+    join and map-side minimum by node, one join by label. Rounds grow with the logarithm of the longest
+    chain; star-shaped input needs two or three. The lineage is cut in the shared checkpoint folder."""
+    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct()
+    pairs = checkpointed(both.unionByName(both.select("a", F.col("a").alias("b")).distinct()))
+    labels = pairs.groupBy("a").agg(F.min("b").alias("label")).withColumnRenamed("a", "node")
+    labels = checkpointed(labels)
     while True:
-        near = (pairs.join(labels, pairs.b == labels.node).groupBy("a").agg(F.min("label").alias("near")))
-        lower = labels.join(near, labels.node == near.a).select("node", "label", F.least("label", "near").alias("low"))
+        near = (pairs.join(labels, pairs.b == labels.node).groupBy("a")
+                .agg(F.min("label").alias("low"), F.max(F.when(F.col("a") == F.col("b"), F.col("label"))).alias("own")))
         up = labels.select(F.col("node").alias("low"), F.col("label").alias("above"))
-        jumped = checkpointed(lower.join(up, "low").select("node", F.least("low", "above").alias("next"), "label"))
-        moved = jumped.filter("next <> label").limit(1).count()
+        jumped = checkpointed(near.join(up, "low").select(F.col("a").alias("node"), F.least("low", "above").alias("next"), "own"))
         labels = jumped.select("node", F.col("next").alias("label"))
-        if not moved:
+        if not jumped.filter("next <> own").limit(1).count():
             return labels

@@ -31,7 +31,7 @@ WORDS, SKETCH = 5, 20
 #: Classes of one sketch entry above which a tile is split into size bands.
 HOT = 5_000
 #: Classes of a candidate group that are compared in one task.
-CHUNK = 2_000
+CHUNK = 5_000
 #: Fixed values of the shingle hash: odd multipliers by word, from a seeded generator.
 _MIX = np.random.default_rng(7).integers(1 << 40, 1 << 63, 16).astype(np.uint64) | np.uint64(1)
 
@@ -131,11 +131,15 @@ def candidates(classes: DataFrame, per_cent: int) -> DataFrame:
             near = a + np.flatnonzero(_enough(most, sizes[a:i], sizes[i], per_cent))
             if not len(near):
                 continue
-            roots, first = np.unique(root[near], return_index=True)
-            for r, at in zip(roots, near[first]):
-                if r != root[i]:
-                    yield nodes[at], nodes[i]
-                    root[root == r] = root[i]
+            for r in np.unique(root[near]):
+                root[root == r] = root[i]
+        # One star per group, at its smallest node: the same one in most tiles that the group's classes share.
+        groups: dict[int, list[bytes]] = {}
+        for r, node in zip(root.tolist(), nodes):
+            groups.setdefault(r, []).append(node)
+        for group in groups.values():
+            centre = min(group)
+            yield from ((centre, node) for node in group if node != centre)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -169,16 +173,16 @@ def candidates(classes: DataFrame, per_cent: int) -> DataFrame:
 
 
 def resolve(members: DataFrame, per_cent: int) -> DataFrame:
-    """Edges (a, b) of true links that connect what is connected, of (bin, grp, part, node, hashes) rows.
+    """(a, b, whole) of (bin, grp, chunks, part, node, hashes) rows: stars of true links from the smallest node of each
+    component of a group's part; whole: the part is all of its group, so a is the component's label.
 
     Rows of one bin are compared group by group."""
     def run(table: pa.Table) -> pa.Table:
-        from collections import defaultdict
-        groups: dict = defaultdict(list)
-        for grp, part, node, data in zip(*(table.column(c).to_pylist() for c in ("grp", "part", "node", "hashes"))):
-            groups[grp, part].append((len(data) // 8, node, data))
-        left, right = [], []
-        for rows in groups.values():
+        groups: dict = {}
+        for grp, chunks, part, node, data in zip(*(table.column(c).to_pylist() for c in ("grp", "chunks", "part", "node", "hashes"))):
+            groups.setdefault((grp, part, chunks), []).append((len(data) // 8, node, data))
+        left, right, whole = [], [], []
+        for (_, _, chunks), rows in groups.items():
             rows.sort(key=lambda r: r[:2])
             sizes = np.array([n for n, _, _ in rows])
             arrays = [np.frombuffer(d, np.uint64) for _, _, d in rows]
@@ -190,15 +194,20 @@ def resolve(members: DataFrame, per_cent: int) -> DataFrame:
                     j = open_[-1]                                            # nearest in size first
                     both = len(np.intersect1d(arrays[i], arrays[j], assume_unique=True))
                     if _enough(both, len(arrays[i]), len(arrays[j]), per_cent):
-                        left.append(rows[j][1])
-                        right.append(rows[i][1])
                         root[root == root[j]] = root[i]
                         open_ = open_[root[open_] != root[i]]
                     else:
                         open_ = open_[:-1]
-        return pa.table({"a": pa.array(left, pa.binary()), "b": pa.array(right, pa.binary())})
+            stars: dict[int, list[bytes]] = {}
+            for r, (_, node, _) in zip(root.tolist(), rows):
+                stars.setdefault(r, []).append(node)
+            for nodes in stars.values():
+                left += [min(nodes)] * len(nodes)
+                right += nodes
+            whole += [chunks == 1] * len(rows)
+        return pa.table({"a": pa.array(left, pa.binary()), "b": pa.array(right, pa.binary()), "whole": pa.array(whole, pa.bool_())})
 
-    return members.groupBy("bin").applyInArrow(run, "a binary, b binary")
+    return members.groupBy("bin").applyInArrow(run, "a binary, b binary, whole boolean")
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = WORDS, per_cent: int = 80) -> DataFrame:
@@ -231,8 +240,11 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = W
     parts = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda o: F.least(own, o) * F.col("chunks") + F.greatest(own, o))
     bins = partitions(docs.sparkSession) * 4
     members = (whole.withColumn("part", F.explode(parts)).select(
-        F.pmod(F.xxhash64("grp", "part"), F.lit(bins)).cast("int").alias("bin"), "grp", "part", "node", "hashes"))
-    linked = components(resolve(members, per_cent))
+        F.pmod(F.xxhash64("grp", "part"), F.lit(bins)).cast("int").alias("bin"), "grp", "chunks", "part", "node", "hashes"))
+    links = checkpointed(resolve(members, per_cent))
+    linked = links.filter("whole").select(F.col("b").alias("node"), F.col("a").alias("label"))
+    if links.filter("not whole").limit(1).count():                           # groups that were compared in several tasks
+        linked = linked.unionByName(components(links.filter("not whole")))
 
     labelled = (rows.select("key", "n", "node").join(linked, "node", "left")
                 .select("key", "n", F.coalesce("label", "node").alias("label")))
