@@ -7,60 +7,40 @@ import numpy as np
 
 
 class Monotone:
-    """A non-decreasing sequence in Elias-Fano form: whole low bytes, and high parts in unary.
+    """A non-decreasing sequence in Elias-Fano form: low bits as they are, high parts in unary.
 
-    `find` is the successor search: among the elements of one high part, which the zeros delimit, the low
-    bytes are searched by halves."""
+    A directory, read off the zeros of the unary part, says where the elements of each high part start; there are
+    16 elements to a high part on average. `find` is the successor search: within one high part, by halves."""
 
     def __init__(self, folder: str, name: str, values: np.ndarray, universe: int):
         n = len(values)
-        values = values.astype(np.uint64)
-        spare = max(0, int(universe).bit_length() - max(n, 1).bit_length())
-        self.n, self.bytes = n, -(-spare // 8)
-        shift = np.uint64(8 * self.bytes)
-        low = values[:, None] >> (np.arange(self.bytes, dtype=np.uint64) * np.uint64(8))[None, :]
-        high = (values >> shift).astype(np.int64) if self.bytes < 8 else np.zeros(n, np.int64)
-        length = n + (int(universe) >> int(shift)) + 1
-        bits = np.zeros(-(-length // 64) * 64, np.uint8)
-        bits[high + np.arange(n)] = 1
-        words = np.packbits(bits, bitorder="little").view(np.uint64)
-        ones = np.concatenate([[0], np.cumsum(np.bitwise_count(words), dtype=np.int64)])
-        self.low = _mapped(folder, f"{name}.low", (low & np.uint64(255)).astype(np.uint8))
-        self.words = _mapped(folder, f"{name}.high", words)
-        self.ones = _mapped(folder, f"{name}.ones", ones)
-        self.shift, self.top = shift, int(universe) >> int(shift)
-
-    def _select(self, k: np.ndarray, bit: int) -> np.ndarray:
-        """Place of the k-th (from 0) one or zero."""
-        before = self.ones if bit else np.arange(len(self.ones)) * 64 - self.ones
-        word = np.searchsorted(before, k, side="right") - 1
-        inside = np.unpackbits(self.words[word].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little") == bit
-        return word * 64 + np.argmax(np.cumsum(inside, axis=1) == (k - before[word] + 1)[:, None], axis=1)
-
-    def _low(self, at: np.ndarray) -> np.ndarray:
-        parts = self.low[at].astype(np.uint64)
-        return (parts << (np.arange(self.bytes, dtype=np.uint64) * np.uint64(8))[None, :]).sum(1, dtype=np.uint64)
-
-    def get(self, at: np.ndarray) -> np.ndarray:
-        high = (self._select(at, 1) - at).astype(np.uint64)
-        return ((high << self.shift) | self._low(at)).astype(np.int64)
+        bits = max(0, int(universe).bit_length() - max(n, 1).bit_length()) + 4
+        self.n, self.shift, self.top = n, bits, int(universe) >> bits
+        high = (values >> bits).astype(np.int64)
+        unary = np.zeros(n + self.top + 1, np.uint8)
+        unary[high + np.arange(n)] = 1
+        kind = next(t for t, size in ((np.uint8, 8), (np.uint16, 16), (np.uint32, 32), (np.uint64, 64)) if bits <= size)
+        self.low = _mapped(folder, f"{name}.low", (values & ((1 << bits) - 1)).astype(kind))
+        self.unary = _mapped(folder, f"{name}.high", np.packbits(unary, bitorder="little"))
+        zeros = np.flatnonzero(np.unpackbits(self.unary, count=len(unary), bitorder="little") == 0)
+        self.starts = np.append(0, zeros - np.arange(len(zeros)))
 
     def find(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Index of the first element not below each value, and whether it is the value."""
-        values = values.astype(np.uint64)
-        high = np.minimum((values >> self.shift).astype(np.int64), self.top)
-        begin = np.where(high > 0, self._select(np.maximum(high - 1, 0), 0) + 1 - high, 0)
-        end = self._select(high, 0) - high
-        target = values - (high.astype(np.uint64) << self.shift)
-        low, stop = begin.copy(), end.copy()
-        while (open_ := np.flatnonzero(low < stop)).size:
-            mid = (low[open_] + stop[open_]) // 2
-            less = self._low(mid) < target[open_]
-            low[open_] = np.where(less, mid + 1, low[open_])
-            stop[open_] = np.where(less, stop[open_], mid)
+        """Index of the first element not below each value (all below the universe), and whether it is the value."""
+        high = values >> self.shift
+        low, end = self.starts[high], self.starts[high + 1]
+        target = (values & ((1 << self.shift) - 1)).astype(self.low.dtype)
+        stop = end.copy()
+        open_ = np.flatnonzero(low < stop)
+        while open_.size:
+            a, b = low[open_], stop[open_]
+            mid = (a + b) >> 1
+            less = self.low[mid] < target[open_]
+            low[open_], stop[open_] = np.where(less, mid + 1, a), np.where(less, b, mid)
+            open_ = open_[low[open_] < stop[open_]]
         same = np.zeros(len(values), bool)
         there = np.flatnonzero(low < end)
-        same[there] = self._low(low[there]) == target[there]
+        same[there] = self.low[low[there]] == target[there]
         return low, same
 
 
@@ -93,8 +73,8 @@ class Trie:
         total = np.add.reduceat(count, starts) if len(count) else np.zeros(0, np.int64)
         place = np.repeat(np.arange(len(heads)), ends - starts)
         self.span = int(follower.max()) + 1 if len(follower) else 1
-        self.heads = Monotone(folder, "heads", heads, int(heads[-1]) + 1 if len(heads) else 1)
-        self.pointers = Monotone(folder, "pointers", np.append(0, ends), len(context) + 1)
+        self.last = int(heads[-1]) if len(heads) else -1
+        self.heads = Monotone(folder, "heads", heads, self.last + 1)
         # A context's followers rise; counted on from the context's place, all followers of all contexts do.
         self.followers = Monotone(folder, "followers", place * self.span + follower, max(len(heads), 1) * self.span)
         share = Quantised((count - discount) / total[place])
@@ -104,7 +84,8 @@ class Trie:
 
     def query(self, head: np.ndarray, lengths: np.ndarray, follower: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes of the shares of (head, follower) pairs, 0 where unseen, and of the mass left of every head, 0 where unseen."""
-        at, known = self.heads.find(head)
+        at, known = self.heads.find(np.minimum(head, max(self.last, 0)))
+        known &= head <= self.last
         left = np.zeros(len(head), np.uint16)
         left[known] = self.left[at[known]]
         place, usable = np.repeat(at, lengths), np.repeat(known, lengths) & (follower < self.span)
@@ -112,7 +93,5 @@ class Trie:
         asked = np.flatnonzero(usable)
         if asked.size:
             found, same = self.followers.find(place[asked] * self.span + follower[asked])
-            inside = (self.pointers.get(place[asked]) <= found) & (found < self.pointers.get(place[asked] + 1))
-            hit = same & inside
-            codes[asked[hit]] = self.share[found[hit]]
+            codes[asked[same]] = self.share[found[same]]
         return codes, left
