@@ -33,7 +33,7 @@ BUCKETS, DIM = 1 << 18, 4
 #: Words of a window; the next one starts after half of them.
 WINDOW = 16
 #: Bounds of the training sample, in rows and in bytes of text.
-POSITIVES, NEGATIVES, SAMPLE_BYTES = 1_500, 3_000, 32 << 20
+POSITIVES, NEGATIVES, SAMPLE_BYTES = 1_000, 2_000, 16 << 20
 #: Buckets seen in fewer texts of the sample stay at zero.
 LEAST_ROWS = 3
 #: Words that a task's cache may hold before it is emptied.
@@ -59,7 +59,8 @@ def fit(texts: list[list[bytes]], label: np.ndarray, buckets: int, dim: int = DI
     flat = np.fromiter((ids.setdefault(w, len(ids)) for t in texts for w in t), np.int64)
     parts = [subwords(w, buckets) for w in ids]
     word_ends = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-    places = np.fromiter((b for p in parts for b in p), np.int64, word_ends[-1])
+    places = np.fromiter((b for p in parts for b in p), np.int32, word_ends[-1])
+    del parts
     text_of = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
     pairs = np.unique(flat * len(texts) + text_of)                          # in how many texts a bucket stands, by its words
     per_word = np.bincount(pairs // len(texts), minlength=len(ids))
@@ -92,10 +93,18 @@ def fit(texts: list[list[bytes]], label: np.ndarray, buckets: int, dim: int = DI
     bags = None
     for turn in range(mean_rounds + top_rounds):
         if turn < mean_rounds:
-            if bags is None:            # whole texts, as counts of distinct buckets
-                place, of, total = spread(text_ends[:-1], text_ends[1:])
-                pair, n = np.unique(of * buckets + place, return_counts=True)
-                bags = pair % buckets, pair // buckets, (n / total[pair // buckets]).astype(np.float32)
+            if bags is None:            # whole texts, as shares of distinct live buckets, a few texts at a time
+                made = []
+                for low in range(0, len(texts), 50):
+                    ends = text_ends[low:low + 51]
+                    place, of, total = spread(ends[:-1], ends[1:])
+                    pair, n = np.unique(of.astype(np.int64) * buckets + place, return_counts=True)
+                    keep = live[pair % buckets]
+                    pair, n = pair[keep], n[keep]
+                    made.append(((pair % buckets).astype(np.int32), (pair // buckets + low).astype(np.int32),
+                                 (n / total[pair // buckets]).astype(np.float32)))
+                bags = tuple(np.concatenate(x) for x in zip(*made))
+                del made
             place, of, share = bags
         else:
             slope = table @ (layer[:, 1] - layer[:, 0])
