@@ -242,7 +242,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = W
     members = (whole.withColumn("part", F.explode(parts)).select(
         F.pmod(F.xxhash64("grp", "part"), F.lit(bins)).cast("int").alias("bin"), "grp", "chunks", "part", "node", "hashes"))
     links = checkpointed(resolve(members, per_cent))
-    linked = links.filter("whole").select(F.col("b").alias("node"), F.col("a").alias("label"))
+    linked = links.filter("whole").groupBy(F.col("b").alias("node")).agg(F.min("a").alias("label"))      # once per repeated key
     if links.filter("not whole").limit(1).count():                           # groups that were compared in several tasks
         linked = linked.unionByName(components(links.filter("not whole")))
 

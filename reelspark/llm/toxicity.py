@@ -10,7 +10,7 @@ The training sample is bounded: at most `positives` and `negatives` labelled row
 (those of the smallest key hashes) and at most `SAMPLE_BYTES` of their texts. The intercept is then
 moved to the label shares of the whole training fold. Scoring sends one number per bucket to the tasks.
 
-Defined cases: a null or empty text, or one without words, scores as the intercept alone; without labels
+Defined cases: a null or empty text, or one without words, scores as the share of toxic labels; without labels
 of both kinds every score is 0 (nothing is known to be toxic); a key with several labels is toxic if any
 is; null labels and keys teach nothing; keys may be null or repeat; other columns are never read.
 """
@@ -142,8 +142,8 @@ def fit(texts: list[list[bytes]], label: np.ndarray, buckets: int, dim: int = DI
 class Model:
     """score = 1 / (1 + exp(-(mean of slope over the subwords + intercept)))."""
 
-    def __init__(self, slope: np.ndarray, intercept: float):
-        self.slope, self.intercept, self.cache = slope, intercept, {}
+    def __init__(self, slope: np.ndarray, intercept: float, prior: float = 0.0):
+        self.slope, self.intercept, self.prior, self.cache = slope, intercept, prior, {}
 
     def word(self, word: bytes) -> tuple[float, int]:
         got = self.cache.get(word)
@@ -159,13 +159,14 @@ class Model:
     def score(self, text: str | None) -> float:
         if self.intercept == -np.inf:
             return 0.0
-        x, own = self.intercept, words(text)
-        if own:
-            got = np.array([self.word(w) for w in own])
-            running = np.concatenate([[[0, 0]], np.cumsum(got, axis=0)])
-            begin = starts(len(own))
-            sums = running[np.minimum(begin + WINDOW, len(own))] - running[begin]
-            x += (sums[:, 0] / sums[:, 1]).max()
+        own = words(text)
+        if not own:
+            return self.prior
+        got = np.array([self.word(w) for w in own])
+        running = np.concatenate([[[0, 0]], np.cumsum(got, axis=0)])
+        begin = starts(len(own))
+        sums = running[np.minimum(begin + WINDOW, len(own))] - running[begin]
+        x = self.intercept + (sums[:, 0] / sums[:, 1]).max()
         return float(1 / (1 + np.exp(-np.clip(x, -700, 700))))
 
 
@@ -189,16 +190,16 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     if len(set(label_of)) < 2:
         return Model(np.zeros(buckets, np.float32), -np.inf)
     slope, intercept = fit([words(x) for x in rows.column("text").to_pylist()], label_of, buckets)
-    return Model(slope, intercept + np.log(counts[1] / counts[0]))      # trained as if both were as frequent
+    return Model(slope, intercept + np.log(counts[1] / counts[0]), counts[1] / (counts[0] + counts[1]))      # trained as if both were as frequent
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Adds score and predicted to every row."""
-    slope, intercept = model.slope, model.intercept
+    parts = model.slope, model.intercept, model.prior
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Model(slope, intercept)
+        own = Model(*parts)
         for batch in batches:
             scores = [own.score(x.as_py()) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores, pa.float64())],
@@ -210,10 +211,10 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
 
 def select_clean(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Rows that score below 0.5, with all their columns."""
-    slope, intercept, at = model.slope, model.intercept, docs.columns.index(text)
+    parts, at = (model.slope, model.intercept, model.prior), docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Model(slope, intercept)
+        own = Model(*parts)
         for batch in batches:
             yield batch.filter(pa.array([own.score(x.as_py()) < 0.5 for x in batch.column(at)], pa.bool_()))
     return docs.mapInArrow(run, docs.schema)
