@@ -153,7 +153,8 @@ def timestamp_hms(spark, d):
 
 @query("story_key", r"""WITH n AS (SELECT page_id, url, regexp_replace(url, '[^a-zA-Z0-9]+', '-', 'g') || CASE page_id % 4 WHEN 0 THEN '-416x736-32s'
     WHEN 1 THEN '-reel-1080x1920' WHEN 2 THEN '-1376x768-416x736-' ELSE '' END AS name FROM pages)
-  SELECT page_id, regexp_replace(name, '-(416|736|1080|1376)x.*$', '') AS story FROM n""")
+  SELECT page_id, CASE WHEN contains(name, '-416x') THEN split_part(name, '-416x', 1) WHEN contains(name, '-736x') THEN split_part(name, '-736x', 1)
+    WHEN contains(name, '-1080x') THEN split_part(name, '-1080x', 1) WHEN contains(name, '-1376x') THEN split_part(name, '-1376x', 1) ELSE name END AS story FROM n""")
 def story_key(spark, d):
     return _reel_names(spark, d).select("page_id", N.story_key("name").alias("story"))
 

@@ -225,7 +225,12 @@ def srt_seconds(line, first_group: int) -> Column:
 
 
 def story_key(name) -> Column:
-    return F.regexp_replace(_c(name), r"(?s)-(416|736|1080|1376)x.*$", "")
+    """The name before its size: of the sizes in K.STORY_SIZES, the first listed one that occurs decides."""
+    whole, cut = _c(name), None
+    for size in K.STORY_SIZES:
+        here, before = F.contains(whole, F.lit(size)), F.substring_index(whole, size, 1)
+        cut = F.when(here, before) if cut is None else cut.when(here, before)
+    return cut.otherwise(whole)
 
 
 def name_dims(name) -> Column:

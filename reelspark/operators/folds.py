@@ -215,18 +215,16 @@ def plan_column(headline, body, max_seconds, target_seconds, max_units: int = K.
 def plan_news(news: DataFrame, key: str = "doc_id", headline: str = "headline", body: str = "body",
               max_seconds: float = K.REFERENCE_TAKE_SECONDS, target_seconds: float = K.TARGET_SECONDS,
               max_units: int = K.MAX_UNITS, clean: bool = True) -> DataFrame:
-    """One plan per acceptable document (headline present, both parts within their limits)."""
+    """One plan per document; `news_issues` names those that a caller may want to refuse."""
     h, b = (X.strip_html(headline), X.strip_html(body)) if clean else (F.col(headline), F.col(body))
-    base = X.once(news, _h=h, _b=b).select(key, "_h", "_b").filter(
-        (F.col("_h") != "") & (F.length("_h") <= K.HEADLINE_MAX) & (F.length("_b") <= K.BODY_MAX))
+    base = X.once(news, _h=h, _b=b).select(key, "_h", "_b")
     return base.select(key, plan_column("_h", "_b", max_seconds, target_seconds, max_units).alias("plan"))
 
 
 def plan_one_take(news: DataFrame, key: str = "doc_id", headline: str = "headline", body: str = "body",
                   budget_mib: float = K.MIB_BUDGET) -> DataFrame:
     """The whole document as one take: measure its words, choose the largest frame that fits, plan again."""
-    base = X.once(news, _h=X.strip_html(headline), _b=X.strip_html(body)).select(key, "_h", "_b").filter(
-        (F.col("_h") != "") & (F.length("_h") <= K.HEADLINE_MAX) & (F.length("_b") <= K.BODY_MAX))
+    base = X.once(news, _h=X.strip_html(headline), _b=X.strip_html(body)).select(key, "_h", "_b")
     words_of = lambda plan: F.aggregate(plan["takes"], F.lit(0), lambda a, t: a + t["n_words"])
     probe = X.once(base, _n=let(plan_column("_h", "_b", 60.0, 9999.0, 1, one_take=True), words_of))
     sized = X.once(probe, format=N.one_take_format("_n", budget_mib))
@@ -244,3 +242,12 @@ def plan_units(plans: DataFrame, key: str = "doc_id") -> DataFrame:
 def plan_warnings(plans: DataFrame, key: str = "doc_id") -> DataFrame:
     return plans.select(key, F.posexplode("plan.warnings").alias("_p", "w")).select(
         key, (F.col("_p") + 1).alias("seq"), "w.kind", "w.detail")
+
+
+def news_issues(news: DataFrame, key: str = "doc_id", headline: str = "headline", body: str = "body", clean: bool = True) -> DataFrame:
+    """(key, issue): documents without a headline, or with a part beyond its limit."""
+    h, b = (X.strip_html(headline), X.strip_html(body)) if clean else (F.col(headline), F.col(body))
+    base = X.once(news, _h=F.coalesce(h, F.lit("")), _b=F.coalesce(b, F.lit("")))
+    issues = F.array(F.when(F.col("_h") == "", "no headline"), F.when(F.length("_h") > K.HEADLINE_MAX, "headline too long"),
+                     F.when(F.length("_b") > K.BODY_MAX, "body too long"))
+    return base.select(key, F.explode(F.filter(issues, lambda i: i.isNotNull())).alias("issue"))

@@ -199,11 +199,12 @@ def interleave(blocks: DataFrame, keys: list[str], idx: str, text: str, frames:
 
     `idx` is the 1-based position of the block.  The slots between the previous block and this
     one depend on the position alone, so every block emits its own slots: no ordering work and
-    at most one rhythm length of rows per block.  A rhythm without voice yields nothing
-    (`silent_rhythms` lists those).
+    at most one rhythm length of rows per block.  An empty or missing rhythm is one voice slot;
+    one without voice yields nothing (`silent_rhythms` lists those).
     """
     base = blocks.select(*keys, F.col(idx).alias("_i"), F.col(text).alias("_text"), F.col(frames).alias("_frames"),
-                         rhythm.alias("_r"), supports.alias("_s"))
+                         F.when(F.size(rhythm) > 0, rhythm).otherwise(F.array(F.lit("habla"))).alias("_r"),
+                         F.coalesce(supports, F.array().cast("array<string>")).alias("_s"))
     voice = F.filter(F.sequence(F.lit(0), F.size("_r") - 1), lambda p: is_voice(F.element_at("_r", p + 1)))
     base = base.withColumn("_v", voice).filter(F.size("_v") > 0)
     m, v = F.size("_r").cast("bigint"), F.size("_v").cast("bigint")

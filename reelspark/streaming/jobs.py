@@ -17,7 +17,7 @@ from ..operators.series import islands
 
 LATENESS = "10 minutes"
 LOW_MEMORY_MIB = 1200
-ACTIVE_PHASES = ("planned", "generating", "mounting", "auditing")
+ACTIVE_PHASES = ("planned", "waiting_resources", "generating", "mounting")
 ALERT_SCHEMA = "device string, seq bigint, free double, alert string"
 _STATE_FIELDS = ("phase", "message", "final", "completed", "total")
 STATE_SCHEMA = "name string, seq bigint, phase string, message string, final string, completed bigint, total bigint"
