@@ -52,17 +52,18 @@ def starts(n: int) -> np.ndarray:
     return np.arange(0, max(n - WINDOW // 2, 1), WINDOW // 2) if n else np.zeros(0, np.int64)
 
 
-def fit(texts: list[list[bytes]], label: np.ndarray, buckets: int, dim: int = DIM, mean_rounds: int = 12, top_rounds: int = 60,
+def fit(texts: list[str], label: np.ndarray, buckets: int, dim: int = DIM, mean_rounds: int = 12, top_rounds: int = 60,
         rate: float = 1.0) -> tuple[np.ndarray, float]:
     """Slope of every bucket (its embedding through the layer) and intercept, for the second class against the first."""
     ids: dict[bytes, int] = {}
-    flat = np.fromiter((ids.setdefault(w, len(ids)) for t in texts for w in t), np.int64)
+    coded = [np.fromiter((ids.setdefault(w, len(ids)) for w in words(t)), np.int32) for t in texts]
+    flat, texts = np.concatenate(coded) if coded else np.zeros(0, np.int32), coded
     parts = [subwords(w, buckets) for w in ids]
     word_ends = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
     places = np.fromiter((b for p in parts for b in p), np.int32, word_ends[-1])
     del parts
     text_of = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-    pairs = np.unique(flat * len(texts) + text_of)                          # in how many texts a bucket stands, by its words
+    pairs = np.unique(flat.astype(np.int64) * len(texts) + text_of)                          # in how many texts a bucket stands, by its words
     per_word = np.bincount(pairs // len(texts), minlength=len(ids))
     rows_of = np.bincount(places, weights=np.repeat(per_word, np.diff(word_ends)), minlength=buckets)
     live = rows_of >= LEAST_ROWS
@@ -103,9 +104,8 @@ def fit(texts: list[list[bytes]], label: np.ndarray, buckets: int, dim: int = DI
                     pair, n = pair[keep], n[keep]
                     made.append(((pair % buckets).astype(np.int32), (pair // buckets + low).astype(np.int32),
                                  (n / total[pair // buckets]).astype(np.float32)))
-                bags = tuple(np.concatenate(x) for x in zip(*made))
-                del made
-            place, of, share = bags
+                bags = made
+            parts = bags
         else:
             slope = table @ (layer[:, 1] - layer[:, 0])
             word_sum = np.add.reduceat(slope[places], word_ends[:-1])
@@ -114,16 +114,21 @@ def fit(texts: list[list[bytes]], label: np.ndarray, buckets: int, dim: int = DI
             best = np.lexsort((-np.arange(len(value)), value, owner))
             top = best[np.append(np.flatnonzero(np.diff(owner[best])), len(best) - 1)] if len(best) else best
             place, of, total = spread(begin[top], end[top])
-            share = (1 / total).astype(np.float32)[of]
-            of = owner[top][of]
-        mean = np.stack([np.bincount(of, weights=table[place, d] * share, minlength=len(texts)) for d in range(dim)], 1).astype(np.float32)
+            parts = [(place, owner[top][of], (1 / total).astype(np.float32)[of])]
+        mean = np.zeros((len(texts), dim))
+        for place, of, share in parts:
+            for d in range(dim):
+                mean[:, d] += np.bincount(of, weights=table[place, d] * share, minlength=len(texts))
+        mean = mean.astype(np.float32)
         logits = mean @ layer + shift
         p = np.exp(logits - logits.max(1, keepdims=True))
         wrong = (p / p.sum(1, keepdims=True) - target) * weight
         back = wrong @ layer.T
-        grads = {"layer": mean.T @ wrong, "shift": wrong.sum(0),
-                 "table": np.stack([np.bincount(place, weights=back[of, d] * share, minlength=buckets) for d in range(dim)], 1)
-                 .astype(np.float32) * live[:, None]}
+        push = np.zeros((buckets, dim), np.float32)
+        for place, of, share in parts:
+            for d in range(dim):
+                push[:, d] += np.bincount(place, weights=back[of, d] * share, minlength=buckets)
+        grads = {"layer": mean.T @ wrong, "shift": wrong.sum(0), "table": push * live[:, None]}
         # Steps follow the gradients' own scale; in the table that of its strongest buckets, so rare ones move little.
         for name, x in (("table", table), ("layer", layer), ("shift", shift)):
             grad, (step, past) = grads[name], state[name]
@@ -189,7 +194,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     label_of = rows.column("label").to_numpy().astype(int)
     if len(set(label_of)) < 2:
         return Model(np.zeros(buckets, np.float32), -np.inf)
-    slope, intercept = fit([words(x) for x in rows.column("text").to_pylist()], label_of, buckets)
+    slope, intercept = fit(rows.column("text").to_pylist(), label_of, buckets)
     return Model(slope, intercept + np.log(counts[1] / counts[0]), counts[1] / (counts[0] + counts[1]))      # trained as if both were as frequent
 
 
