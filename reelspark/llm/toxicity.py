@@ -58,13 +58,14 @@ def fit(texts: list[str], label: np.ndarray, buckets: int, dim: int = DIM, mean_
     ids: dict[bytes, int] = {}
     coded = [np.fromiter((ids.setdefault(w, len(ids)) for w in words(t)), np.int32) for t in texts]
     flat, texts = np.concatenate(coded) if coded else np.zeros(0, np.int32), coded
-    parts = [subwords(w, buckets) for w in ids]
+    parts = [np.array(subwords(w, buckets), np.int32) for w in ids]
     word_ends = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-    places = np.fromiter((b for p in parts for b in p), np.int32, word_ends[-1])
-    del parts
+    places = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+    del parts, ids
     text_of = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
     pairs = np.unique(flat.astype(np.int64) * len(texts) + text_of)                          # in how many texts a bucket stands, by its words
-    per_word = np.bincount(pairs // len(texts), minlength=len(ids))
+    per_word = np.bincount(pairs // len(texts), minlength=len(word_ends) - 1)
+    del pairs
     rows_of = np.bincount(places, weights=np.repeat(per_word, np.diff(word_ends)), minlength=buckets)
     live = rows_of >= LEAST_ROWS
     sizes = np.diff(word_ends)[flat]
@@ -107,14 +108,17 @@ def fit(texts: list[str], label: np.ndarray, buckets: int, dim: int = DIM, mean_
                 bags = made
             parts = bags
         else:
+            bags = parts = None
             slope = table @ (layer[:, 1] - layer[:, 0])
             word_sum = np.add.reduceat(slope[places], word_ends[:-1])
             running = np.concatenate([[0], np.cumsum(word_sum[flat], dtype=np.float64)])
             value = (running[end] - running[begin]) / np.maximum(size_sum[end] - size_sum[begin], 1)
             best = np.lexsort((-np.arange(len(value)), value, owner))
             top = best[np.append(np.flatnonzero(np.diff(owner[best])), len(best) - 1)] if len(best) else best
-            place, of, total = spread(begin[top], end[top])
-            parts = [(place, owner[top][of], (1 / total).astype(np.float32)[of])]
+            parts = []
+            for some in np.array_split(top, len(top) // 250 + 1):
+                place, of, total = spread(begin[some], end[some])
+                parts.append((place, owner[some].astype(np.int32)[of], (1 / total).astype(np.float32)[of]))
         mean = np.zeros((len(texts), dim))
         for place, of, share in parts:
             for d in range(dim):
