@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import tempfile
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -78,6 +79,14 @@ def column(table: pa.Table, name: str) -> pa.Array:
     return whole.combine_chunks() if isinstance(whole, pa.ChunkedArray) else whole
 
 
+def slices(batch: pa.RecordBatch, text: int, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch as runs of rows with about so many bytes of text, so that a task's words are held a few texts at a time."""
+    total = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    cuts = (np.flatnonzero(np.diff(total // size)) + 1).tolist()
+    for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
+        yield batch.slice(a, b - a)
+
+
 def texts(values: pa.Array) -> list[str]:
     """Texts with null as empty."""
     return [x or "" for x in values.to_pylist()]

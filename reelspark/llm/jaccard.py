@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, partitions
+from .common import checkpointed, partitions, slices
 from .components import components
 
 WORDS, SKETCH = 5, 20
@@ -89,7 +89,7 @@ def sets(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             made = shingles(batch.column(1).to_pylist(), size)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([len(h) for h in made], pa.int64()),
@@ -225,7 +225,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = W
 
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             made = shingles(batch.column(1).to_pylist(), size)
             same = [len(h) > 0 and xxh3_128_digest(h.tobytes()) == node for h, node in zip(made, batch.column(0).to_pylist())]
             keep = pa.array(same, pa.bool_())

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import fold
+from .common import fold, slices
 from .decontaminate import words
 
 BUCKETS, DIM = 1 << 18, 4
@@ -37,7 +37,7 @@ POSITIVES, NEGATIVES, SAMPLE_BYTES = 1_000, 2_000, 16 << 20
 #: Buckets seen in fewer texts of the sample stay at zero.
 LEAST_ROWS = 3
 #: Words that a task's cache may hold before it is emptied.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 100_000
 
 
 def subwords(word: bytes, buckets: int, low: int = 3, high: int = 5) -> list[int]:
@@ -209,7 +209,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*parts)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             scores = [own.score(x.as_py()) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores, pa.float64())],
                                              names=["key", "text", "score"])
@@ -224,6 +224,6 @@ def select_clean(docs: DataFrame, model: Model, text: str = "text") -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*parts)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, at)):
             yield batch.filter(pa.array([own.score(x.as_py()) < 0.5 for x in batch.column(at)], pa.bool_()))
     return docs.mapInArrow(run, docs.schema)
