@@ -8,8 +8,6 @@ from reelspark.functions import text as X
 from reelspark.operators import folds, search
 from reelspark.views import news
 
-from . import row_model as M
-
 NOUNS = "puerto barrio alcalde tormenta empresa comisión vecinos tribunal hospital tren museo lluvia ministro obra".split()
 VERBS = "anunció confirmó cerraron aprobó visitaron investiga rechazó abrió pide mantienen".split()
 TAILS = "tras la reunión|por la mañana|y varios heridos|con 30 y 31 personas|en EE.UU. durante el verano|aunque nadie lo sabe|pese a las críticas|para que la gente, los vecinos y el público".split("|")
@@ -39,24 +37,40 @@ def corpus(spark, sf):
     return made.unionByName(real).repartition(8).cache()
 
 
-def expected(corpus, **kw):
-    out = {}
-    for r in corpus.collect():
-        h, b = " ".join(r.headline.split()), " ".join(r.body.split())
-        if h:
-            out[r.doc_id] = M.plan(h, b, **kw)
-    return out
+def nearest_rung(words, top=K.FRAMES_MAX):
+    """Frames whose seconds are nearest to the words' seconds; the shorter of two equally near."""
+    seconds = words / K.WORDS_PER_SECOND + K.TAIL_SECONDS
+    rungs = range(K.FRAMES_MIN, top + 1, K.LADDER_STEP)
+    return min(rungs, key=lambda frames: (abs(frames / K.FPS - seconds), frames))
+
+
+HEAD = "El alcalde anunció obras en el puerto"
+NEXT = "La tormenta derribó cuatro torres eléctricas cerca del hospital provincial"
+
 
+@pytest.mark.parametrize("body,takes", [
+    ("", [HEAD + "."]),
+    (HEAD + ".", [HEAD + "."]),                                                 # nothing new is said
+    (f"{NEXT}. {NEXT}.", [f"{HEAD}. {NEXT}."]),                                 # said once
+])
+def test_plans_by_hand(spark, body, takes):
+    rows = spark.createDataFrame([(1, HEAD, body)], "doc_id bigint, headline string, body string")
+    plan = folds.plan_news(rows).first().plan
+    assert [t.text for t in plan.takes] == takes
+    assert [t.frames for t in plan.takes] == [nearest_rung(len(t.split())) for t in takes]
 
-def test_plan_matches_row_model(corpus):
-    got = {r.doc_id: ([(t.text, t.frames) for t in r.plan.takes], r.plan.seconds)
-           for r in folds.plan_news(corpus).collect()}
-    want = expected(corpus)
-    assert set(got) == set(want)
-    for k in want:
-        assert got[k][0] == want[k][0], k
-        assert abs(got[k][1] - want[k][1]) < 1e-9
-    assert sum(len(v[0]) for v in want.values()) > 120
+
+def test_takes_follow_the_source(corpus):
+    src = {r.doc_id: f"{r.headline} {r.body}" for r in corpus.collect()}
+    n = 0
+    for r in folds.plan_news(corpus).collect():
+        takes = r.plan.takes
+        n += len(takes)
+        assert all(t.frames == nearest_rung(len(t.text.split())) for t in takes), r.doc_id
+        assert abs(r.plan.seconds - sum(t.frames for t in takes) / K.FPS) < 1e-9
+        assert len({t.text for t in takes}) == len(takes) <= 8
+        assert r.doc_id >= 1000 or takes[0].text.split()[:3] == src[r.doc_id].split()[:3]        # the headline comes first
+    assert n > 120
 
 
 def test_plan_properties(corpus):
@@ -88,23 +102,21 @@ def test_same_plan_under_repartition(corpus):
 
 def test_one_take(corpus):
     rows = folds.plan_one_take(corpus).collect()
-    src = {r.doc_id: r for r in corpus.collect()}
+    assert rows
     for r in rows:
-        h, b = " ".join(src[r.doc_id].headline.split()), " ".join(src[r.doc_id].body.split())
-        f = r.format.frames
-        want, _ = M.plan(h, b, f / 24, f / 24, 1, top=f, one=True)
-        assert [(t.text, t.frames) for t in r.plan.takes] == want
-        assert len(r.plan.takes) <= 1 and 73 <= f <= 532 and r.format.width % 16 == 0 and r.format.height % 16 == 0
-
-
-@pytest.mark.parametrize("sentence,cap,minimum", [
-    ("Los técnicos cerraron la presa durante los días 30 y 31 de julio por orden del tribunal de la región", 12, 4),
-    ("La reunión terminó entre Francia, Rusia y Ucrania sin acuerdo alguno para la región que espera", 9, 4),
-    ("El tren llegó", 8, 3),
-    ("Una frase larga sin forma verbal alguna para cortar con sentido entre tantas otras palabras vacías", 10, 4)])
-def test_shorten(spark, sentence, cap, minimum):
+        assert all(t.frames == nearest_rung(len(t.text.split()), r.format.frames) for t in r.plan.takes)
+        assert len(r.plan.takes) <= 1 and 73 <= r.format.frames <= 532 and r.format.width % 16 == 0 and r.format.height % 16 == 0
+
+
+@pytest.mark.parametrize("sentence,cap,minimum,short", [
+    ("Los técnicos cerraron la presa durante los días 30 y 31 de julio por orden del tribunal de la región", 12, 4, "Los técnicos cerraron la presa."),
+    ("La reunión terminó entre Francia, Rusia y Ucrania sin acuerdo alguno para la región que espera", 9, 4, "La reunión terminó entre Francia, Rusia y Ucrania."),
+    ("La reunión terminó entre Francia, Rusia y Ucrania sin acuerdo alguno", 6, 4, None),      # never inside a list
+    ("El tren llegó", 8, 3, "El tren llegó."),
+    ("Una frase larga sin forma verbal alguna para cortar con sentido entre tantas otras palabras vacías", 10, 4, None)])
+def test_shorten(spark, sentence, cap, minimum, short):
     got = spark.range(1).select(X.shorten(F.lit(sentence), cap, minimum).alias("s")).first().s
-    assert got == M.shorten(sentence, cap, minimum)
+    assert got == short
 
 
 def test_repeated_prefix_and_prune(spark):
