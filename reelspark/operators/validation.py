@@ -48,12 +48,16 @@ def check_clips(clips: DataFrame, expected: DataFrame, keys: list[str], min_byte
     c = F.col
     both = expected.join(clips.withColumn("_found", F.lit(True)), keys, "left")
     tolerance = F.greatest(F.lit(0.05), 1 / c("fps_exp"))
+    def broken(rule: Column) -> Column:
+        """A measure that is missing confirms nothing, so it breaks its rule."""
+        return c("_found").isNotNull() & F.coalesce(rule, F.lit(True))
+
     return violations(both, keys, [
-        ("missing_clip", c("_found").isNull()), ("too_small", c("bytes") < min_bytes),
-        ("width", c("width") != c("width_exp")), ("height", c("height") != c("height_exp")),
-        ("no_audio", ~c("has_audio")), ("frame_count", c("frames") != c("frames_exp")),
-        ("frame_rate", F.abs(c("fps") - c("fps_exp")) > 0.01), ("no_duration", c("duration") <= 0),
-        ("duration", F.abs(c("duration") - c("frames_exp") / c("fps_exp")) > tolerance)])
+        ("missing_clip", c("_found").isNull()), ("too_small", broken(c("bytes") < min_bytes)),
+        ("width", broken(c("width") != c("width_exp"))), ("height", broken(c("height") != c("height_exp"))),
+        ("no_audio", broken(~c("has_audio"))), ("frame_count", broken(c("frames") != c("frames_exp"))),
+        ("frame_rate", broken(F.abs(c("fps") - c("fps_exp")) > 0.01)), ("no_duration", broken(c("duration") <= 0)),
+        ("duration", broken(F.abs(c("duration") - c("frames_exp") / c("fps_exp")) > tolerance))])
 
 
 def montage_tolerance(fps: Column, n: Column) -> Column:
@@ -72,8 +76,9 @@ def accept_deliveries(deliveries: DataFrame, batch: str, minimum: int, width: in
     """
     c = F.col
     rows = violations(deliveries, [batch, "name"], [
-        ("no_audio", ~c("has_audio")), ("no_duration", F.coalesce(c("duration") <= 0, F.lit(True))),
-        ("too_small", c("bytes") < min_bytes), ("size", (c("width") != width) | (c("height") != height)),
+        ("no_audio", F.coalesce(~c("has_audio"), F.lit(True))), ("no_duration", F.coalesce(c("duration") <= 0, F.lit(True))),
+        ("too_small", F.coalesce(c("bytes") < min_bytes, F.lit(True))),
+        ("size", F.coalesce(c("width") != width, F.lit(True)) | F.coalesce(c("height") != height, F.lit(True))),
         ("loudness_unknown", c("lufs").isNull()), ("loudness", ~delivery_audio_ok("lufs"))])
     few = (deliveries.groupBy(batch).agg(F.count(F.lit(1)).alias("n")).filter(c("n") < minimum)
            .select(batch, F.lit("").alias("name"), F.lit("too_few").alias("issue")))
