@@ -97,7 +97,7 @@ def encode(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str
         for batch in batches:
             every = split(batch)
             ends = np.concatenate([[0], np.cumsum(every.value_lengths().fill_null(0).to_numpy())])
-            cuts = np.unique(np.append(np.searchsorted(ends, np.arange(0, ends[-1], BLOCK_WORDS), side="left"), len(every)))
+            cuts = np.unique(np.concatenate([[0], np.searchsorted(ends, np.arange(0, ends[-1], BLOCK_WORDS)), [len(every)]]))
             for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
                 part = every.slice(a, b - a)
                 coded = part.flatten().cast(pa.binary()).dictionary_encode()

@@ -54,6 +54,14 @@ def test_bpe_is_the_tokenizer(docs, empty, rows):
     assert bpe.decode(bpe.encode(empty, path), path).count() == 0
 
 
+@pytest.mark.parametrize("texts, parts", [(["", None, "", None], 1), ([None], 1), (["", "a b", None, "c", ""], 5)])
+def test_bpe_keeps_batches_without_words(spark, texts, parts):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(list(enumerate(texts)), parts), "doc_id long, text string")
+    got = {r.doc_id: (len(r.ids) > 0, r.decoded) for r in bpe.decode(bpe.encode(docs, path), path).collect()}
+    assert got == {k: (bool(t), t or "") for k, t in enumerate(texts)}
+
+
 def test_bpe_special_tokens_and_rare_characters(spark):
     from tokenizers import Tokenizer
     path = public_tokenizers.path("byte_bpe_50k.json")
