@@ -6,6 +6,9 @@ host. Tokens of a host with equal vectors form an equivalence class; a class is
 at least `SUPPORT` of the host's pages, on two at least, and has two tokens or more. Paths nest the
 valid classes, which are the host's template. What the template does not hold are the slots; the main
 text are the slots inside the article, or, on pages without one, all slots outside other page parts.
+Inside an article a text is template only if its class holds a start tag, as text of the page's frame does:
+sentences that copies of one article share are no frame. An article that is all template (a host of
+copies) keeps its text. Blanks between elements stay as one blank.
 
 Vectors are never gathered: a task folds the pages it reads into one 64-bit xor of page-and-count hashes
 per token, and Spark combines these before and after the shuffle, so a hot host costs each task one row
@@ -59,9 +62,9 @@ def nodes(page: str) -> Iterator[tuple[int, str, str, bool, bool]]:
         return digest(f"{path}|{what}".encode("utf-8", "surrogatepass"))
 
     def text(raw: str) -> Iterator[tuple[int, str, str, bool, bool]]:
-        if raw and not raw.isspace():
+        if raw:
             _, path, main, outside = stack[-1]
-            yield token(path, " ".join(raw.split())), "", raw, main, outside
+            yield 0 if raw.isspace() else token(path, " ".join(raw.split())), "", raw, main, outside
 
     size = len(page)
     while at < size:
@@ -107,21 +110,25 @@ def nodes(page: str) -> Iterator[tuple[int, str, str, bool, bool]]:
             stack.append((tag, path, main, outside))
 
 
-def extract(page: str | None, template: set[int]) -> str:
-    """Main text of a page: blocks of its article, else of its slots outside other page parts."""
+def extract(page: str | None, template: set[int], frame: set[int]) -> str:
+    """Main text of a page: slots of its article, else its slots outside other page parts; frame: template texts beside tags."""
     if not page:
         return ""
     seen = list(nodes(page))
     whole = any(tag in MAIN or main for _, tag, _, main, _ in seen)
-    blocks: list[list[str]] = [[]]
-    for token, tag, text, main, outside in seen:
-        if tag:
-            if tag in BLOCKS:
-                blocks.append([])
-        elif not outside and (main if whole else token not in template):
-            blocks[-1].append(text)
-    joined = (" ".join(entities.unescape("".join(b)).split()) for b in blocks if b)
-    return "\n".join(b for b in joined if b)
+
+    def kept(known: set[int]) -> str:
+        blocks: list[list[str]] = [[]]
+        for token, tag, text, main, outside in seen:
+            if tag:
+                if tag in BLOCKS:
+                    blocks.append([])
+            elif not outside and (main or not whole) and token not in known:
+                blocks[-1].append(text)
+        joined = (" ".join(entities.unescape("".join(b)).split()) for b in blocks if b)
+        return "\n".join(b for b in joined if b)
+    return kept(frame) or kept(set()) if whole else kept(template)
+
 
 
 def host(url: Column) -> Column:
@@ -129,7 +136,8 @@ def host(url: Column) -> Column:
 
 
 def templates(pages: DataFrame, page: str = "page_id", url: str = "url", html: str = "html", support: float = SUPPORT) -> DataFrame:
-    """(host, token, cls, pages): tokens of every host's valid classes; cls names the class by its vector."""
+    """(host, token, tag, frame, cls, pages): tokens of every host's valid classes; tag: a start tag; frame: its class holds
+    one; cls names the class by its vector."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from collections import Counter
 
@@ -137,35 +145,41 @@ def templates(pages: DataFrame, page: str = "page_id", url: str = "url", html: s
         for batch in batches:
             seen: dict[tuple[str, int], list[int]] = {}
             for name, key, source in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                counts = Counter(t for t, *_ in nodes(source or "") if t)
+                found = [(t, tag != "") for t, tag, *_ in nodes(source or "") if t]
+                counts, tags = Counter(t for t, _ in found), {t for t, is_tag in found if is_tag}
                 counts[0] = 1                                                # the page itself
                 for token, n in counts.items():
-                    own = seen.setdefault((name, token), [0, 0])
+                    own = seen.setdefault((name, token), [0, 0, False])
                     own[0] ^= digest(f"{key}|{n}".encode())
                     own[1] += 1
+                    own[2] |= token in tags
 
             def signed(x: int) -> int:
                 return x - (1 << 64) if x >> 63 else x
             yield pa.RecordBatch.from_arrays([
                 pa.array([h for h, _ in seen], pa.string()), pa.array([signed(t) for _, t in seen], pa.int64()),
-                pa.array([signed(v) for v, _ in seen.values()], pa.int64()), pa.array([n for _, n in seen.values()], pa.int64())],
-                names=["host", "token", "vector", "pages"])
+                pa.array([signed(v) for v, _, _ in seen.values()], pa.int64()), pa.array([n for _, n, _ in seen.values()], pa.int64()),
+                pa.array([x for _, _, x in seen.values()], pa.bool_())], names=["host", "token", "vector", "pages", "tag"])
 
     read = pages.select(host(F.col(url)).alias("host"), F.coalesce(F.col(page).cast("string"), F.lit("")).alias("page"), F.col(html).alias("html"))
-    tokens = (read.mapInArrow(run, "host string, token long, vector long, pages long")
-              .groupBy("host", "token").agg(F.bit_xor("vector").alias("vector"), F.sum("pages").alias("pages")).filter("pages > 1"))
+    tokens = (read.mapInArrow(run, "host string, token long, vector long, pages long, tag boolean")
+              .groupBy("host", "token").agg(F.bit_xor("vector").alias("vector"), F.sum("pages").alias("pages"), F.max("tag").alias("tag"))
+              .filter("pages > 1"))
     tokens = checkpointed(tokens)
     whole = tokens.filter("token = 0").select("host", F.col("pages").alias("of"))
-    classes = tokens.filter("token <> 0").groupBy("host", "vector", "pages").agg(F.count("*").alias("size")).filter("size > 1")
-    valid = classes.join(whole, "host").filter(F.col("pages") >= support * F.col("of")).select("host", "vector", "pages")
-    return tokens.filter("token <> 0").join(valid, ["host", "vector", "pages"]).select("host", "token", F.col("vector").alias("cls"), "pages")
+    classes = tokens.filter("token <> 0").groupBy("host", "vector", "pages").agg(
+        F.count("*").alias("size"), F.max("tag").alias("frame")).filter("size > 1")
+    valid = classes.join(whole, "host").filter(F.col("pages") >= support * F.col("of")).select("host", "vector", "pages", "frame")
+    return (tokens.filter("token <> 0").join(valid, ["host", "vector", "pages"])
+            .select("host", "token", "tag", "frame", F.col("vector").alias("cls"), "pages"))
 
 
 def main_text(pages: DataFrame, page: str = "page_id", url: str = "url", html: str = "html", support: float = SUPPORT) -> DataFrame:
     """(page, url, text) of every row."""
-    per_host = checkpointed(templates(pages, page, url, html, support).groupBy("host")
-                            .agg(F.array_sort(F.collect_list("token")).alias("template")))
-    size = per_host.agg(F.coalesce(F.sum(F.size("template")), F.lit(0))).first()[0]
+    per_host = checkpointed(templates(pages, page, url, html, support).filter("not tag").groupBy("host").agg(
+        F.array_sort(F.collect_list("token")).alias("template"),
+        F.array_sort(F.collect_list(F.when(F.col("frame"), F.col("token")))).alias("frame")))
+    size = per_host.agg(F.coalesce(F.sum(F.size("template") + F.size("frame")), F.lit(0))).first()[0]
     small = F.broadcast(per_host) if size <= BROADCAST_TOKENS else per_host
     kind = pages.schema[page].dataType.simpleString()
     read = pages.select(F.col(page).alias("page"), F.col(url).alias("url"), F.col(html).alias("html"), host(F.col(url)).alias("host"))
@@ -173,9 +187,9 @@ def main_text(pages: DataFrame, page: str = "page_id", url: str = "url", html: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = []
-            for source, template in zip(batch.column(2), batch.column(3).to_pylist()):
-                made.append(extract(source.as_py(), {t & (1 << 64) - 1 for t in template or ()}))
+            for source, *known in zip(batch.column(2), batch.column(3).to_pylist(), batch.column(4).to_pylist()):
+                made.append(extract(source.as_py(), *({t & (1 << 64) - 1 for t in x or ()} for x in known)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, pa.string())], names=["page", "url", "text"])
 
-    return (read.join(small, "host", "left").select("page", "url", "html", "template")
+    return (read.join(small, "host", "left").select("page", "url", "html", "template", "frame")
             .mapInArrow(run, f"page {kind}, url string, text string").withColumnRenamed("page", page).withColumnRenamed("url", url))

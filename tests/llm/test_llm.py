@@ -272,6 +272,16 @@ def test_html(spark):
     assert html.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_html_slots_inside_the_article(spark):
+    body = '<html><body><article><p>{}</p><div class="box"><p>Read our letter</p></div><p>{}</p></article></body></html>'
+    pages = [(i, f"http://box.example/{i}", body.format(f"story {i}", "both say so" if i < 2 else f"end {i}")) for i in range(4)]
+    pages += [(10 + i, f"http://copy.example/{i}", "<article><p>All the same</p></article>") for i in range(3)]
+    pages += [(20, "http://one.example/", "<article><p><b>one</b> <i>two</i></p></article>")]
+    got = {r.page_id: r.text for r in html.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in range(4)] == ["story 0\nboth say so", "story 1\nboth say so", "story 2\nend 2", "story 3\nend 3"]
+    assert {got[10 + i] for i in range(3)} == {"All the same"} and got[20] == "one two"
+
+
 def test_licenses(spark, empty):
     texts = {1: "Released under the MIT License. Licensed under the Apache License, Version 2.0!", 2: None, 3: "", 4: "no such thing here",
              5: "SPDX-License-Identifier: GPL-3.0 and the GNU General Public License, version 3.", 6: "mit  licenses; Apache-license",
