@@ -1,9 +1,8 @@
 """Quality rules: plain counts of a text, and a log-likelihood ratio between trusted and raw text.
 
 Both corpora are multinomials over hashed n-grams (two neighbouring word endings). A text's ratio is the mean over its n-grams of log(p_trusted / p_raw), so it
-does not grow with its length; one fixed threshold decides every text. The raw counts cover every row.
-The trusted counts cover at most `trusted_rows` of the trusted keys, those of the smallest key hashes;
-that bound is what makes the keys small enough to broadcast. Counts are whole numbers and one array of
+does not grow with its length; one fixed threshold decides every text. The raw counts cover every row, the trusted
+counts every row with a trusted key; keys meet texts in an equi join. Counts are whole numbers and one array of
 `buckets` weights leaves them, so the same tables always give the same verdicts. Column expressions only.
 
 Defined cases: a null or empty text has no words and fails; without n-grams the ratio is 0; without
@@ -22,7 +21,6 @@ BUCKETS = 1 << 15
 ENDING = 3
 #: Mean log ratio below which a text is not like trusted text.
 THRESHOLD = -0.2
-TRUSTED_ROWS = 20_000
 SMOOTHING = 1.0
 
 
@@ -78,16 +76,17 @@ def counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         repeated_words(F.col("words")).alias("n_repeat_words"))
 
 
-def weights(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", buckets: int = BUCKETS,
-            trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
+def weights(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", buckets: int = BUCKETS) -> DataFrame:
     """One row: an array with log(p_trusted / p_raw) of every bucket."""
-    chosen = (trusted.select(F.col(key).alias("trusted_key")).filter("trusted_key is not null").distinct()
-              .orderBy(F.xxhash64("trusted_key"), "trusted_key").limit(trusted_rows).withColumn("is_trusted", F.lit(1)))
+    chosen = trusted.select(F.col(key).alias("trusted_key")).filter("trusted_key is not null").distinct()
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = rows.join(F.broadcast(chosen), F.col("key") == F.col("trusted_key"), "left")
-    rows = once(rows, words=words(F.col("text")))
-    seen = (rows.select(F.coalesce("is_trusted", F.lit(0)).alias("own"), F.explode(grams(F.col("words"), buckets)).alias("bucket"))
-            .groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("own").alias("own")))
+    own = rows.join(chosen, F.col("key") == F.col("trusted_key"), "left_semi")
+
+    def found(some: DataFrame, is_own: int) -> DataFrame:
+        return (once(some, words=words(F.col("text")))
+                .select(F.lit(is_own).alias("own"), F.explode(grams(F.col("words"), buckets)).alias("bucket")))
+    seen = (found(rows, 0).unionByName(found(own, 1))
+            .groupBy("bucket").agg(F.sum(1 - F.col("own")).alias("raw"), F.sum("own").alias("own")))
     listed = seen.agg(F.map_from_entries(F.collect_list(F.struct("bucket", F.struct("raw", "own")))).alias("m"),
                       F.sum("raw").alias("all_raw"), F.sum("own").alias("all_own"))
 
@@ -103,9 +102,9 @@ def weights(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str
 
 
 def judge(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", buckets: int = BUCKETS,
-          threshold: float = THRESHOLD, trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
+          threshold: float = THRESHOLD) -> DataFrame:
     """(key, counts, base_failed, ratio, kept) of every row."""
-    table = weights(docs, trusted, key, text, buckets, trusted_rows)
+    table = weights(docs, trusted, key, text, buckets)
     rows = once(counts(docs, key, text), grams=grams(F.col("words"), buckets)).withColumn("weights", table.scalar())
     total = F.aggregate("grams", F.lit(0.0), lambda acc, b: acc + F.col("weights")[b])
     rows = once(rows, ratio=F.when(F.size("grams") > 0, total / F.size("grams")).otherwise(F.lit(0.0)))

@@ -140,6 +140,16 @@ def test_quality_counts_and_ratio(docs, empty, spark, rows):
     assert {r.ratio for r in quality.judge(docs, trusted.limit(0)).collect()} == {0.0}
 
 
+def test_quality_counts_every_trusted_row(spark):
+    n = 25_000
+    docs = spark.range(n).selectExpr("id as doc_id", "concat('a', id, ' b', id) as text")
+    trusted = docs.select("doc_id").filter("doc_id % 10 > 0")
+    seen = [(r.doc_id, r.b) for r in docs.select("doc_id", quality.grams(quality.words(docs.text), 2)[0].alias("b")).collect()]
+    raw, own = collections.Counter(b for _, b in seen), collections.Counter(b for k, b in seen if k % 10)
+    want = [math.log((own[b] + 1) / (n - n // 10 + 2)) - math.log((raw[b] + 1) / (n + 2)) for b in range(2)]
+    assert quality.weights(docs, trusted, buckets=2).first().weights == pytest.approx(want, abs=1e-12)
+
+
 def test_lm_is_the_interpolated_model(docs, empty, rows):
     got = lm.score(docs).collect()
 
