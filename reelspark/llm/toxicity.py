@@ -7,11 +7,13 @@ Embeddings and layer are trained jointly in numpy: some rounds on the means of w
 text's highest window. A misspelt word shares most n-grams with the word, so it shares its vector.
 
 The training sample is bounded: at most `positives` and `negatives` labelled rows of the training fold
-(those of the smallest key hashes) and at most `SAMPLE_BYTES` of their texts. The intercept is then
-moved to the label shares of the whole training fold. Scoring sends one number per bucket to the tasks.
+(those of the smallest key hashes) and at most `SAMPLE_BYTES` of their texts, shared between the classes as
+the rows are; a text of more than `ROW_CHARS` characters teaches by `PIECES` even pieces, so no text takes
+the others' place. The intercept is then moved to the label shares of the whole training fold. Scoring sends one number per bucket to the tasks.
 
 Defined cases: a null or empty text, or one without words, scores as the share of toxic labels; without labels
-of both kinds every score is 0 (nothing is known to be toxic); a key with several labels is toxic if any
+of both kinds every score is 0 (nothing is known to be toxic); with both, but texts of one kind only, every text
+scores as the share of toxic labels; a key with several labels is toxic if any
 is; null labels and keys teach nothing; keys may be null or repeat; other columns are never read.
 """
 from __future__ import annotations
@@ -34,6 +36,8 @@ BUCKETS, DIM = 1 << 18, 4
 WINDOW = 16
 #: Bounds of the training sample, in rows and in bytes of text.
 POSITIVES, NEGATIVES, SAMPLE_BYTES = 1_000, 2_000, 16 << 20
+#: Characters of one text that enter the sample, at most, and the pieces that a longer text gives.
+ROW_CHARS, PIECES = 1 << 16, 16
 #: Buckets seen in fewer texts of the sample stay at zero.
 LEAST_ROWS = 3
 #: Words that a task's cache may hold before it is emptied.
@@ -187,18 +191,22 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     if len(counts) < 2:
         return Model(np.zeros(buckets, np.float32), -np.inf)
-    chosen = [known.filter(F.col("label") == v).orderBy(F.xxhash64("known_key"), "known_key").limit(n)
-              for v, n in ((1, positives), (0, negatives))]
-    sample = F.broadcast(chosen[0].unionByName(chosen[1]))       # at most positives + negatives rows
     running = F.sum(F.octet_length("text")).over(W.orderBy("h", "text").rowsBetween(W.unboundedPreceding, 0))     # of bounded rows
-    rows = (docs.select(F.col(key).alias("key"), F.col(text).alias("text")).filter("text is not null")
-            .join(sample, F.col("key") == F.col("known_key")).select("label", "text", F.xxhash64("key", "text").alias("h"))
-            .orderBy("h").limit(2 * (positives + negatives)).withColumn("so_far", running).filter(F.col("so_far") <= SAMPLE_BYTES)
-            .select("label", "text").toArrow())
+    piece, last = ROW_CHARS // PIECES, F.length("text") - ROW_CHARS // PIECES
+    pieces = F.transform(F.sequence(F.lit(0), F.lit(PIECES - 1)), lambda i: F.substr(
+        F.col("text"), (F.floor(last.cast("long") * i / (PIECES - 1)) + 1).cast("int"), F.lit(piece)))
+    bounded = F.when(F.length("text") > ROW_CHARS, F.array_join(pieces, " ")).otherwise(F.col("text"))
+
+    def sample(v: int, n: int) -> DataFrame:
+        chosen = F.broadcast(known.filter(F.col("label") == v).orderBy(F.xxhash64("known_key"), "known_key").limit(n))      # n rows at most
+        return (docs.select(F.col(key).alias("key"), F.col(text).alias("text")).filter("text is not null")
+                .join(chosen, F.col("key") == F.col("known_key")).select("label", bounded.alias("text"), F.xxhash64("key", "text").alias("h"))
+                .orderBy("h").limit(2 * n).withColumn("so_far", running)
+                .filter(F.col("so_far") <= SAMPLE_BYTES * n // (positives + negatives)).select("label", "text"))
+    rows = sample(1, positives).unionByName(sample(0, negatives)).toArrow()
     label_of = rows.column("label").to_numpy().astype(int)
-    if len(set(label_of)) < 2:
-        return Model(np.zeros(buckets, np.float32), -np.inf)
-    slope, intercept = fit(rows.column("text").to_pylist(), label_of, buckets)
+    slope, intercept = (fit(rows.column("text").to_pylist(), label_of, buckets) if len(set(label_of)) == 2
+                        else (np.zeros(buckets, np.float32), 0.0))
     return Model(slope, intercept + np.log(counts[1] / counts[0]), counts[1] / (counts[0] + counts[1]))      # trained as if both were as frequent
 
 

@@ -264,6 +264,17 @@ def test_toxicity_learns_subwords(spark, empty):
     assert toxicity.score(empty, model).count() == 0
 
 
+def test_toxicity_learns_from_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 1 << 20)
+    long = " ".join(f"{prose(8)} vilgrotter blarghead" for _ in range(400)) + " "
+    texts = [(k, long * ((1 << 20) // len(long) + 1) if k % 5 == 0 else prose(60)) for k in range(50)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame([(k, int(k % 5 == 0)) for k, _ in texts], "doc_id long, toxic int"))
+    assert model.score("some vilgrotter blarghead here") > 0.5 > model.score(prose(10))
+    only = toxicity.train(docs.filter("doc_id % 5 > 0"), spark.createDataFrame([(k, int(k % 5 == 0)) for k, _ in texts], "doc_id long, toxic int"))
+    assert 0 < only.score("vilgrotter") == pytest.approx(only.prior)
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var t="</p>";</script></head><body><nav><ul><li><a href="/a">menu {i}</a></ul></nav>
 <div class="ad">buy {i}</div><article><h1>Title {i} &amp; more</h1><p><b>First {i}<br><p>Two &eacute; words   here {i}</p><aside>no</aside>
 <div class="comments"><p>reader {i}</p></div></article><footer>&copy; host</footer></body></html>"""
