@@ -34,9 +34,9 @@ FAMILIES: list[tuple[str, str, str, list[str]]] = [
     ("apache", "apache", r"apache (?:software )?licen[cs]e", ["1 0", "1 1", "2 0", "2"]),
     ("mit", "mit", r"mit (?:x11 )?licen[cs]e", [""]),
     ("x11", "x11", r"x11 licen[cs]e", [""]),
-    ("bsd-2-clause", "clause", r"(?:2|two) clause bsd(?: licen[cs]e)?|simplified bsd licen[cs]e", [""]),
-    ("bsd-3-clause", "clause", r"(?:3|three) clause bsd(?: licen[cs]e)?|(?:new|modified|revised) bsd licen[cs]e", [""]),
-    ("bsd-4-clause", "clause", r"(?:4|four) clause bsd(?: licen[cs]e)?|original bsd licen[cs]e", [""]),
+    ("bsd-2-clause", "bsd", r"(?:2|two) clause bsd(?: licen[cs]e)?|simplified bsd licen[cs]e", [""]),
+    ("bsd-3-clause", "bsd", r"(?:3|three) clause bsd(?: licen[cs]e)?|(?:new|modified|revised) bsd licen[cs]e", [""]),
+    ("bsd-4-clause", "bsd", r"(?:4|four) clause bsd(?: licen[cs]e)?|original bsd licen[cs]e", [""]),
     ("bsd", "bsd", r"bsd (?:style )?licen[cs]e", [""]),
     ("isc", "isc", r"isc licen[cs]e", [""]),
     ("mpl", "mozilla", r"mozilla public licen[cs]e", ["1 0", "1 1", "2 0"]),
@@ -121,6 +121,13 @@ IDENTIFIERS = ("mit", "isc", "zlib", "unlicense", "wtfpl", "ncsa", "vim", "ruby"
 
 GRANT = r"(?:re)?(?:licen[cs]ed|released|distributed|published|provided|available|redistribute it and or modify it) under (?:the )?(?:terms of )?(?:the )?"
 
+#: No further part of the version follows; a year, or a day and its month, is none.
+END = (r"(?! [0-9]{1,2} (?!(?:january|february|march|april|may|june|july|august|september|october|november|december"
+       r"|jan|feb|mar|apr|jun|jul|aug|sep|sept|oct|nov|dec) ))")
+
+#: Every match of every rule has one of these; blanks may be any characters that are no words.
+GATE = r"(?i)licen[cs]e|copyright|rights|spdx|public|cc0|cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+by|commons|perl|proprietary|permission|redistribution|express|clause"
+
 
 def rules() -> list[tuple[str, str, str, float, bool]]:
     """(label, keyword, regex over words, certainty, base), the first rule being the strongest."""
@@ -132,7 +139,7 @@ def rules() -> list[tuple[str, str, str, float, bool]]:
             for version in versions:
                 if version:
                     tag = f"{label}-{version.replace(' ', '.')}"
-                    made.append((tag, key, rf"{before}(?:{name}) (?:version |v |ver |v)?{version}(?! [0-9]+ )", certainty, False))
+                    made.append((tag, key, rf"{before}(?:{name}) (?:version |v |ver |v)?{version}{END}", certainty, False))
     for certainty, before in ((0.8, GRANT), (0.5, "")):
         made += [(f"{label}-named", key, f"{before}(?:{name})", certainty, False) for label, key, name, _ in FAMILIES]
     made += [(label, key, words, 0.4, False) for label, key, words in NOTICES if len(words) <= 70]
@@ -185,14 +192,12 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     table = F.array(*[F.struct(F.lit(i).alias("rank"), F.lit(label).alias("label"), F.lit(keyword).alias("keyword"),
                                F.lit(pattern).alias("pattern"), F.lit(certainty).alias("certainty"), F.lit(base).alias("base"))
                       for i, (label, keyword, pattern, certainty, base) in enumerate(rules())])
-    # Every rule has one of these in its keyword or its words; blanks may be any characters that are no words.
-    gate = r"(?i)licen[cs]e|copyright|rights|spdx|public|cc0|cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+by|commons|perl|proprietary|permission|redistribution|express|clause"
     word = r"[0-9A-Za-z\x80-\x{10FFFF}]+"
     body = F.col("text")
     flat = F.regexp_replace(lower_ascii(body), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ")
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = once(rows.select("key", F.regexp_count(body, F.lit(word)).cast("long").alias("n_words"),
-                            F.when(body.rlike(gate), F.concat(F.lit(" "), F.trim(flat), F.lit(" "))).alias("flat")),
+                            F.when(body.rlike(GATE), F.concat(F.lit(" "), F.trim(flat), F.lit(" "))).alias("flat")),
                 found=F.when(F.col("flat").isNotNull(), F.flatten(F.filter(
                     F.transform(table, lambda rule: _places(F.col("flat"), rule)), lambda d: d.isNotNull()))))
     none = F.array().cast("array<struct<start:int,end:int,rank:int,label:string,certainty:double,base:boolean,kept:boolean>>")

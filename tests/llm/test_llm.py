@@ -303,6 +303,43 @@ def test_html_slots_inside_the_article(spark):
     assert {got[10 + i] for i in range(3)} == {"All the same"} and got[20] == "one two"
 
 
+def matches(pattern):
+    """Strings that a rule's pattern matches, one of every alternative at least."""
+    from re import _parser
+
+    def of(parsed):
+        out = [""]
+        for op, arg in parsed:
+            if op.name in ("LITERAL", "IN"):
+                some = [chr(arg if op.name == "LITERAL" else arg[0][1] if arg[0][0].name == "LITERAL" else arg[0][1][0])]
+            elif op.name == "BRANCH":
+                some = [x for branch in arg[1] for x in of(branch)]
+            elif op.name == "SUBPATTERN":
+                some = of(arg[-1])
+            elif op.name == "MAX_REPEAT":
+                some = ["", *of(arg[2])]
+            else:
+                assert op.name == "ASSERT_NOT"
+                continue
+            out = [a + b for a in out for b in some]
+        return out
+    return of(_parser.parse(pattern))
+
+
+def test_license_keywords_and_versions(spark):
+    for label, keyword, pattern, _, _ in licenses.rules():
+        for x in matches(pattern.removeprefix(licenses.GRANT)):
+            assert keyword in x and re.search(licenses.GATE, x), (label, x)
+    texts = {1: ("Simplified BSD License", "bsd-2-clause-named"), 2: ("under the New BSD License.", "bsd-3-clause-named"),
+             3: ("Original BSD licence", "bsd-4-clause-named"), 4: ("Apache License, Version 2.0 2019 The Authors", "apache-2.0"),
+             5: ("GNU General Public License Version 3, 29 June 2007", "gpl-3"), 6: ("Apache License 2.0 is", "apache-2.0")}
+    got = licenses.scan(spark.createDataFrame([(k, t) for k, (t, _) in texts.items()], "doc_id int, text string")).collect()
+    for r in got:
+        assert texts[r.doc_id][1] in {d.label for d in r.detections if d.kept}
+    other = licenses.scan(spark.createDataFrame([(1, "Apache License 2.0.1 of 2019")], "doc_id int, text string")).first()
+    assert not {"apache-2.0", "apache-2"} & {d.label for d in other.detections}
+
+
 def test_licenses(spark, empty):
     texts = {1: "Released under the MIT License. Licensed under the Apache License, Version 2.0!", 2: None, 3: "", 4: "no such thing here",
              5: "SPDX-License-Identifier: GPL-3.0 and the GNU General Public License, version 3.", 6: "mit  licenses; Apache-license",
