@@ -97,15 +97,18 @@ def sample(docs: DataFrame, known: DataFrame, rows: int, key: str, text: str) ->
     pieces = F.transform(F.sequence(F.lit(0), F.lit(PIECES - 1)), lambda i: F.substr(
         F.col("text"), (F.floor(last.cast("long") * i / (PIECES - 1)) + 1).cast("int"), piece))
     body = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(key, text).alias("h")).filter("text is not null")
-    of_class = W.partitionBy("label").orderBy("known_h", "known_key")
-    some = F.broadcast(known.withColumn("known_h", F.xxhash64("known_key")).withColumn("r", F.row_number().over(of_class))
-                       .filter(F.col("r") <= rows).select("known_key", "label"))                                 # rows of either class at most
+
+    def least(table: DataFrame, *by: str) -> DataFrame:
+        """The first `rows` of either class; every task sends that many at most."""
+        classes = [table.filter(F.col("label") == v).orderBy(*by).limit(rows) for v in (0, 1)]
+        return classes[0].unionByName(classes[1])
+    some = F.broadcast(least(known.withColumn("known_h", F.xxhash64("known_key")), "known_h", "known_key").select("known_key", "label"))
     sizes = (body.join(some, F.col("key") == F.col("known_key"))
              .groupBy("label", "key", "h").agg(F.max(F.least(F.octet_length("text"), F.lit(4 * ROW_CHARS))).alias("bytes")))
-    first = W.partitionBy("label").orderBy("h", "key")
-    chosen = (sizes.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= rows)
-              .withColumn("so_far", F.sum("bytes").over(first.rowsBetween(W.unboundedPreceding, 0)))
-              .filter((F.col("so_far") <= SAMPLE_BYTES) | (F.col("r") == 1)).select("label", F.col("key").alias("of"), F.col("h").alias("of_h")))
+    first = W.partitionBy("label").orderBy("h", "key").rowsBetween(W.unboundedPreceding, 0)       # of 2 * rows at most
+    chosen = (least(sizes, "h", "key").withColumn("so_far", F.sum("bytes").over(first))
+              .filter((F.col("so_far") <= SAMPLE_BYTES) | (F.col("so_far") == F.col("bytes")))
+              .select("label", F.col("key").alias("of"), F.col("h").alias("of_h")))
     bounded = F.when(F.length("text") > ROW_CHARS, F.array_join(pieces, " ")).otherwise(F.col("text"))
     return (body.join(F.broadcast(chosen), (F.col("key") == F.col("of")) & (F.col("h") == F.col("of_h")))        # 2 * rows at most
             .groupBy("label", "key", "h").agg(F.min(bounded).alias("text")))
