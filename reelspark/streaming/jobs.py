@@ -14,6 +14,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.ordered import ordered
 from ..operators.series import islands
+from ..sources.growing import PART_BYTES, GrowingText
 
 LATENESS = "10 minutes"
 LOW_MEMORY_MIB = 1200
@@ -144,8 +145,22 @@ def progress_eta(events: DataFrame, keys: list[str], elapsed: str, done: str, to
 
 
 # --- growing files -------------------------------------------------------------------------------
-def follow_text(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
-    """Landed text files as a stream of lines with their file."""
+def follow_text(spark: SparkSession, path: str, suffix: str = "", part_bytes: int = PART_BYTES) -> DataFrame:
+    """Lines (path, position, value) of text files that are written to the end, as they arrive; see sources.growing."""
+    spark.dataSource.register(GrowingText)
+    return (spark.readStream.format("growing_text").option("suffix", suffix).option("partBytes", part_bytes)
+            .option("path", path).load())
+
+
+def follow_states(spark: SparkSession, path: str, schema: str, suffix: str = ".jsonl") -> DataFrame:
+    """Updates that are appended to files as one JSON object per line; `problem` has the line where it is none."""
+    lines = follow_text(spark, path, suffix).filter("trim(value) <> ''")
+    parsed = F.from_json("value", f"{schema}, problem string", {"columnNameOfCorruptRecord": "problem"})
+    return lines.withColumn("_s", parsed).select("path", "position", "_s.*")
+
+
+def follow_landed_text(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
+    """Text files that are complete when they land, as a stream of lines with their file."""
     return (spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path)
             .select(F.col("_metadata.file_path").alias("path"), "value"))
 

@@ -66,11 +66,11 @@ def test_session_windows_agree_with_islands(spark, sf):
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_growing_files(spark):
+def test_landed_files(spark):
     base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     for part in range(2):
         spark.range(part * 10, part * 10 + 10).selectExpr("concat('line ', id) as value").coalesce(1).write.mode("append").text(base + "/in")
-        J.drain(J.follow_text(spark, base + "/in"), base + "/out", base + "/cp").awaitTermination(120)
+        J.drain(J.follow_landed_text(spark, base + "/in"), base + "/out", base + "/cp").awaitTermination(120)
         assert spark.read.parquet(base + "/out").count() == 10 * (part + 1)
 
 
