@@ -1,7 +1,8 @@
 """Structured Streaming jobs and their batch twins.
 
-The reference rules have no event time.  Chosen here: ten minutes of lateness, later rows are
-dropped; state is keyed by device or job name and expires with its timer.
+The rules know no event time.  Chosen here: ten minutes of lateness, later rows are dropped; state is
+keyed by device or job name and expires with its timer.  Keyed streams use typed state: they take a
+key's rows frame by frame, in whatever order micro-batches bring them, and need Spark's RocksDB state store.
 """
 from __future__ import annotations
 
@@ -10,7 +11,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.ordered import ordered
 from ..operators.series import islands
@@ -20,8 +21,10 @@ LATENESS = "10 minutes"
 LOW_MEMORY_MIB = 1200
 ACTIVE_PHASES = ("planned", "waiting_resources", "generating", "mounting")
 ALERT_SCHEMA = "device string, seq bigint, free double, alert string"
-_STATE_FIELDS = ("phase", "message", "final", "completed", "total")
-STATE_SCHEMA = "name string, seq bigint, phase string, message string, final string, completed bigint, total bigint"
+_TEXT_FIELDS, _COUNT_FIELDS = ("phase", "message", "final"), ("completed", "total")
+_STATE_FIELDS = (*_TEXT_FIELDS, *_COUNT_FIELDS)
+_KEPT = ("seq", "updates", "planned_at", *[x for f in _STATE_FIELDS for x in (f, f"{f}_at")])
+STATE_SCHEMA = "name string, seq bigint, phase string, message string, final string, completed bigint, total bigint, updates bigint"
 
 
 # --- low-memory alerts ---------------------------------------------------------------------
@@ -41,24 +44,70 @@ def alerts(samples: DataFrame, keys: list[str], order: list[str], free: str = "f
     return near.withColumn("alert", alert).filter("alert is not null").select(*keys, *order, free, "alert")
 
 
-def alert_stream(samples: DataFrame, threshold: float = LOW_MEMORY_MIB) -> DataFrame:
-    """Streaming form of `alerts`: columns device, seq, free, own."""
-    def update(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        open_ = state.get[0] if state.exists else False
-        # rows of one device in one micro-batch, whose size the source limits
-        pdf = pd.concat(list(batches)).sort_values("seq")
-        breach = pdf["free"] < threshold
-        foreign = breach & ~pdf["own"]
-        before = foreign.shift(1, fill_value=open_).astype(bool)
-        pdf["alert"] = None
-        pdf.loc[breach & pdf["own"], "alert"] = "act"
-        pdf.loc[foreign & ~before, "alert"] = "warn"
-        pdf.loc[~breach & before, "alert"] = "recovered"
-        state.update((bool(foreign.iloc[-1]),))
-        yield pdf.loc[pdf["alert"].notna(), ["device", "seq", "free", "alert"]]
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-    return samples.select("device", "seq", "free", "own").groupBy("device").applyInPandasWithState(
-        update, ALERT_SCHEMA, "open boolean", "append", GroupStateTimeout.NoTimeout)
+
+def _typed_state(stream: DataFrame) -> None:
+    """Typed state is only kept by the RocksDB store."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    if "RocksDB" not in stream.sparkSession.conf.get(name, ""):
+        stream.sparkSession.conf.set(name, _ROCKSDB)
+
+
+class AlertProcessor(StatefulProcessor):
+    """Samples wait in slots of time until the watermark has passed their slot, and are then judged in order.
+
+    State of a device: whether a foreign episode is open; for each waiting slot the number of its parts; and the
+    parts, one for each frame of rows that came.  A device is never held as a whole, only one slot of it.
+    """
+
+    def __init__(self, threshold: float, slot_ms: int):
+        self.threshold, self.slot_ms = threshold, slot_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.open = handle.getValueState("open", "open boolean")
+        self.parts = handle.getMapState("parts", "slot bigint", "parts int")
+        self.waiting = handle.getMapState("waiting", "slot bigint, part int",
+                                          "ms array<bigint>, seq array<bigint>, free array<double>, own array<boolean>")
+        self.handle = handle
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        for frame in rows:
+            for slot, part in frame.groupby(frame["ms"] // self.slot_ms):
+                slot, had = int(slot), self.parts.getValue((int(slot),))
+                n = had[0] if had else 0
+                self.waiting.updateValue((slot, n), tuple(part[c].tolist() for c in ("ms", "seq", "free", "own")))
+                self.parts.updateValue((slot,), (n + 1,))
+                if not n:
+                    self.handle.registerTimer((slot + 1) * self.slot_ms)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        slot = expiredTimerInfo.getExpiryTimeInMs() // self.slot_ms - 1
+        parts = []
+        for n in range(self.parts.getValue((slot,))[0]):
+            parts.append(pd.DataFrame(dict(zip(("ms", "seq", "free", "own"), self.waiting.getValue((slot, n))))))
+            self.waiting.removeKey((slot, n))
+        self.parts.removeKey((slot,))
+        rows = pd.concat(parts).sort_values(["ms", "seq"])
+        breach = rows["free"] < self.threshold
+        foreign = breach & ~rows["own"]
+        before = foreign.shift(1, fill_value=bool(self.open.exists() and self.open.get()[0]))
+        rows["alert"] = None
+        rows.loc[breach & rows["own"], "alert"] = "act"
+        rows.loc[foreign & ~before, "alert"] = "warn"
+        rows.loc[~breach & before, "alert"] = "recovered"
+        self.open.update((bool(foreign.iloc[-1]),))
+        rows["device"] = key[0]
+        yield rows.loc[rows["alert"].notna(), ["device", "seq", "free", "alert"]]
+
+
+def alert_stream(samples: DataFrame, threshold: float = LOW_MEMORY_MIB, lateness: str = LATENESS, slot_ms: int = 60_000) -> DataFrame:
+    """Streaming form of `alerts`, by (ts, seq): columns device, seq, ts, free, own.  Null times or values are left out."""
+    _typed_state(samples)
+    rows = (samples.select("device", "seq", "ts", F.unix_millis("ts").alias("ms"), F.col("free").cast("double").alias("free"), "own")
+            .dropna().withWatermark("ts", lateness))
+    return rows.groupBy("device").transformWithStateInPandas(AlertProcessor(threshold, slot_ms), ALERT_SCHEMA, "append", "eventTime")
 
 
 # --- job states ----------------------------------------------------------------------------
@@ -85,27 +134,71 @@ def visible_phase(states: DataFrame, owner_alive: str) -> DataFrame:
     return states.withColumn("phase", F.when(gone, "interrupted").otherwise(F.col("phase")))
 
 
-def state_stream(updates: DataFrame, silence_ms: int = 600_000) -> DataFrame:
-    """Upserts per job; a job in an active phase that stays silent is reported as interrupted once."""
-    def update(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        now = dict(zip(("seq", *_STATE_FIELDS), state.get)) if state.exists else dict.fromkeys(("seq", *_STATE_FIELDS))
-        if state.hasTimedOut:
-            state.remove()
-            if now["phase"] in ACTIVE_PHASES:
-                yield pd.DataFrame([{**now, "name": key[0], "phase": "interrupted"}])
-            return
-        for row in pd.concat(list(batches)).sort_values("seq").to_dict("records"):
-            if row["phase"] == "planned":
-                now["message"] = now["final"] = None
-            now.update({k: row[k] for k in ("seq", *_STATE_FIELDS) if not pd.isna(row[k])})
-        state.update(tuple(now[k] if now[k] is None or isinstance(now[k], str) else int(now[k]) for k in ("seq", *_STATE_FIELDS)))
-        state.setTimeoutDuration(silence_ms)
-        yield pd.DataFrame([{"name": key[0], **now}]).astype({"completed": "Int64", "total": "Int64"})[
-            ["name", "seq", *_STATE_FIELDS]]
-
-    return updates.select(F.col("name").cast("string").alias("name"), "seq", *_STATE_FIELDS).groupBy("name").applyInPandasWithState(
-        update, STATE_SCHEMA, "seq bigint, phase string, message string, final string, completed bigint, total bigint",
-        "update", GroupStateTimeout.ProcessingTimeTimeout)
+class JobStateProcessor(StatefulProcessor):
+    """Latest known value of every field, each with the number of the update that gave it.
+
+    The larger number wins, so updates may come in any order and any number of frames.
+    """
+
+    def __init__(self, silence_ms: int | None):
+        self.silence_ms = silence_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        texts = ", ".join(f"{f} string, {f}_at bigint" for f in _TEXT_FIELDS)
+        counts = ", ".join(f"{f} bigint, {f}_at bigint" for f in _COUNT_FIELDS)
+        self.state = handle.getValueState("state", f"seq bigint, updates bigint, planned_at bigint, {texts}, {counts}")
+        self.handle = handle
+
+    def _row(self, name, state: dict, phase: str | None = None) -> pd.DataFrame:
+        row = {f: state[f] for f in _STATE_FIELDS}
+        for f in ("message", "final"):      # what was said before the job was planned anew is gone
+            if state["planned_at"] is not None and state[f"{f}_at"] is not None and state[f"{f}_at"] < state["planned_at"]:
+                row[f] = None
+        row["phase"] = phase or row["phase"]
+        out = pd.DataFrame([{"name": name, "seq": state["seq"], **row, "updates": state["updates"]}])
+        return out.astype({f: "Int64" for f in _COUNT_FIELDS})
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        state = dict(zip(_KEPT, self.state.get())) if self.state.exists() else dict.fromkeys(_KEPT)
+        latest = lambda a, b: b if a is None else max(a, b)
+        for frame in rows:
+            state["updates"] = (state["updates"] or 0) + len(frame)
+            state["seq"] = latest(state["seq"], int(frame["seq"].max()))
+            planned = frame.loc[frame["phase"] == "planned", "seq"]
+            if len(planned):
+                state["planned_at"] = latest(state["planned_at"], int(planned.max()))
+            for f in _STATE_FIELDS:
+                said = frame.loc[frame[f].notna(), ["seq", f]]
+                if len(said):
+                    at = said["seq"].idxmax()
+                    if state[f"{f}_at"] is None or said.at[at, "seq"] >= state[f"{f}_at"]:
+                        value = said.at[at, f]
+                        state[f], state[f"{f}_at"] = value if f in _TEXT_FIELDS else int(value), int(said.at[at, "seq"])
+        self.state.update(tuple(state[n] for n in _KEPT))
+        if self.silence_ms is not None:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.silence_ms)
+        yield self._row(key[0], state)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        state = dict(zip(_KEPT, self.state.get()))
+        self.state.clear()
+        if state["phase"] in ACTIVE_PHASES:
+            yield self._row(key[0], state, "interrupted")
+
+
+def state_stream(updates: DataFrame, silence_ms: int | None = 600_000) -> DataFrame:
+    """Upserts per job; the one with most `updates` is its newest.
+
+    A job in an active phase that stays silent is reported as interrupted once.  Spark looks at such timers in
+    batch after batch, so a query that is to end by itself (`drain`) takes `silence_ms=None`: no timers, and
+    states that stay.  Updates without a number are left out.
+    """
+    _typed_state(updates)
+    rows = updates.select(F.col("name").cast("string").alias("name"), "seq", *_STATE_FIELDS).filter("seq is not null")
+    return rows.groupBy("name").transformWithStateInPandas(
+        JobStateProcessor(silence_ms), STATE_SCHEMA, "update", "none" if silence_ms is None else "processingTime")
 
 
 # --- windows ---------------------------------------------------------------------------------

@@ -1,3 +1,4 @@
+import random
 import tempfile
 
 import numpy as np
@@ -14,15 +15,17 @@ from reelspark.streaming import jobs as J
 def run(stream, mode, name, spark):
     q = (stream.writeStream.format("memory").queryName(name).outputMode(mode)
          .option("checkpointLocation", tempfile.mkdtemp(prefix="spark-", dir="/tmp")).trigger(availableNow=True).start())
-    q.awaitTermination(240)
+    assert q.awaitTermination(90) or q.stop()
     assert q.exception() is None
     return spark.table(name)
 
 
-def landed(df, files):
-    """Rows as files that arrive in order."""
+def landed(df, files, shuffled=None):
+    """Rows as files that arrive in order of seq, or in a random order of rows."""
     path = tempfile.mkdtemp(prefix="spark-", dir="/tmp") + "/in"
     rows = df.orderBy("seq").collect()
+    if shuffled is not None:
+        shuffled.shuffle(rows)
     step = -(-len(rows) // files)
     for i in range(files):
         part = df.sparkSession.createDataFrame(rows[i * step:(i + 1) * step], df.schema)
@@ -30,24 +33,62 @@ def landed(df, files):
     return path
 
 
-def test_alert_stream_equals_batch(spark, sf):
-    s = samples(spark, sf)
-    stream = spark.readStream.schema(s.schema).option("maxFilesPerTrigger", 1).parquet(landed(s, 3))
-    got = run(J.alert_stream(stream), "append", "alerts_out", spark)
-    want = J.alerts(s, ["device"], ["seq"]).select(*got.columns)
+def timed(spark, sf):
+    """Samples with a time, two of them in each second."""
+    return samples(spark, sf).withColumn("ts", F.timestamp_millis(1_700_000_000_000 + F.col("seq") * 500))
+
+
+@pytest.mark.parametrize("seed", [None, 1])
+def test_alert_stream_equals_batch(spark, sf, seed):
+    """Rows in any order and any micro-batch; a last sample moves the watermark past all others."""
+    s = timed(spark, sf)
+    last = spark.createDataFrame([("end", 10**9, 5000.0, True, 1_900_000_000_000)], "device string, seq long, free double, own boolean, ms long")
+    path = landed(s, 4, None if seed is None else random.Random(seed))
+    last.withColumn("ts", F.timestamp_millis("ms")).select(*s.columns).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(s.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    got = run(J.alert_stream(stream, lateness="10 days", slot_ms=60_000), "append", f"alerts_out_{seed}", spark)
+    want = J.alerts(s, ["device"], ["ts", "seq"]).select(*got.columns)
     assert want.count() > 50 and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
-def test_state_stream_equals_batch(spark, sf):
+def test_slots_come_out_with_the_watermark(spark):
+    """Alerts of slots that the watermark has passed are out before later samples arrive; open episodes go on."""
+    rows = [("d", i, 1000.0 if 3 <= i <= 8 else 2000.0, False, 60_000 * i) for i in range(12)] + [("d", 99, 2000.0, False, 10**9), ("e", None, 1.0, True, 10)]
+    s = spark.createDataFrame(rows, "device string, seq long, free double, own boolean, ms long")
+    s = s.withColumn("ts", F.timestamp_millis("ms")).drop("ms")
+    stream = spark.readStream.schema(s.schema).option("maxFilesPerTrigger", 1).parquet(landed(s.filter("seq is not null"), 5))
+    got = run(J.alert_stream(stream, lateness="0 seconds"), "append", "slots_out", spark)
+    assert sorted((r.seq, r.alert) for r in got.collect()) == [(3, "warn"), (9, "recovered")]
+
+
+@pytest.mark.parametrize("seed", [None, 1])
+def test_state_stream_equals_batch(spark, sf, seed):
     u = updates(spark, sf)
-    stream = spark.readStream.schema(u.schema).option("maxFilesPerTrigger", 1).parquet(landed(u, 3))
-    out = run(J.state_stream(stream), "update", "states_out", spark)
-    last = out.groupBy("name").agg(F.max_by(F.struct("seq", "phase", "message", "final", "completed", "total"), "seq").alias("s")).select(
+    path = landed(u, 4, None if seed is None else random.Random(seed))
+    stream = spark.readStream.schema(u.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    out = run(J.state_stream(stream, None), "update", f"states_out_{seed}", spark)
+    last = out.groupBy("name").agg(F.max_by(F.struct("seq", "phase", "message", "final", "completed", "total"), "updates").alias("s")).select(
         F.col("name").cast("bigint").alias("name"), "s.*")
     want = J.latest_states(u)
     assert last.exceptAll(want.select(*last.columns)).count() == 0 and want.count() == last.count()
 
 
+def test_silent_jobs_are_interrupted_once(spark):
+    base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    schema = "name string, seq long, phase string, message string, final string, completed long, total long"
+    batches = [[("a", 1, "generating", "m", None, 1, 9), ("b", 1, "finished", None, "f", 9, 9)], [("c", 1, "planned", None, None, None, None)],
+               [("c", 2, "planned", None, None, None, 4)]]
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(base + "/in")
+        stream = J.state_stream(spark.readStream.schema(schema).parquet(base + "/in"), silence_ms=1)
+        out = stream.writeStream.foreachBatch(lambda df, _: df.write.mode("append").parquet(base + "/out")).outputMode("update")
+        query = out.option("checkpointLocation", base + "/cp").trigger(once=True).start()
+        assert query.awaitTermination(60) or query.stop()
+    got = spark.read.parquet(base + "/out").filter("phase = 'interrupted'").collect()
+    assert [(r.name, r.message, r.completed, r.total) for r in got if r.name == "a"] == [("a", "m", 1, 9)]
+    assert "b" not in {r.name for r in got}
+
+
 def test_windows_stream(spark, sf):
     e = spark.read.parquet(f"{sf}/events.parquet").select(F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
     stream = spark.readStream.schema(e.schema).parquet(landed(e, 2))
