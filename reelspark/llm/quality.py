@@ -79,26 +79,24 @@ def counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 def weights(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", buckets: int = BUCKETS) -> DataFrame:
     """One row: an array with log(p_trusted / p_raw) of every bucket."""
     chosen = trusted.select(F.col(key).alias("trusted_key")).filter("trusted_key is not null").distinct()
-    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    own = rows.join(chosen, F.col("key") == F.col("trusted_key"), "left_semi")
-
-    def found(some: DataFrame, is_own: int) -> DataFrame:
-        return (once(some, words=words(F.col("text")))
-                .select(F.lit(is_own).alias("own"), F.explode(grams(F.col("words"), buckets)).alias("bucket")))
-    seen = (found(rows, 0).unionByName(found(own, 1))
-            .groupBy("bucket").agg(F.sum(1 - F.col("own")).alias("raw"), F.sum("own").alias("own")))
-    listed = seen.agg(F.map_from_entries(F.collect_list(F.struct("bucket", F.struct("raw", "own")))).alias("m"),
-                      F.sum("raw").alias("all_raw"), F.sum("own").alias("all_own"))
+    packed = "array<smallint>" if buckets <= 1 << 15 else "array<int>"
+    rows = once(docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")), words=words(F.col("text")))
+    rows = rows.select("key", grams(F.col("words"), buckets).cast(packed).alias("grams"))
+    # Only keys and packed grams are shuffled, and by one plan however many trusted keys there are.
+    marked = rows.join(chosen.hint("merge"), F.col("key") == F.col("trusted_key"), "left")
+    seen = (marked.select(F.col("trusted_key").isNotNull().cast("long").alias("own"), F.explode("grams").alias("bucket"))
+            .groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("own").alias("own")))
+    every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
+    listed = (every.join(seen.withColumn("bucket", F.col("bucket").cast("int")), "bucket", "left")
+              .select("bucket", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("raw", "own")])
+              .agg(F.array_sort(F.collect_list(F.struct("bucket", "raw", "own"))).alias("counts"),                  # one entry per bucket
+                   F.sum("raw").alias("all_raw"), F.sum("own").alias("all_own")))
 
     def log_share(n: Column, total: Column) -> Column:
         return F.log((n + SMOOTHING) / (total + SMOOTHING * buckets))
 
-    def weight(b: Column) -> Column:
-        at = F.col("m")[b]
-        return (log_share(F.coalesce(at.own, F.lit(0)), F.col("all_own"))
-                - log_share(F.coalesce(at.raw, F.lit(0)), F.col("all_raw")))
-    return listed.select(F.when(F.col("all_own") > 0, F.transform(F.sequence(F.lit(0), F.lit(buckets - 1)), weight))
-                         .otherwise(F.array_repeat(F.lit(0.0), buckets)).alias("weights"))
+    weight = F.transform("counts", lambda c: log_share(c["own"], F.col("all_own")) - log_share(c["raw"], F.col("all_raw")))
+    return listed.select(F.when(F.col("all_own") > 0, weight).otherwise(F.array_repeat(F.lit(0.0), buckets)).alias("weights"))
 
 
 def judge(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", buckets: int = BUCKETS,
