@@ -5,7 +5,7 @@ the same rules serve files, tables and streams.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,20 +96,44 @@ def read_scripts(spark: SparkSession, path: str):
     return parse(split_lines(files))
 
 
+# --- lines of files of any length ----------------------------------------------------------------
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(path, line_no, line) of every line, from 1; one file may be read by many tasks.
+
+    A line's number is its place in its own split, which is as large as Spark cuts files, plus the lines of
+    the splits before it in the file.
+    """
+    block = ["path", "block"]
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("line"))
+    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)     # splits of a file
+    starts = lines.groupBy(*block).agg(F.count(F.lit(1)).alias("_n")).select(
+        *block, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(*block).orderBy("_at")                                                   # lines of a split
+    placed = lines.withColumn("_at", F.monotonically_increasing_id()).withColumn("_k", F.row_number().over(inside))
+    return placed.join(starts, block).select("path", (F.col("_before") + F.col("_k")).alias("line_no"), F.rtrim("line", F.lit("\r")).alias("line"))
+
+
 # --- telemetry and probes -----------------------------------------------------------------------
-def parse_telemetry(df: DataFrame, keep: list[str], raw: str = "raw") -> DataFrame:
+def parse_telemetry_lines(lines: DataFrame, keep: list[str], line: str = "line", line_no: str = "line_no") -> DataFrame:
     """`g, MiB;g, MiB; RSS_KB=n` lines to one row per device and sample; line order is the clock."""
-    lines = df.select(*keep, F.posexplode(F.split(raw, r"\r?\n")).alias("_p", "_line")).filter(F.trim("_line") != "")
-    pairs = F.transform(F.regexp_extract_all("_line", F.lit(r"(?:^|;)\s*([0-9]+\s*,\s*[0-9]+)"), F.lit(1)),
+    lines = lines.filter(F.trim(line) != "")
+    pairs = F.transform(F.regexp_extract_all(line, F.lit(r"(?:^|;)\s*([0-9]+\s*,\s*[0-9]+)"), F.lit(1)),
                         lambda p: F.struct(F.trim(F.split_part(p, F.lit(","), F.lit(1))).cast("int").alias("device"),
                                            F.trim(F.split_part(p, F.lit(","), F.lit(2))).cast("bigint").alias("mib")))
-    rss = F.regexp_extract("_line", r"RSS_KB=([0-9]+)", 1).try_cast("bigint")
-    return lines.select(*keep, (F.col("_p") + 1).alias("sample_idx"), rss.alias("rss_kb"), F.explode(pairs).alias("_d")).select(
+    rss = F.regexp_extract(line, r"RSS_KB=([0-9]+)", 1).try_cast("bigint")
+    return lines.select(*keep, F.col(line_no).alias("sample_idx"), rss.alias("rss_kb"), F.explode(pairs).alias("_d")).select(
         *keep, "sample_idx", "_d.device", "_d.mib", "rss_kb")
 
 
+def parse_telemetry(df: DataFrame, keep: list[str], raw: str = "raw") -> DataFrame:
+    """The same from rows that hold a whole log each."""
+    lines = df.select(*keep, F.posexplode(F.split(raw, r"\r?\n")).alias("_p", "line"))
+    return parse_telemetry_lines(lines.select(*keep, (F.col("_p") + 1).alias("line_no"), "line"), keep)
+
+
 def read_telemetry(spark: SparkSession, path: str) -> DataFrame:
-    return parse_telemetry(_whole(spark, path).select(file_stem(F.col("path")).alias("run"), "raw"), ["run"])
+    return parse_telemetry_lines(numbered_lines(spark, path).withColumn("run", file_stem(F.col("path"))), ["run"])
 
 
 PROBE_SCHEMAS = {
@@ -119,12 +143,25 @@ PROBE_SCHEMAS = {
 }
 
 
+def _probes(spark: SparkSession, path: str, kind: str, sep: str) -> DataFrame:
+    reader = spark.read.option("columnNameOfCorruptRecord", "_corrupt").option("columnPruning", False)      # every field of every line is looked at
+    rows = reader.csv(path, schema=f"{PROBE_SCHEMAS[kind]}, _corrupt string", sep=sep, header=True, mode="PERMISSIVE", enforceSchema=True)
+    return rows.select("*", F.col("_metadata.file_path").alias("path"))
+
+
 def read_probes(spark: SparkSession, path: str, kind: str = "duration", sep: str = "\t") -> DataFrame:
-    """Probe tables by explicit schema; yes/no becomes a boolean, blanks become null."""
-    rows = spark.read.csv(path, schema=PROBE_SCHEMAS[kind], sep=sep, header=True, mode="DROPMALFORMED")
+    """Probe tables by explicit schema; yes/no becomes a boolean, blanks become null.  See probe_issues for the rest."""
+    rows = _probes(spark, path, kind, sep).filter("_corrupt is null").drop("_corrupt", "path")
     return rows.withColumn("fits", F.col("rc") == 0 if kind == "ceiling" else F.lower("fits").isin("si", "sí", "yes"))
 
 
+def probe_issues(spark: SparkSession, path: str, kind: str = "duration", sep: str = "\t") -> DataFrame:
+    """(path, issue, raw, fields): lines that read_probes leaves out, with the fields that could be read."""
+    rows = _probes(spark, path, kind, sep)
+    fields = F.struct(*[c for c in rows.columns if c not in ("_corrupt", "path")])
+    return rows.filter("_corrupt is not null").select("path", F.lit("malformed line").alias("issue"), F.col("_corrupt").alias("raw"), fields.alias("fields"))
+
+
 # --- subtitles ---------------------------------------------------------------------------------------
 def parse_srt(df: DataFrame, keep: list[str], raw: str = "raw") -> DataFrame:
     """Blocks with a time line and text; only cues that end after they start."""
@@ -172,22 +209,32 @@ def slides(carousels: DataFrame) -> DataFrame:
         "_s.titulo", "_s.texto", "_s.cierre")
 
 
-def parse_states(df: DataFrame, raw: str = "raw") -> DataFrame:
-    """Job states from JSON text.  A state with a wrongly typed field is dropped, never fatal."""
-    text = lambda f: F.get_json_object(raw, f"$.{f}")
-    parsed = F.from_json(raw, STATE_SCHEMA)
+#: States are small; anything larger is not one.
+STATE_BYTES = 1024 * 1024
+
+
+def _state_issue(raw: str) -> Column:
+    """Why a text is no job state, or null."""
     shape = F.schema_of_variant(F.try_parse_json(raw))
     kind = lambda f, types: F.coalesce(F.regexp_extract(shape, rf"[<, ]{f}: ([A-Z]+)", 1), F.lit("")).isin(types)
-    ok = F.coalesce(shape.startswith("OBJECT"), F.lit(False)) & kind("phase", ["STRING"]) & kind("name", ["STRING"]) & kind("updated_at", ["STRING", ""])
-    for f in ("completed", "total", "pid"):
-        ok = ok & kind(f, ["BIGINT", ""])
-    for f in ("message", "final"):
-        ok = ok & kind(f, ["STRING", ""])
-    # states are small; anything larger than 1 MiB is not one
-    return (df.filter(F.octet_length(raw) <= 1024 * 1024).filter(ok).withColumn("_s", parsed)
+    fields = {"phase": ["STRING"], "name": ["STRING"], "updated_at": ["STRING", ""],
+              **{f: ["BIGINT", ""] for f in ("completed", "total", "pid")}, **{f: ["STRING", ""] for f in ("message", "final")}}
+    wrong = [F.when(~kind(f, types), F.lit(f"field {f}")) for f, types in fields.items()]
+    return (F.when(F.col(raw).isNull(), "no text").when(F.octet_length(raw) > STATE_BYTES, "too large")
+            .when(~F.coalesce(shape.startswith("OBJECT"), F.lit(False)), "no JSON object").otherwise(F.coalesce(*wrong)))
+
+
+def parse_states(df: DataFrame, raw: str = "raw") -> DataFrame:
+    """Job states from JSON text.  A text that is none, or has a wrongly typed field, is left to state_issues."""
+    return (df.withColumn("_s", F.from_json(raw, STATE_SCHEMA)).filter(_state_issue(raw).isNull())
             .select(*[c for c in df.columns if c != raw], "_s.*"))
 
 
+def state_issues(df: DataFrame, raw: str = "raw") -> DataFrame:
+    """The other columns and the issue of every row that parse_states leaves out."""
+    return df.withColumn("issue", _state_issue(raw)).filter("issue is not null").select(*[c for c in df.columns if c != raw], "issue")
+
+
 def read_job_states(spark: SparkSession, path: str) -> DataFrame:
     return parse_states(_whole(spark, path, "*.json"))
 
@@ -207,9 +254,20 @@ def media_catalog(spark: SparkSession, folders: dict[str, str], glob: str = "*.m
                       F.coalesce(dims["height"] > dims["width"], F.lit(False)).alias("vertical")).orderBy(F.desc("modified"), "name")
 
 
+def _images(spark: SparkSession, path: str) -> DataFrame:
+    """With a path column; a file that is no picture has no size."""
+    return spark.read.format("image").option("dropInvalid", False).load(path).select("image.*")
+
+
 def read_frames(spark: SparkSession, path: str) -> DataFrame:
-    """Decoded frame images: origin, height, width, channels and BGR bytes."""
-    return spark.read.format("image").option("dropInvalid", True).load(path).select("image.*")
+    """Decoded frame images: origin, height, width, channels and BGR bytes.  See frame_issues for the rest."""
+    return _images(spark, path).filter("height > 0 and width > 0")
+
+
+def frame_issues(spark: SparkSession, path: str) -> DataFrame:
+    """(path, issue) of files that are no picture."""
+    return _images(spark, path).filter("not coalesce(height > 0 and width > 0, false)").select(
+        F.col("origin").alias("path"), F.lit("no picture").alias("issue"))
 
 
 # --- logs ------------------------------------------------------------------------------------------------
