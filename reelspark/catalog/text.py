@@ -14,9 +14,15 @@ def _docs(spark, d):
     return documents(spark, d)
 
 
-@query("strip_html", f"""SELECT page_id, {S.strip_html('html')} AS clean FROM pages""")
+_PAGES = """(SELECT page_id, html || ' &#' || page_id || '; &#x' || page_id || 'F &#' || (120 + page_id % 50) || ' &Ntilde;&middot;&notit; &notin; &AMP &ampx &bogus; & &#; &NotEqualTilde;' AS html FROM pages)"""
+
+
+@query("strip_html", S.clean_html(_PAGES, "page_id", "html"))
 def strip_html(spark, d):
-    return table(spark, d, "pages").select("page_id", X.strip_html("html").alias("clean"))
+    """Pages with decimal, hexadecimal, named and bare references at their ends."""
+    text = F.format_string("%s &#%d; &#x%dF &#%d &Ntilde;&middot;&notit; &notin; &AMP &ampx &bogus; & &#; &NotEqualTilde;",
+                           "html", "page_id", "page_id", 120 + F.col("page_id") % 50)
+    return table(spark, d, "pages").select("page_id", X.strip_html(text).alias("clean"))
 
 
 @query("fold_accents", f"SELECT doc_id, md5({S.fold('text')}) AS folded_md5 FROM documents")

@@ -7,6 +7,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import constants as K
+from . import entities
 
 # Whitespace as Unicode text defines it, spelled out so that every engine agrees.
 WS = (r"[\t-\r\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
@@ -94,13 +95,11 @@ def tokens(x) -> Column:
 
 
 def strip_html(x) -> Column:
-    """Tags become blanks first and entities are resolved after, so `&lt;b&gt;` stays text."""
+    """Tags become blanks first and references are resolved after, so `&lt;b&gt;` stays text."""
     t = F.regexp_replace(F.coalesce(_c(x), F.lit("")), r"(?is)<script[^>]*>.*?</script>", " ")
     t = F.regexp_replace(t, r"(?is)<style[^>]*>.*?</style>", " ")
     t = F.regexp_replace(t, r"(?s)<[^>]+>", " ")
-    for entity, char in K.HTML_ENTITIES:
-        t = F.replace(t, F.lit(entity), F.lit(char))
-    return squish(t)
+    return squish(let(t, entities.unescape))
 
 
 def sentences(x, abbreviations: str | None = K.ABBREVIATIONS, ends: str = ".!?…",
