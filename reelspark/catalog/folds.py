@@ -1,10 +1,11 @@
 """Queries over document folds, search and grounding."""
 from pyspark.sql import functions as F
 
+from ..functions import constants as K
 from ..functions import text as X
 from ..operators import folds, search
 from ..operators.ordered import top_per_group
-from ..views import documents, news, table, with_views
+from ..views import SQL, documents, news, table, with_views
 from . import sqltext as S
 from .registry import query
 from .text import _PACK_SQL
@@ -42,6 +43,14 @@ def plan_one_take(spark, d):
     return folds.plan_units(plans).join(plans.select("doc_id", "format.width", "format.height"), "doc_id")
 
 
+@query("news_issues", f"""WITH {SQL['news']}, c AS (SELECT doc_id, {S.squish(S.without_tags("headline"))} AS h, {S.squish(S.without_tags("body"))} AS b FROM news)
+  SELECT doc_id, issue FROM (SELECT doc_id, unnest([CASE WHEN h = '' THEN 'no headline' END, CASE WHEN length(h) > {K.HEADLINE_MAX} THEN 'headline too long' END,
+    CASE WHEN length(b) > {K.BODY_MAX} THEN 'body too long' END]) AS issue FROM c) WHERE issue IS NOT NULL""")
+def news_issues(spark, d):
+    """Ampersands are escaped first, so the SQL need not resolve references."""
+    return folds.news_issues(news(spark, d).withColumns({c: F.replace(c, F.lit("&"), F.lit("&amp;")) for c in ("headline", "body")}))
+
+
 @query("repeated_prefix", f"""WITH c AS (SELECT conv_id, turn, {S.tokens('text')} AS t FROM conversations),
   p AS (SELECT *, ' ' || array_to_string(lag(t) OVER (PARTITION BY conv_id ORDER BY turn), ' ') || ' ' || array_to_string(t[3:], ' ') || ' ' || array_to_string(t[1:8], ' ') || ' ' AS said FROM c)
   SELECT conv_id, turn, CAST(coalesce(list_max(list_filter(range(5, len(t) + 1), lambda k: contains(said, ' ' || array_to_string(t[1:k], ' ') || ' '))), 0) AS INT) AS repeated

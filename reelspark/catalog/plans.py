@@ -95,10 +95,12 @@ def script_catalog(spark, d):
     return C.catalog(script_lines(spark, d))
 
 
-@query("missing_headers", _PARSE + """SELECT s.script_id, k AS missing FROM (SELECT DISTINCT script_id FROM h) s, (VALUES ('ESCENA'), ('AMBIENTE'), ('MUSICA')) r(k)
+@query("missing_headers", _PARSE + """SELECT s.script_id, k AS missing FROM (SELECT o_orderkey AS script_id FROM orders UNION SELECT script_id FROM h) s, (VALUES ('ESCENA'), ('AMBIENTE'), ('MUSICA')) r(k)
     WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.script_id = s.script_id AND h.key = r.k)""")
 def missing_headers(spark, d):
-    return U.missing_headers(C.parse(script_lines(spark, d))[0])
+    """Of every order's script, those without any line included."""
+    every = table(spark, d, "orders").select(F.col("o_orderkey").alias("script_id"))
+    return U.missing_headers(C.parse(script_lines(spark, d))[0], scripts=every)
 
 
 _RENDER = "rt AS (SELECT script_id, idx, 'Toma ' || idx || ' de ' || script_id AS content, take_type, CASE WHEN own_scene THEN NULL ELSE frames END AS frames FROM takes_v)"

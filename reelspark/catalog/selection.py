@@ -251,10 +251,9 @@ def untried_seeds(spark, d):
     return U.untried(e.select("user_id", "seed").distinct(), e.filter("event_type = 'error'"), ["user_id", "seed"])
 
 
-@query("duplicates", "SELECT headline, lang, count(*) AS n FROM (SELECT split_part(text, chr(10), 1) AS headline, lang FROM documents) GROUP BY ALL HAVING count(*) > 1")
+@query("duplicates", "SELECT md5(text) AS text_md5, lang, count(*) AS n FROM documents GROUP BY ALL HAVING count(*) > 1")
 def duplicates(spark, d):
-    from ..views import news
-    return U.duplicates(news(spark, d), ["headline", "lang"])
+    return U.duplicates(table(spark, d, "documents").select(F.md5("text").alias("text_md5"), "lang"), ["text_md5", "lang"])
 
 
 @query("parse_news", r"""WITH n AS (SELECT doc_id, lang, source, split_part(text, chr(10), 1) AS headline, substr(text, length(split_part(text, chr(10), 1)) + 2) AS body FROM documents)
@@ -315,10 +314,10 @@ def _carousels(spark, d, title, text):
         x["titulo"].alias("titulo"), x["texto"].alias("texto"), F.lit(None).cast("string").alias("cierre"))).alias("diapositivas"))
 
 
-@query("validate_carousels", f"""WITH {_TURNS}, s AS (SELECT conv_id, part, count(*) AS n, bool_or(NOT length(trim(substr(text, 1, 60))) BETWEEN 1 AND 100) AS bt, bool_or(NOT length(trim(substr(text, 1, 300))) BETWEEN 1 AND 280) AS bx FROM ct GROUP BY ALL)
+@query("validate_carousels", f"""WITH {_TURNS}, s AS (SELECT conv_id, part, count(*) AS n, bool_or(NOT length(trim(text)) BETWEEN 1 AND 100) AS bt, bool_or(NOT length(trim(text)) BETWEEN 1 AND 280) AS bx FROM ct GROUP BY ALL)
   SELECT conv_id, part, unnest(list_filter([CASE WHEN NOT n BETWEEN 2 AND 10 THEN 'slide_count' END, CASE WHEN bt THEN 'slide_title' END, CASE WHEN bx THEN 'slide_text' END], lambda x: x IS NOT NULL)) AS issue FROM s""")
 def validate_carousels(spark, d):
-    c = _carousels(spark, d, F.substring("text", 1, 60), F.substring("text", 1, 300))
+    c = _carousels(spark, d, F.col("text"), F.col("text"))
     return V.violations(c, ["conv_id", "part"], V.carousel_rules(F.col("diapositivas"), F.concat(F.lit("c"), F.col("conv_id").cast("string")), F.lit("https://x.example")))
 
 

@@ -19,13 +19,13 @@ def entropy_events(spark, d):
     return R.entropy(e, ["event_type"], "v").withColumn("entropy", F.round("entropy", 6))
 
 
-@query("entropy_characters", """SELECT lang, CAST(sum(c) AS BIGINT) AS n, round(-sum((c / n) * log2(c / n)), 6) AS entropy
+@query("entropy_characters", r"""SELECT lang, CAST(sum(c) AS BIGINT) AS n, round(-sum((c / n) * log2(c / n)), 6) AS entropy
   FROM (SELECT lang, ch, c, sum(c) OVER (PARTITION BY lang)::DOUBLE AS n FROM
-    (SELECT lang, ch, count(*)::DOUBLE AS c FROM (SELECT lang, unnest(regexp_extract_all(text, '[a-zA-Z]')) AS ch FROM documents)
+    (SELECT lang, ch, count(*)::DOUBLE AS c FROM (SELECT lang, unnest(regexp_extract_all(text, '\p{L}')) AS ch FROM documents)
      GROUP BY 1, 2)) GROUP BY lang""")
 def entropy_characters(spark, d):
     c = documents(spark, d).select("lang", F.explode(
-        F.regexp_extract_all("text", F.lit("[a-zA-Z]"), F.lit(0))).alias("ch"))
+        F.regexp_extract_all("text", F.lit(r"\p{L}"), F.lit(0))).alias("ch"))
     return R.entropy(c, ["lang"], "ch").withColumn("entropy", F.round("entropy", 6))
 
 

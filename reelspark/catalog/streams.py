@@ -19,7 +19,7 @@ def samples(spark, d):
                                             (2400 - F.col("value") * 20).alias("free"), (F.col("user_id") % 2 == 0).alias("own"))
 
 
-_UPDATES = """u AS (SELECT user_id AS name, event_id AS seq, CASE event_type WHEN 'view' THEN 'planned' WHEN 'error' THEN 'failed' ELSE 'generating' END AS phase,
+_UPDATES = """u AS (SELECT user_id AS name, event_id AS seq, CASE event_type WHEN 'view' THEN 'planned' WHEN 'error' THEN 'failed' WHEN 'click' THEN 'waiting_resources' ELSE 'generating' END AS phase,
     CASE WHEN value < 30 THEN event_type || '!' END AS message, CASE WHEN event_type = 'purchase' THEN 'out-' || event_id END AS final,
     CASE WHEN value > 20 THEN CAST(floor(value) AS BIGINT) END AS completed, CASE WHEN event_type = 'view' THEN 500::BIGINT END AS total FROM events)"""
 
@@ -27,7 +27,7 @@ _UPDATES = """u AS (SELECT user_id AS name, event_id AS seq, CASE event_type WHE
 def updates(spark, d):
     t, v = F.col("event_type"), F.col("value")
     return table(spark, d, "events").select(
-        F.col("user_id").alias("name"), F.col("event_id").alias("seq"), F.when(t == "view", "planned").when(t == "error", "failed").otherwise("generating").alias("phase"),
+        F.col("user_id").alias("name"), F.col("event_id").alias("seq"), F.when(t == "view", "planned").when(t == "error", "failed").when(t == "click", "waiting_resources").otherwise("generating").alias("phase"),
         F.when(v < 30, F.concat(t, F.lit("!"))).alias("message"), F.when(t == "purchase", F.concat(F.lit("out-"), F.col("event_id").cast("string"))).alias("final"),
         F.when(v > 20, F.floor(v)).alias("completed"), F.when(t == "view", F.lit(500).cast("bigint")).alias("total"))
 
@@ -41,7 +41,7 @@ def job_states(spark, d):
 
 
 @query("visible_phase", "WITH " + _UPDATES + """, s AS (SELECT name, arg_max(phase, seq) AS phase FROM u GROUP BY name)
-  SELECT name, CASE WHEN phase IN ('planned', 'generating') AND NOT coalesce(c_acctbal > 0, false) THEN 'interrupted' ELSE phase END AS phase FROM s LEFT JOIN customer ON c_custkey = name""")
+  SELECT name, CASE WHEN phase IN ('planned', 'waiting_resources', 'generating', 'mounting') AND NOT coalesce(c_acctbal > 0, false) THEN 'interrupted' ELSE phase END AS phase FROM s LEFT JOIN customer ON c_custkey = name""")
 def visible_phase(spark, d):
     owners = table(spark, d, "customer").select(F.col("c_custkey").alias("name"), (F.col("c_acctbal") > 0).alias("alive"))
     s = J.latest_states(updates(spark, d)).select("name", "phase").join(owners, "name", "left")
@@ -110,7 +110,9 @@ def background(spark, d):
 
 
 @query("jump_ratios", f"""WITH {_PIX}, j AS (SELECT label, vec_id AS joint FROM px WHERE label = 0),
-  m AS (SELECT a.vec_id AS a, b.vec_id AS b, list_sum(list_transform(range(1, 65), lambda i: abs(a.p[i] - b.p[i]))) / 64.0::DOUBLE AS diff FROM px a JOIN px b ON b.vec_id - a.vec_id IN (1, 2))
+  m AS (SELECT a, b, list_sum(list_transform(range(1, 65), lambda i: abs(p[i] - q[i]))) / 64.0::DOUBLE AS diff FROM (
+    SELECT a.vec_id AS a, b.vec_id AS b, a.p, b.p AS q FROM px a JOIN px b ON b.vec_id = a.vec_id + 1
+    UNION ALL SELECT a.vec_id, b.vec_id, a.p, b.p FROM px a JOIN px b ON b.vec_id = a.vec_id + 2))
   SELECT joint, round(x.diff, 6) AS at_joint, round(y.diff, 6) AS nearby, round(x.diff / y.diff, 6) AS jump_ratio FROM j JOIN m x ON x.a = joint - 1 AND x.b = joint JOIN m y ON y.a = joint + 3 AND y.b = joint + 5 WHERE x.diff > 0 AND y.diff > 0""")
 def jump_ratios(spark, d):
     p = pictures(spark, d).select(F.lit("all").alias("clip"), F.col("vec_id").alias("frame"), "data", "label")

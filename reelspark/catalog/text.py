@@ -81,9 +81,11 @@ def has_verb(spark, d):
                                  F.count(F.lit(1)).alias("n"))
 
 
-@query("close_sentence", f"""SELECT doc_id, {S.close_sentence("split_part(text, chr(10), 1)")} AS closed FROM documents""")
+@query("close_sentence", f"""SELECT doc_id, idx, {S.close_sentence("sentence")} AS closed FROM (
+  SELECT doc_id, CAST(generate_subscripts(s, 1) AS INT) AS idx, unnest(s) AS sentence FROM (SELECT doc_id, {S.sentences('text')} AS s FROM documents))""")
 def close_sentence(spark, d):
-    return news(spark, d).select("doc_id", X.close_sentence("headline").alias("closed"))
+    s = _docs(spark, d).select("doc_id", F.posexplode(X.sentences("text")).alias("pos", "sentence"))
+    return s.select("doc_id", (F.col("pos") + 1).alias("idx"), X.close_sentence("sentence").alias("closed"))
 
 
 _SHORTEN_SQL = f"""WITH s AS (SELECT doc_id, generate_subscripts(s, 1) AS idx, unnest(s) AS sentence

@@ -23,12 +23,16 @@ def untried(candidates: DataFrame, tried: DataFrame, keys: list[str]) -> DataFra
 
 
 def missing_headers(headers: DataFrame, script: str = "script_id", key: str = "key",
-                    value: str = "value", required=K.REQUIRED_HEADERS) -> DataFrame:
+                    value: str = "value", required=K.REQUIRED_HEADERS, scripts: DataFrame | None = None) -> DataFrame:
     """Required headers that a script does not define with a value.
 
     The present headers are folded into one flag per required name, so a script with very
-    many lines still sends one row per task.
+    many lines still sends one row per task.  `scripts` lists all scripts; without it a script
+    that has no header line at all is not known here.
     """
+    if scripts is not None:
+        none = scripts.select(script, F.lit(None).cast("string").alias(key), F.lit("").alias(value))
+        headers = headers.select(script, key, value).unionByName(none)
     flags = headers.groupBy(script).agg(*[
         F.max(((F.col(key) == name) & (F.trim(value) != "")).cast("int")).alias(name) for name in required])
     absent = F.filter(F.array(*[F.when(F.coalesce(F.col(n), F.lit(0)) == 0, F.lit(n)) for n in required]),
