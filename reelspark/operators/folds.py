@@ -56,7 +56,8 @@ def packed_units(df: DataFrame, key: str, text: str, seconds: float) -> DataFram
 
 def priced_documents(df: DataFrame, key: str, text: str, seconds: float) -> DataFrame:
     """Number of units, words, frames and seconds that each document turns into."""
-    priced = df.select(key, F.transform(pack(X.sentences(text), seconds), lambda u: F.struct(
+    packed = X.once(df.select(key, text), p=pack(X.sentences(text), seconds))       # the filter below must not fold again
+    priced = packed.select(key, F.transform("p", lambda u: F.struct(
         u["n_words"].alias("n_words"), N.frames_for_words(u["n_words"]).alias("frames"))).alias("u"))
     total = lambda f: F.aggregate("u", F.lit(0).cast("bigint"), lambda a, u: a + u[f])
     return (priced.filter(F.size("u") > 0)
