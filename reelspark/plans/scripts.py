@@ -14,7 +14,6 @@ from ..functions import text as X
 from ..functions.fingerprints import canonical_fingerprint, run_fingerprint
 from ..functions.numeric import is_voice, ladder_valid
 from ..operators.ordered import OrderedGroups
-from ..operators.sets import missing_headers
 
 BOM = "﻿"
 
@@ -53,45 +52,49 @@ def classify(lines: DataFrame, script: str = "script_id") -> DataFrame:
 
 def parse(lines: DataFrame, script: str = "script_id", max_rows: int | None = None
           ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Lines to (headers, takes, issues)."""
-    rows = classify(lines, script)
-    good = rows.filter("issue is null")
-
-    defined = good.filter("kind = 'header'").select(script, "line_no", "key", "value")
-    headers = defined.groupBy(script, "key").agg(F.min("line_no").alias("line_no"), F.min_by("value", "line_no").alias("value"))
+    """Lines to (headers, takes, issues).
 
+    Lines are classified, folded into one row per script (its first header lines and its number of takes),
+    and meet that row again; everything else is a projection of either side.
+    """
+    rows = classify(lines, script)
+    good = F.col("issue").isNull()
+    first = [F.struct(F.lit(k).alias("key"), F.min(F.when(good & (F.col("key") == k), F.col("line_no"))).alias("line_no"),
+                      F.min_by("value", F.when(good & (F.col("key") == k), F.col("line_no"))).alias("value")) for k in K.HEADER_KEYS]
+    scripts = rows.groupBy(script).agg(F.array(*first).alias("heads"), F.count_if(good & (F.col("kind") == "take")).alias("n_takes"))
+    headers = scripts.select(script, F.inline(F.filter("heads", lambda h: h["line_no"].isNotNull())))
+
+    groups = OrderedGroups.plan(lines, [script], ["line_no"], max_rows)     # no script has more rows than lines, and lines are cheap to count
+    is_take = F.when((F.col("kind") == "take") & F.col("issue").isNull(), 1).otherwise(0)
+    placed = groups.untag(groups.add(groups.tag(rows), running={"idx": is_take}))
+    placed = placed.join(scripts.select(script, F.map_from_entries(F.transform(
+        "heads", lambda h: F.struct(h["key"].alias("key"), F.struct(h["line_no"], h["value"])))).alias("_h")), script)
+    every = normalize_modes(resolve_types(_fields(placed, script), script))
+    takes = every.filter("kind = 'take' and issue is null").drop("kind", "issue", "header_issue")
+
+    take_issues = F.array(
+        F.when(~F.col("take_type").isin(list(K.TAKE_TYPES)), F.lit("unknown_type")), F.col("mode_issue"),
+        F.when((F.col("own_frames") != 0) & ~ladder_valid("own_frames"), F.lit("frames_off_ladder")))
+    line_issues = F.when((F.col("kind") == "take") & F.col("issue").isNull(), take_issues).otherwise(F.array(F.coalesce("issue", "header_issue")))
+    of_lines = every.select(script, "line_no", F.explode(F.filter(line_issues, lambda x: x.isNotNull())).alias("issue"))
+    missing = F.transform(F.filter("heads", lambda h: h["key"].isin(list(K.REQUIRED_HEADERS)) & (F.coalesce(F.trim(h["value"]), F.lit("")) == "")),
+                          lambda h: F.concat(F.lit("missing_"), F.lower(h["key"])))
+    empty = F.when(F.col("n_takes") == 0, F.array(F.lit("no_takes"))).otherwise(F.expr("cast(array() as array<string>)"))
+    of_scripts = scripts.select(script, F.lit(None).cast("int").alias("line_no"), F.explode(F.concat(missing, empty)).alias("issue"))
+    return headers.select(script, "key", "line_no", "value"), takes, of_lines.unionByName(of_scripts)
+
+
+def _fields(rows: DataFrame, script: str) -> DataFrame:
+    """Named fields of take lines, in a row with the headers `_h` of their script; what is wrong with header lines."""
     def own(i):
         return F.coalesce(F.try_element_at("positional", F.lit(i)), F.lit(""))
-
-    body = good.filter("kind = 'take'").select(
-        script, "line_no", F.element_at("f", 1).alias("record"), F.element_at("f", 2).alias("content"),
+    header_issue = (F.when(F.col("line_no") > F.col("_h")[F.col("key")]["line_no"], "duplicate_header")
+                    .when((F.col("key") == "TIPO") & ~F.col("value").isin(list(K.TAKE_TYPES)), "unknown_default_type"))
+    return rows.select(
+        script, "line_no", F.element_at("f", 1).alias("record"), F.try_element_at("f", F.lit(2)).alias("content"),
         own(1).alias("raw_mode"), own(2).alias("own_type"), own(3).alias("own_scene"), own(4).alias("own_ambience"),
         F.nullif(F.regexp_extract(F.element_at(F.array_append("named", F.lit("")), 1), K.FRAMES_FIELD_PATTERN, 1),
-                 F.lit("")).cast("bigint").alias("own_frames"))
-    # a script never has more takes than lines, and lines are cheap to count
-    groups = OrderedGroups.plan(lines, [script], ["line_no"], max_rows)
-    placed = groups.untag(groups.add(groups.tag(body), row_number="idx"))
-    takes = normalize_modes(resolve_types(placed, headers, script))
-
-    first = headers.select(script, "key", F.col("line_no").alias("_first"))
-    again = (defined.join(first, [script, "key"]).filter(F.col("line_no") > F.col("_first"))
-             .select(script, "line_no", F.lit("duplicate_header").alias("issue")))
-    everyone = rows.select(script, F.when((F.col("kind") == "header") & F.col("issue").isNull(), F.col("key")).alias("key"),
-                           F.coalesce("value", F.lit("")).alias("value"))
-    no_line = F.lit(None).cast("int").alias("line_no")
-    missing = missing_headers(everyone, script).select(script, no_line, F.concat(F.lit("missing_"), F.lower("missing")).alias("issue"))
-    empty = (rows.groupBy(script).agg(F.count_if((F.col("kind") == "take") & F.col("issue").isNull()).alias("_n"))
-             .filter("_n = 0").select(script, no_line, F.lit("no_takes").alias("issue")))
-    default = (headers.filter((F.col("key") == "TIPO") & ~F.col("value").isin(list(K.TAKE_TYPES)))
-               .select(script, "line_no", F.lit("unknown_default_type").alias("issue")))
-    per_take = takes.select(script, "line_no", F.explode(F.filter(F.array(
-        F.when(~F.col("take_type").isin(list(K.TAKE_TYPES)), F.lit("unknown_type")),
-        F.col("mode_issue"),
-        F.when((F.col("own_frames") != 0) & ~ladder_valid("own_frames"), F.lit("frames_off_ladder"))),
-        lambda x: x.isNotNull())).alias("issue"))
-    issues = (rows.filter("issue is not null").select(script, "line_no", "issue").unionByName(again)
-              .unionByName(missing).unionByName(empty).unionByName(default).unionByName(per_take))
-    return headers, takes, issues
+                 F.lit("")).try_cast("bigint").alias("own_frames"), "idx", "_h", "kind", "issue", header_issue.alias("header_issue"))
 
 
 def header_row(headers: DataFrame, script: str = "script_id") -> DataFrame:
@@ -101,16 +104,15 @@ def header_row(headers: DataFrame, script: str = "script_id") -> DataFrame:
                                        pick("AMBIENTE").alias("ambience"), pick("MUSICA").alias("music"))
 
 
-def resolve_types(takes: DataFrame, headers: DataFrame, script: str = "script_id") -> DataFrame:
+def resolve_types(takes: DataFrame, script: str = "script_id") -> DataFrame:
     """Own type, else speech for HABLA records, else the script's default; scene and ambience fall back."""
-    h = header_row(headers, script)
-    both = takes.join(h, script, "left")
+    head = lambda k: F.col("_h")[k]["value"]
     take_type = (F.when(F.col("own_type") != "", F.col("own_type")).when(F.col("record") == "HABLA", "habla")
-                 .otherwise(F.coalesce("default_type", F.lit("habla"))))
-    return both.select(
-        *takes.columns, take_type.alias("take_type"),
-        F.when(F.col("own_scene") != "", F.col("own_scene")).otherwise(F.col("scene")).alias("scene"),
-        F.when(F.col("own_ambience") != "", F.col("own_ambience")).otherwise(F.col("ambience")).alias("ambience"), "music")
+                 .otherwise(F.coalesce(head("TIPO"), F.lit("habla"))))
+    return takes.select(
+        *[c for c in takes.columns if c != "_h"], take_type.alias("take_type"),
+        F.when(F.col("own_scene") != "", F.col("own_scene")).otherwise(head("ESCENA")).alias("scene"),
+        F.when(F.col("own_ambience") != "", F.col("own_ambience")).otherwise(head("AMBIENTE")).alias("ambience"), head("MUSICA").alias("music"))
 
 
 def normalize_modes(takes: DataFrame, raw: str = "raw_mode", idx: str = "idx") -> DataFrame:
