@@ -207,3 +207,27 @@ def pack_sentences(spark, d):
 def units_priced(spark, d):
     """Flagship: every document's packed units with their predicted durations."""
     return folds.priced_documents(_docs(spark, d), "doc_id", "text", 8.0)
+
+
+def _dropped(ws, tested, keep):
+    """Words from the first one that is to be kept, by a test on the same or the folded words."""
+    return f"list_slice({ws}, coalesce(list_position(list_transform({tested}, lambda w: {keep}), true), len({ws}) + 1), len({ws}))"
+
+
+_LINK = f"list_contains([{S.listing(K.CONNECTIVES)}], trim(w, ',;:'))"
+_FOLDED = f"string_split({S.fold("array_to_string(ws, ' ')")}, ' ')"
+
+
+@query("prune_prefix", f"""WITH s AS (SELECT doc_id, CAST(generate_subscripts(s, 1) AS INT) AS idx, unnest(s) AS sentence FROM (SELECT doc_id, {S.sentences('text')} AS s FROM documents)),
+  w AS (SELECT doc_id, idx, CAST(1 + idx % 3 AS INT) AS n, {S.words("'x ' || CASE WHEN idx % 2 = 0 THEN 'y , ' ELSE '' END || sentence")} AS ws FROM s),
+  a AS (SELECT doc_id, idx, n, len(ws) AS total, list_slice(ws, n + 1, len(ws)) AS ws FROM w),
+  b AS (SELECT * REPLACE ({_dropped('ws', _FOLDED, f'NOT {_LINK}')} AS ws) FROM a),
+  c AS (SELECT * REPLACE ({_dropped('ws', 'ws', "trim(w, ',;:') <> ''")} AS ws) FROM b),
+  t AS (SELECT *, regexp_replace(array_to_string(ws, ' '), '^[,;: ]+', '') AS t FROM c)
+  SELECT doc_id, idx, CASE WHEN n < total AND len(ws) >= 5 AND {S.has_verb('t')} THEN {S.close_sentence("upper(substr(t, 1, 1)) || substr(t, 2)")} END AS pruned FROM t""")
+def prune_prefix(spark, d):
+    """What is left of every sentence without its first one to three words and a connective after them."""
+    s = _docs(spark, d).select("doc_id", F.posexplode(X.sentences("text")).alias("pos", "sentence"))
+    s = s.select("doc_id", (F.col("pos") + 1).alias("idx"), "sentence")
+    unit = F.concat(F.lit("x "), F.when(F.col("idx") % 2 == 0, "y , ").otherwise(""), "sentence")
+    return s.select("doc_id", "idx", X.prune_prefix(unit, (1 + F.col("idx") % 3).cast("int")).alias("pruned"))
