@@ -7,16 +7,17 @@ at least `SUPPORT` of the host's pages, on two at least, and has two tokens or m
 valid classes, which are the host's template. What the template does not hold are the slots; the main
 text are the slots inside the article, or, on pages without one, all slots outside other page parts.
 Inside an article a text is template only if its class holds a start tag, as text of the page's frame does:
-sentences that copies of one article share are no frame. An article that is all template (a host of
-copies) keeps its text. Blanks between elements stay as one blank.
+sentences that copies of one article share are no frame. An article or page that is all template (a host
+of copies) keeps its text. Blanks between elements stay as one blank.
 
-Vectors are never gathered: a task folds the pages it reads into one 64-bit xor of page-and-count hashes
-per token, and Spark combines these before and after the shuffle, so a hot host costs each task one row
-per token. Templates are broadcast if they are at most `BROADCAST_TOKENS` tokens, else joined by host.
+Vectors are never gathered: a task folds the pages it reads into sums of page-and-count hashes (both halves
+of 64 bits, each modulo 2^32) per token, and Spark combines these before and after the shuffle, so a hot host
+costs each task one row per token. A page is named by its key and content, so rows without a key differ by
+what they hold, and rows that repeat weigh alike in every token of theirs. Templates are broadcast if they are at most `BROADCAST_TOKENS` tokens, else joined by host.
 
 Defined cases: a null or empty page has an empty text; a null url is a host of its own name (empty); a host
-with one page has no template; keys may be null or repeat, each row gives one row (equal rows cancel or
-count in pairs in the vector only); unclosed elements end with their parent; nothing is capped.
+with one page has no template; keys may be null or repeat, each row gives one row (a row that
+repeats counts as often in support and vectors); unclosed elements end with their parent; nothing is capped.
 """
 from __future__ import annotations
 
@@ -32,6 +33,7 @@ from .common import checkpointed
 
 SUPPORT = 0.5
 BROADCAST_TOKENS = 500_000
+MASK = (1 << 32) - 1
 
 #: What HTML says about elements, and names of page parts that are no main text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -127,8 +129,7 @@ def extract(page: str | None, template: set[int], frame: set[int]) -> str:
                 blocks[-1].append(text)
         joined = (" ".join(entities.unescape("".join(b)).split()) for b in blocks if b)
         return "\n".join(b for b in joined if b)
-    return kept(frame) or kept(set()) if whole else kept(template)
-
+    return kept(frame if whole else template) or kept(set())
 
 
 def host(url: Column) -> Column:
@@ -148,22 +149,26 @@ def templates(pages: DataFrame, page: str = "page_id", url: str = "url", html: s
                 found = [(t, tag != "") for t, tag, *_ in nodes(source or "") if t]
                 counts, tags = Counter(t for t, _ in found), {t for t, is_tag in found if is_tag}
                 counts[0] = 1                                                # the page itself
+                row = f"{key}|{digest((source or '').encode('utf-8', 'surrogatepass'))}"
                 for token, n in counts.items():
-                    own = seen.setdefault((name, token), [0, 0, False])
-                    own[0] ^= digest(f"{key}|{n}".encode())
-                    own[1] += 1
-                    own[2] |= token in tags
+                    own = seen.setdefault((name, token), [0, 0, 0, False])
+                    code = digest(f"{row}|{n}".encode())
+                    own[0] = own[0] + (code >> 32) & MASK
+                    own[1] = own[1] + (code & MASK) & MASK
+                    own[2] += 1
+                    own[3] |= token in tags
 
             def signed(x: int) -> int:
                 return x - (1 << 64) if x >> 63 else x
             yield pa.RecordBatch.from_arrays([
                 pa.array([h for h, _ in seen], pa.string()), pa.array([signed(t) for _, t in seen], pa.int64()),
-                pa.array([signed(v) for v, _, _ in seen.values()], pa.int64()), pa.array([n for _, n, _ in seen.values()], pa.int64()),
-                pa.array([x for _, _, x in seen.values()], pa.bool_())], names=["host", "token", "vector", "pages", "tag"])
+                *(pa.array([own[i] for own in seen.values()], pa.int64()) for i in range(3)),
+                pa.array([own[3] for own in seen.values()], pa.bool_())], names=["host", "token", "high", "low", "pages", "tag"])
 
     read = pages.select(host(F.col(url)).alias("host"), F.coalesce(F.col(page).cast("string"), F.lit("")).alias("page"), F.col(html).alias("html"))
-    tokens = (read.mapInArrow(run, "host string, token long, vector long, pages long, tag boolean")
-              .groupBy("host", "token").agg(F.bit_xor("vector").alias("vector"), F.sum("pages").alias("pages"), F.max("tag").alias("tag"))
+    half = lambda c: F.sum(c).bitwiseAND(F.lit(MASK))
+    tokens = (read.mapInArrow(run, "host string, token long, high long, low long, pages long, tag boolean")
+              .groupBy("host", "token").agg(F.xxhash64(half("high"), half("low")).alias("vector"), F.sum("pages").alias("pages"), F.max("tag").alias("tag"))
               .filter("pages > 1"))
     tokens = checkpointed(tokens)
     whole = tokens.filter("token = 0").select("host", F.col("pages").alias("of"))
