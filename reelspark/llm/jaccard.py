@@ -84,7 +84,7 @@ def _enough(overlap, a, b, per_cent: int):
 
 
 def sets(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """(key, n, node, keys, bits): size, digest, sketch and bitmap of every row; without words node is null."""
+    """(key, code, n, node, keys, bits): hash of the text, size, digest, sketch and bitmap of every row; without words node is null."""
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,13 +92,13 @@ def sets(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
         for batch in (part for whole in batches for part in slices(whole, 1)):
             made = shingles(batch.column(1).to_pylist(), size)
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([len(h) for h in made], pa.int64()),
+                batch.column(0), batch.column(2), pa.array([len(h) for h in made], pa.int64()),
                 pa.array([xxh3_128_digest(h.tobytes()) if len(h) else None for h in made], pa.binary()),
                 pa.array([h[:SKETCH].view(np.int64) for h in made], pa.list_(pa.int64())),
-                pa.array([bitmap(h) if len(h) else b"" for h in made], pa.binary())], names=["key", "n", "node", "keys", "bits"])
+                pa.array([bitmap(h) if len(h) else b"" for h in made], pa.binary())], names=["key", "code", "n", "node", "keys", "bits"])
 
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(
-        run, f"key {kind}, n long, node binary, keys array<long>, bits binary")
+    return docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("code")).mapInArrow(
+        run, f"key {kind}, code long, n long, node binary, keys array<long>, bits binary")
 
 
 def candidates(classes: DataFrame, per_cent: int) -> DataFrame:
@@ -180,10 +180,10 @@ def resolve(members: DataFrame, per_cent: int) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         groups: dict = {}
         for grp, chunks, part, node, data in zip(*(table.column(c).to_pylist() for c in ("grp", "chunks", "part", "node", "hashes"))):
-            groups.setdefault((grp, part, chunks), []).append((len(data) // 8, node, data))
+            groups.setdefault((grp, part, chunks), {})[node] = data                # several tasks may have sent a node
         left, right, whole = [], [], []
-        for (_, _, chunks), rows in groups.items():
-            rows.sort(key=lambda r: r[:2])
+        for (_, _, chunks), members in groups.items():
+            rows = sorted((len(data) // 8, node, data) for node, data in members.items())
             sizes = np.array([n for n, _, _ in rows])
             arrays = [np.frombuffer(d, np.uint64) for _, _, d in rows]
             root = np.arange(len(rows))
@@ -215,26 +215,35 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = W
     rows = checkpointed(sets(docs, key, text, size))
     kind = rows.schema["key"].dataType.simpleString()
     classes = (rows.filter("node is not null").groupBy("node")
-               .agg(F.min("key").alias("key"), F.min("n").alias("n"), F.first("keys").alias("keys"), F.first("bits").alias("bits")))
+               .agg(F.min(F.struct("key", "code")).alias("owner"), F.min("n").alias("n"), F.first("keys").alias("keys"), F.first("bits").alias("bits")))
     guess = components(candidates(classes, per_cent)).select("node", F.col("label").alias("grp"))
 
-    # Whole arrays of the classes in groups, from the text of one row of each.
-    owners = guess.join(classes.select("node", F.col("key").alias("owner")), "node")
+    # Whole arrays of the classes in groups, from the text of one row of each. Key and text find it, as keys may repeat or be
+    # null; rows equal in both give one array per task.
+    owners = guess.join(classes.select("node", F.col("owner.key").alias("owner"), F.col("owner.code").alias("code")), "node")
     sizes = guess.groupBy("grp").agg(F.count("*").alias("m"))
     placed = owners.join(sizes, "grp").withColumn("chunks", F.ceil(F.col("m") / CHUNK).cast("int"))
 
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest
+        done: set[bytes] = set()
         for batch in (part for whole in batches for part in slices(whole, 1)):
+            fresh = []
+            for i, node in enumerate(batch.column(0).to_pylist()):
+                if node not in done:
+                    done.add(node)
+                    fresh.append(i)
+            batch = batch.take(pa.array(fresh, pa.int64()))
             made = shingles(batch.column(1).to_pylist(), size)
             same = [len(h) > 0 and xxh3_128_digest(h.tobytes()) == node for h, node in zip(made, batch.column(0).to_pylist())]
+            done.difference_update(node for ok, node in zip(same, batch.column(0).to_pylist()) if not ok)
             keep = pa.array(same, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(2).filter(keep), batch.column(3).filter(keep),
                                               pa.array([h.tobytes() for h, ok in zip(made, same) if ok], pa.binary())],
                                              names=["node", "grp", "chunks", "hashes"])
 
-    source = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    whole = (source.join(placed, F.col("key").eqNullSafe(F.col("owner"))).select("node", "text", "grp", "chunks")
+    source = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("hash"))
+    whole = (source.join(placed, F.col("key").eqNullSafe(F.col("owner")) & (F.col("hash") == F.col("code"))).select("node", "text", "grp", "chunks")
              .mapInArrow(arrays, "node binary, grp binary, chunks int, hashes binary"))
     own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     parts = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda o: F.least(own, o) * F.col("chunks") + F.greatest(own, o))
