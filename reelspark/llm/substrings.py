@@ -3,8 +3,8 @@
 A gear hash rolls over the bytes of a text (blanks of any kind count as a space); a chunk ends after a
 word at whose last byte the hash's top bits are zero, on average every four words, and after
 `LONGEST` words at the latest. So an insertion moves only the boundaries next to it. Chunks are compared
-by digest: a chunk is a repeat unless it is the first of its digest, in order of block, key and
-place. Runs of repeats of at least `least` words are cut out; the first occurrence stays.
+by digest: a chunk is a repeat unless it is the first of its digest, in order of the rows' hashes
+(of key and text) and of place, whatever the number of partitions. Runs of repeats of at least `least` words are cut out; the first occurrence stays.
 
 A block of rows lists each distinct digest once, so the shuffle carries one number per digest and block,
 however many rows repeat it.
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import in_blocks, pack, partitions, unpack
+from .common import pack, partitions, unpack
 
 #: Fixed values of the gear: one number per byte, from a seeded generator.
 GEAR = np.random.default_rng(20_240_607).integers(0, 1 << 16, 256).astype(np.uint16)
@@ -58,8 +58,8 @@ def chunks(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 def _listed(table: pa.Table) -> tuple[list[int], list[tuple], np.ndarray]:
     """Rows of a block in order of key and text; chunks of each; digests of all chunks in that order."""
     from xxhash import xxh3_64_intdigest
-    keys, texts = table.column("key").to_pylist(), table.column("text").to_pylist()
-    order = sorted(range(len(keys)), key=lambda i: (keys[i] is not None, keys[i] if keys[i] is not None else 0, texts[i] or ""))
+    keys, texts, at = (table.column(c).to_pylist() for c in ("key", "text", "at"))
+    order = sorted(range(len(keys)), key=lambda i: (at[i], keys[i] is not None, keys[i] if keys[i] is not None else 0, texts[i] or ""))
     cut, digests = [], []
     for i in order:
         begin, end, n, data = chunks((texts[i] or "").encode("utf-8", "surrogatepass"))
@@ -88,7 +88,10 @@ def rewrite(docs: DataFrame, key: str = "doc_id", text: str = "text", length: st
 def _cut(rows: DataFrame, least: int) -> DataFrame:
     """Of (key, text, rest): key, rest, text without repeats, n_words, n_removed, n_spans."""
     shards = partitions(rows.sparkSession)
-    rows = in_blocks(rows)
+    # Blocks are ranges of the rows' hashes, so the first row of a digest is the same one for any number of blocks.
+    blocks = 2 * shards
+    rows = (rows.withColumn("at", F.shiftrightunsigned(F.xxhash64("key", "text"), 1))
+            .withColumn("blk", F.shiftright(F.shiftright("at", 32) * F.lit(blocks), 31).cast("int")).repartition(shards, "blk"))
 
     def dealt(digests: np.ndarray) -> list[np.ndarray]:
         seen = np.unique(digests)
@@ -151,6 +154,6 @@ def _cut(rows: DataFrame, least: int) -> DataFrame:
     schema = T.StructType([T.StructField("key", rows.schema["key"].dataType), T.StructField("rest", rows.schema["rest"].dataType),
                            T.StructField("text", T.StringType()),
                            *(T.StructField(c, T.LongType()) for c in ("n_words", "n_removed", "n_spans"))])
-    answers = (rows.select("blk", "key", "text").groupBy("blk").applyInArrow(list_digests, "shard int, blk int, data binary")
+    answers = (rows.select("blk", "key", "text", "at").groupBy("blk").applyInArrow(list_digests, "shard int, blk int, data binary")
                .groupBy("shard").applyInArrow(first_blocks, "blk int, shard int, data binary"))
     return rows.groupBy("blk").cogroup(answers.groupBy("blk")).applyInArrow(cut_out, schema)

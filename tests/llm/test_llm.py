@@ -210,6 +210,17 @@ def test_substring_dedup(spark, docs, empty, rows):
     assert substrings.rewrite(empty).columns == empty.columns and substrings.rewrite(empty).count() == 0
 
 
+def test_substrings_do_not_follow_the_partitions(spark):
+    passages = [prose(40) for _ in range(10)]
+    texts = [(k if k % 7 else None, f"{prose(30)} {passages[k % 10]} {prose(30)}") for k in range(80)]
+    docs = spark.createDataFrame([*texts, *texts[:5]], "doc_id long, text string")
+    found = []
+    for n in (4, 7, 8):                                                   # the session's own number comes last
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        found.append(multiset(substrings.dedup(docs).collect(), "doc_id", "text", "n_removed"))
+    assert found[0] == found[1] == found[2] and any(n for _, _, n in found[0])
+
+
 def test_chunks_resist_insertions():
     text = prose(4000).encode()
     a = {bytes(text[x:y]) for x, y in zip(*substrings.chunks(text)[:2])}
@@ -240,6 +251,22 @@ def test_jaccard_components(docs, empty, rows, monkeypatch):
     assert jaccard.join(empty).count() == 0
 
 
+def test_jaccard_with_one_key_for_all_rows(spark):
+    """Near copies under null and equal keys: as many links as under keys of their own; rows meet by text, not by key."""
+    base = [prose(60).split() for _ in range(40)]
+    texts = [" ".join(w if i != 30 else f"w{k}" for i, w in enumerate(words)) for words in base for k in range(5)]
+    own = jaccard.join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    groups = collections.Counter(r.component_id for r in own)
+    assert sorted(groups.values()) == [5] * 40
+    for key in (None, 3):
+        rows = [(key, t) for t in texts * 3]
+        got = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert collections.Counter((r.doc_id, r.component_id) for r in got) == {(key, key): len(rows)}
+    mixed = [(None if i % 5 else i, t) for i, t in enumerate(texts)] * 2
+    got = jaccard.join(spark.createDataFrame(mixed, "doc_id long, text string")).collect()
+    assert collections.Counter(r.component_id for r in got) == {5 * g: 10 for g in range(40)}
+
+
 def test_toxicity_learns_subwords(spark, empty):
     texts, labels = [], []
     for k in range(400):
@@ -303,6 +330,28 @@ def test_html_slots_inside_the_article(spark):
     assert {got[10 + i] for i in range(3)} == {"All the same"} and got[20] == "one two"
 
 
+def test_html_of_repeated_rows(spark):
+    """Rows that repeat keep what single rows keep, with keys and without; class names on no list are template all the same."""
+    page = ('<html><body><div class="zq">Our shop is open</div><div class="t"><p>{} words</p></div>'
+            '<article><p>{} tale</p><div class="kx"><p>Join the club</p></div></article></body></html>')
+    open_ = '<html><body><div class="zq">Our shop is open</div><div class="t"><p>{} words</p></div></body></html>'
+    made = [(i, f"http://{host}.example/{i}", (page if host == "a" else open_).format(*([("alpha", "beta")[i // 2]] * 2)))
+            for host in "ab" for i in range(4)]
+    kept = {"a": "{} tale", "b": "{} words"}
+
+    def check(rows):
+        got = html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            assert r.text == kept[r.url[7]].format(("alpha", "beta")[int(r.url[-1]) // 2])
+    for times in (1, 2, 3):
+        check(made * times)
+        check([(None, u, h) for _, u, h in made] * times)
+    copies = [(1, "http://c.example/1", "<body><p>The same page</p></body>")] * 2 + [(2, "http://d.example/1", "<p>No article</p>")] * 3
+    got = html.main_text(spark.createDataFrame(copies, "page_id long, url string, html string")).collect()
+    assert collections.Counter(r.text for r in got) == {"The same page": 2, "No article": 3}
+
+
 def matches(pattern):
     """Strings that a rule's pattern matches, one of every alternative at least."""
     from re import _parser
