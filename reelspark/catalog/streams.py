@@ -82,9 +82,54 @@ def pictures(spark, d):
                                                 F.lit(1).alias("nChannels"), data.alias("data"))
 
 
-@query("frame_metrics")
+def colour_pictures(spark, d):
+    """The same pictures with three planes: the levels, the levels from the end, and their complement."""
+    grey = pictures(spark, d).withColumn("hex", F.hex("data"))
+    plane = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.concat(
+        F.substring("hex", 2 * i + 1, F.lit(2)), F.substring("hex", 127 - 2 * i, F.lit(2)),
+        F.lpad(F.hex(255 - F.conv(F.substring("hex", 2 * i + 1, F.lit(2)), 16, 10).cast("bigint")), 2, "0")))
+    return grey.select("vec_id", "label", "height", "width", F.lit(3).alias("nChannels"), F.unhex(F.array_join(plane, "")).alias("data"))
+
+
+def _around(plane: str, row: str, col: str) -> str:
+    """A pixel of an 8×8 list by row and column; outside of the picture the nearest one."""
+    return f"{plane}[CAST(8 * greatest(0, least(7, {row})) + greatest(0, least(7, {col})) + 1 AS INT)]"
+
+
+def _blur_sql(plane: str, sigma: float) -> str:
+    k = [float(x) for x in P.kernel(sigma)]
+    r = len(k) // 2
+    total = lambda src, row, col: "(" + " + ".join(f"{w!r}::DOUBLE * {_around(src, row(d), col(d))}" for d, w in zip(range(-r, r + 1), k)) + ")"
+    down = f"list_transform(range(0, 64), lambda i: {total(plane, lambda d: f'i // 8 + {d}', lambda d: 'i % 8')})"
+    return f"list_transform([{down}], lambda q: list_transform(range(0, 64), lambda i: {total('q', lambda d: 'i // 8', lambda d: f'i % 8 + {d}')}))[1]"
+
+
+def _edges_sql(plane: str) -> str:
+    at = lambda y, x: _around(plane, f"i // 8 + {y}", f"i % 8 + {x}")
+    dx = " + ".join(f"{w} * ({at(y, 1)} - {at(y, -1)})" for y, w in ((-1, 1), (0, 2), (1, 1)))
+    dy = " + ".join(f"{w} * ({at(1, x)} - {at(-1, x)})" for x, w in ((-1, 1), (0, 2), (1, 1)))
+    return f"list_avg(list_transform(range(0, 64), lambda i: least(255, sqrt(pow({dx}, 2) + pow({dy}, 2)))))"
+
+
+_PLANES = "list_transform(range(1, 65), lambda i: p[i]::DOUBLE)", "list_transform(range(1, 65), lambda i: p[65 - i]::DOUBLE)", \
+    "list_transform(range(1, 65), lambda i: 255.0::DOUBLE - p[i])"
+
+
+@query("frame_metrics", f"""WITH {_PIX}, b AS (SELECT vec_id, {_PLANES[0]} AS b, {_PLANES[1]} AS g, {_PLANES[2]} AS r FROM px),
+  y AS MATERIALIZED (SELECT *, list_transform(range(1, 65), lambda i: (114 * b[i] + 587 * g[i] + 299 * r[i]) / 1000) AS y FROM b),
+  s AS MATERIALIZED (SELECT *, {_blur_sql("y", 0.9)} AS soft, {_blur_sql("y", 1.3)} AS y2, {_blur_sql("b", 1.3)} AS b2, {_blur_sql("g", 1.3)} AS g2,
+    {_blur_sql("r", 1.3)} AS r2 FROM y),
+  e AS MATERIALIZED (SELECT *, {_edges_sql("y2")} AS ey, {_edges_sql("b2")} AS eb, {_edges_sql("g2")} AS eg, {_edges_sql("r2")} AS er FROM s),
+  h AS (SELECT vec_id, -sum(n / 64.0::DOUBLE * log2(n / 64.0::DOUBLE)) AS entropy FROM (
+    SELECT vec_id, v, count(*) AS n FROM (SELECT vec_id, unnest(list_transform(soft, lambda x: round_even(x, 0))) AS v FROM s) GROUP BY vec_id, v) GROUP BY vec_id)
+  SELECT vec_id, round(entropy, 6) + 0.0 AS entropy, round(list_avg(list_transform(range(1, 65), lambda i: abs(y[i] - soft[i]))), 6) AS grain, round(ey, 6) AS edges,
+    round(greatest(eb, eg, er) - least(eb, eg, er), 6) AS chroma,
+    list_max(list_transform(range(1, 65), lambda i: greatest(b[i], g[i], r[i]) - least(b[i], g[i], r[i]))) AS saturation_max,
+    round(list_avg(y), 9) AS luminance_mean, round((y[1] + y[8] + y[57] + y[64]) / 4, 6) AS corner_mean, 0.0::DOUBLE AS corner_deviation,
+    round(greatest(y[1], y[8], y[57], y[64]), 6) AS corner_peak FROM e JOIN h USING (vec_id)""")
 def frame_metrics(spark, d):
-    return P.frame_metrics(pictures(spark, d), ["vec_id"])
+    m = P.frame_metrics(colour_pictures(spark, d), ["vec_id"])
+    return m.select("vec_id", *[F.round(c, 9 if c == "luminance_mean" else 6).alias(c) for c in m.columns if c != "vec_id"])
 
 
 @query("frame_levels", f"""WITH {_PIX} SELECT vec_id, round(list_sum(p) / 64.0::DOUBLE, 6) AS luminance_mean, round((p[1] + p[8] + p[57] + p[64]) / 4.0::DOUBLE, 6) AS corner_mean,

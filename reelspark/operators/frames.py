@@ -26,22 +26,38 @@ def gray(a: np.ndarray) -> np.ndarray:
     return (114 * a[:, :, 0] + 587 * a[:, :, 1] + 299 * a[:, :, 2]) / 1000
 
 
-def blur(g: np.ndarray, sigma: float) -> np.ndarray:
+def kernel(sigma: float) -> np.ndarray:
+    """Normalised Gaussian weights over three deviations each way."""
     r = max(1, int(np.ceil(3 * sigma)))
     k = np.exp(-0.5 * (np.arange(-r, r + 1) / sigma) ** 2)
-    k /= k.sum()
+    return k / k.sum()
+
+
+def blur(g: np.ndarray, sigma: float) -> np.ndarray:
+    """Gaussian blur of one plane or of planes on the last axis; edge pixels are repeated outwards.
+
+    Each axis is a sum of shifted pictures, so the number of numpy calls does not depend on the size.
+    """
+    k = kernel(sigma)
+    r = len(k) // 2
     for axis in (0, 1):
-        pad = [(r, r) if i == axis else (0, 0) for i in range(2)]
-        g = np.apply_along_axis(np.convolve, axis, np.pad(g, pad, mode="edge"), k, "valid")
+        n = g.shape[axis]
+        padded = np.pad(g, [(r, r) if i == axis else (0, 0) for i in range(g.ndim)], mode="edge")
+        part = lambda d: padded[d:d + n] if axis == 0 else padded[:, d:d + n]
+        out = k[r] * part(r)
+        for d in range(r):                                                  # the weights are symmetric
+            out += k[d] * (part(d) + part(2 * r - d))
+        g = out
     return g
 
 
-def edge_energy(g: np.ndarray) -> float:
-    """Mean Sobel magnitude, clipped to the 8-bit range."""
-    p = np.pad(g, 1, mode="edge")
-    dx = (p[:-2, 2:] + 2 * p[1:-1, 2:] + p[2:, 2:]) - (p[:-2, :-2] + 2 * p[1:-1, :-2] + p[2:, :-2])
-    dy = (p[2:, :-2] + 2 * p[2:, 1:-1] + p[2:, 2:]) - (p[:-2, :-2] + 2 * p[:-2, 1:-1] + p[:-2, 2:])
-    return float(np.minimum(np.hypot(dx, dy), 255).mean())
+def edge_energy(g: np.ndarray) -> np.ndarray:
+    """Mean Sobel magnitude, clipped to the 8-bit range; one number per plane."""
+    p = np.pad(g, [(1, 1), (1, 1), (0, 0)][:g.ndim], mode="edge")
+    across, down = p[:, 2:] - p[:, :-2], p[2:] - p[:-2]
+    dx = across[:-2] + 2 * across[1:-1] + across[2:]
+    dy = down[:, :-2] + 2 * down[:, 1:-1] + down[:, 2:]
+    return np.minimum(np.hypot(dx, dy), 255).mean(axis=(0, 1))
 
 
 def entropy_bits(g: np.ndarray) -> float:
@@ -53,9 +69,8 @@ def entropy_bits(g: np.ndarray) -> float:
 def corners(g: np.ndarray) -> tuple[float, float, float]:
     """Mean of means, mean of deviations and peak over four corners of 16 % × 22 %."""
     h, w = max(1, int(g.shape[0] * 0.22)), max(1, int(g.shape[1] * 0.16))
-    parts = (g[:h, :w], g[:h, -w:], g[-h:, :w], g[-h:, -w:])
-    return (float(np.mean([p.mean() for p in parts])), float(np.mean([p.std() for p in parts])),
-            float(max(p.max() for p in parts)))
+    parts = np.stack((g[:h, :w], g[:h, -w:], g[-h:, :w], g[-h:, -w:]))
+    return float(parts.mean()), float(parts.std(axis=(1, 2)).mean()), float(parts.max())
 
 
 def frame_metrics(frames: DataFrame, keep: list[str]) -> DataFrame:
@@ -67,10 +82,10 @@ def frame_metrics(frames: DataFrame, keep: list[str]) -> DataFrame:
                 a = _pixels(data, h, w, c)
                 g = gray(a)
                 soft = blur(g, 0.9)
-                planes = [edge_energy(blur(a[:, :, i], 1.3)) for i in range(3)]
+                planes = edge_energy(blur(a, 1.3))
                 spread = a.max(axis=2) - a.min(axis=2)
-                rows.append((entropy_bits(soft), float(np.abs(g - soft).mean()), edge_energy(blur(g, 1.3)),
-                             max(planes) - min(planes), float(spread.max()), float(g.mean()), *corners(g)))
+                rows.append((entropy_bits(soft), float(np.abs(g - soft).mean()), float(edge_energy(blur(g, 1.3))),
+                             float(np.ptp(planes)), float(spread.max()), float(g.mean()), *corners(g)))
             names = [part.split()[0] for part in METRICS.split(", ")]
             yield pd.concat([pdf[keep].reset_index(drop=True), pd.DataFrame(rows, columns=names)], axis=1)
 

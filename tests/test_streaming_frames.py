@@ -162,3 +162,23 @@ def test_every_query_has_rows(spark, sf):
     names = ["plan_units", "entropy_events", "render_prompt", "frame_metrics", "rank_candidates"]
     for n in names:
         assert QUERIES[n](spark, sf).limit(1).count() == 1
+
+
+def test_blur_is_the_direct_sum():
+    """Every pixel is the weighted sum over its neighbourhood, on pictures smaller and larger than the kernel, with planes."""
+    import numpy as np
+
+    from reelspark.operators import frames as P
+    for shape in ((1, 1), (2, 7), (9, 5), (6, 4, 3)):
+        g = np.random.default_rng(3).uniform(0, 255, shape)
+        for sigma in (0.9, 1.3):
+            k = P.kernel(sigma)
+            r = len(k) // 2
+            want = np.zeros(shape)
+            for y in range(shape[0]):
+                for x in range(shape[1]):
+                    want[y, x] = sum(k[a + r] * k[b + r] * g[min(max(y + a, 0), shape[0] - 1), min(max(x + b, 0), shape[1] - 1)]
+                                     for a in range(-r, r + 1) for b in range(-r, r + 1))
+            assert np.allclose(P.blur(g, sigma), want, atol=1e-9)
+    planes = np.random.default_rng(4).uniform(0, 255, (12, 9, 3))
+    assert np.allclose(P.edge_energy(planes), [P.edge_energy(planes[:, :, i]) for i in range(3)])
