@@ -43,7 +43,7 @@ _THRESHOLD = """th AS (SELECT clip_id, CAST(count(*) AS BIGINT) AS n, list_sort(
 @query("spike_threshold", with_views("series_v", extra=_THRESHOLD) +
        """SELECT clip_id, n, median, round(deviation, 6) AS deviation, peak, round(threshold, 6) AS threshold FROM th""")
 def spike_threshold(spark, d):
-    return (R.spike_threshold(series(spark, d), ["clip_id"])
+    return (R.spike_threshold(series(spark, d), ["clip_id"]).drop("mean_square")
             .withColumn("deviation", F.round("deviation", 6)).withColumn("threshold", F.round("threshold", 6)))
 
 
@@ -67,7 +67,7 @@ def spike_groups(spark, d):
   CAST(coalesce(k, 0) AS BIGINT) AS spots, CASE coalesce(k, 0) WHEN 0 THEN 'LIMPIO' WHEN 1 THEN 'MANCHA AISLADA' ELSE 'ABERRACIONES' END AS verdict
   FROM th LEFT JOIN (SELECT clip_id, count(*) AS k, sum(n_rows) AS sr FROM grp GROUP BY clip_id) USING (clip_id)""")
 def spot_report(spark, d):
-    return R.spot_report(series(spark, d), ["clip_id"], GAP_HOURS).withColumn("threshold", F.round("threshold", 6))
+    return R.spot_report(series(spark, d), ["clip_id"], GAP_HOURS).drop("mean_square").withColumn("threshold", F.round("threshold", 6))
 
 
 @query("first_spike_groups", with_views("series_v", extra=_SPIKES) +
@@ -78,7 +78,7 @@ def first_spike_groups(spark, d):
     return R.first_per_group(g, ["clip_id"], ["group_no"], 10).select("clip_id", "group_no", "start", "spike")
 
 
-_LEVELS = """lv AS (SELECT clip_id, t, 20 * log10(v) AS level_db, 20 * log10(sqrt(avg(v * v) OVER (PARTITION BY clip_id))) - 22 AS threshold_db
+_LEVELS = """lv AS (SELECT clip_id, t, 20 * log10(v) AS level_db, round_even((20 * log10(sqrt(avg(v * v) OVER (PARTITION BY clip_id))) - 22) * 10, 0) / 10 AS threshold_db
     FROM series_v),
   fl AS (SELECT clip_id, t, level_db < threshold_db AS under, lead(t) OVER (PARTITION BY clip_id ORDER BY t) AS nt FROM lv),
   rn AS (SELECT *, sum(CASE WHEN under AND NOT coalesce(pu, false) THEN 1 ELSE 0 END)
@@ -90,13 +90,13 @@ _LEVELS = """lv AS (SELECT clip_id, t, 20 * log10(v) AS level_db, 20 * log10(sqr
 
 def _silences(spark, d):
     s = series(spark, d)
-    rms = R.rms_level(s, ["clip_id"]).select("clip_id", (F.col("rms_db") - 22).alias("threshold_db"))
-    return R.silences(s.join(rms, "clip_id").withColumn("level_db", 20 * F.log10("v")), ["clip_id"])
+    levels = R.silence_levels(s, ["clip_id"])
+    return levels, R.silences(s.join(levels, "clip_id").withColumn("level_db", 20 * F.log10("v")), ["clip_id"])
 
 
 @query("silences", with_views("series_v", extra=_LEVELS) + "SELECT clip_id, run, round(t0, 6) AS t0, round(t1, 6) AS t1 FROM si")
 def silences(spark, d):
-    return _silences(spark, d).withColumn("t0", F.round("t0", 6)).withColumn("t1", F.round("t1", 6))
+    return _silences(spark, d)[1].withColumn("t0", F.round("t0", 6)).withColumn("t1", F.round("t1", 6))
 
 
 @query("speech_coverage", with_views("series_v", extra=_LEVELS) + """, c AS (SELECT clip_id, max(t) AS duration FROM series_v GROUP BY clip_id),
@@ -110,8 +110,8 @@ def silences(spark, d):
       WHEN 100 * (duration - silent) / duration > 97 THEN 'ATROPELLADO' ELSE 'OK' END AS verdict
   FROM a LEFT JOIN f USING (clip_id)""")
 def speech_coverage(spark, d):
-    clips = series(spark, d).groupBy("clip_id").agg(F.max("t").alias("duration"))
-    out = R.coverage(_silences(spark, d), clips, ["clip_id"], longest_allowed=12.0)
+    clips, found = _silences(spark, d)
+    out = R.coverage(found, clips, ["clip_id"], longest_allowed=12.0)
     return out.select("clip_id", *[F.round(c, 6).alias(c) for c in ("duration", "silent", "longest", "coverage")],
                       "n_silences", "first_silences", "verdict")
 

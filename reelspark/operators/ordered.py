@@ -175,15 +175,16 @@ def numbered(df: DataFrame, keys: list[str], order: list[str], name: str = "idx"
     return ordered(df, keys, order, max_rows, row_number=name)
 
 
-def value_ranks(df: DataFrame, keys: list[str], value: str, max_rows: int | None = None) -> DataFrame:
+def value_ranks(df: DataFrame, keys: list[str], value: str, max_rows: int | None = None, **total: Column) -> DataFrame:
     """Distinct values per group with counts (`c`), cumulative counts (`cum`) and totals (`n`).
 
     Equal values are combined before the shuffle; exact order statistics follow by filter.
+    total: further group sums over values and counts, beside every value.
     """
     hist = (df.filter(F.col(value).isNotNull()).groupBy(*keys, value)
             .agg(F.count(F.lit(1)).alias("c")))
     return ordered(hist, keys, [value], max_rows,
-                   running={"cum": F.col("c")}, total={"n": F.col("c")})
+                   running={"cum": F.col("c")}, total={"n": F.col("c"), **total})
 
 
 def medians(df: DataFrame, keys: list[str], value: str, max_rows: int | None = None) -> DataFrame:

@@ -31,20 +31,18 @@ def spike_threshold(series: DataFrame, keys: list[str], value: str = "v",
                     max_rows: int | None = None) -> DataFrame:
     """Upper median plus four population deviations, at least ten above the median.
 
-    One histogram gives median, deviation and peak: rows are read once.
+    One histogram gives median, deviation, peak and mean square: rows are read once.  Its sums stand beside
+    every value, so the second moment is taken about the mean (no large numbers cancel) without a join.
     """
-    ranks = value_ranks(series, keys, value, max_rows)
     c, v = F.col("c"), F.col(value)
-    stats = ranks.groupBy(*keys).agg(
+    mean = F.col("_sum") / F.col("n")
+    stats = value_ranks(series, keys, value, max_rows, _sum=v * c).groupBy(*keys).agg(
         F.max("n").alias("n"),
         F.min(F.when(F.col("cum") >= F.floor(F.col("n") / 2) + 1, v)).alias("median"),
-        (F.sum(v * c) / F.sum(c)).alias("mean"),
-        F.max(v).alias("peak"))
-    # second moment about the mean, so that no large numbers cancel
-    spread = (ranks.join(stats.select(*keys, "mean"), keys).groupBy(*keys)
-              .agg(F.sqrt(F.sum(c * (v - F.col("mean")) ** 2) / F.sum(c)).alias("deviation")))
-    return stats.join(spread, keys).select(
-        *keys, "n", "median", "deviation", "peak",
+        F.sqrt(F.sum(c * (v - mean) ** 2) / F.max("n")).alias("deviation"),
+        F.max(v).alias("peak"), (F.sum(c * v * v) / F.max("n")).alias("mean_square"))
+    return stats.select(
+        *keys, "n", "median", "deviation", "peak", "mean_square",
         (F.col("median") + F.greatest(K.SPIKE_SIGMAS * F.col("deviation"),
                                       F.lit(K.SPIKE_MIN_RISE))).alias("threshold"))
 
@@ -74,13 +72,13 @@ def islands(df: DataFrame, keys: list[str], order: list[str], t: str, gap: float
 
 def spot_report(series: DataFrame, keys: list[str], gap: float = K.SPIKE_GAP_SECONDS,
                 max_rows: int | None = None) -> DataFrame:
-    """Per clip: median, threshold, peak, number of spike groups and the verdict."""
+    """Per clip: median, threshold, peak, mean square, number of spike groups and the verdict."""
     thresholds = spike_threshold(series, keys, max_rows=max_rows)
     counts = (spike_groups(series, thresholds, keys, gap=gap, max_rows=max_rows).groupBy(*keys)
               .agg(F.count(F.lit(1)).alias("spots"), F.sum("n_rows").alias("spike_rows")))
     spots = F.coalesce(F.col("spots"), F.lit(0))
     return thresholds.join(counts, keys, "left").select(
-        *keys, "n", "median", "threshold", "peak",
+        *keys, "n", "median", "threshold", "peak", "mean_square",
         F.coalesce("spike_rows", F.lit(0)).cast("bigint").alias("spike_rows"),
         spots.cast("bigint").alias("spots"), spot_verdict(spots).alias("verdict"))
 
@@ -89,13 +87,28 @@ def spot_verdict(spots: Column) -> Column:
     return first_match([(spots == 0, "LIMPIO"), (spots == 1, "MANCHA AISLADA")], "ABERRACIONES")
 
 
+def decibels(mean_square: Column) -> Column:
+    return 20 * F.log10(F.sqrt(mean_square))
+
+
 def rms_level(df: DataFrame, keys: list[str], value: str = "v") -> DataFrame:
     """Root mean square in dB with its noise grade."""
-    level = 20 * F.log10(F.sqrt(F.avg(F.col(value) * F.col(value))))
+    level = decibels(F.avg(F.col(value) * F.col(value)))
     return df.groupBy(*keys).agg(level.alias("rms_db")).withColumn(
         "grade", noise_grade("rms_db")).withColumn("clean", F.col("rms_db") <= K.NOISE_CLEAN_DB)
 
 
+def silence_levels(samples: DataFrame, keys: list[str], t: str = "t", value: str = "v",
+                   below: float = K.SILENCE_BELOW_RMS_DB) -> DataFrame:
+    """(keys, duration, threshold_db): a clip's last time, and the level under which its samples are silent.
+
+    The level follows the clip's own loudness, to a tenth of a decibel; a clip that has none gets a fixed one.
+    """
+    level = decibels(F.avg(F.col(value) * F.col(value))) - below
+    return samples.groupBy(*keys).agg(
+        F.max(t).alias("duration"), F.coalesce(round_at(level, 1), F.lit(K.SILENCE_WITHOUT_RMS_DB)).alias("threshold_db"))
+
+
 def silences(levels: DataFrame, keys: list[str], t: str = "t", level: str = "level_db",
              threshold: str = "threshold_db", min_length: float = K.SILENCE_MIN_SECONDS,
              max_rows: int | None = None) -> DataFrame:
@@ -114,17 +127,16 @@ def silences(levels: DataFrame, keys: list[str], t: str = "t", level: str = "lev
 
 
 def coverage(intervals: DataFrame, clips: DataFrame, keys: list[str], duration: str = "duration",
-             first: int = 12, longest_allowed: float = K.LONGEST_SILENCE) -> DataFrame:
+             first: int = 12, longest_allowed: float = K.LONGEST_SILENCE, max_rows: int | None = None) -> DataFrame:
     """Share of each clip that is not silent, the longest silence, the first ones, and the verdict."""
     length = F.col("t1") - F.col("t0")
-    total = intervals.groupBy(*keys).agg(F.sum(length).alias("silent"), F.max(length).alias("longest"),
-                                         F.count(F.lit(1)).alias("n_silences"))
-    listed = (top_per_group(intervals, keys, ["t0"], first).groupBy(*keys)
-              .agg(F.array_join(F.transform(
-                  F.array_sort(F.collect_list(F.struct("t0", "t1"))),
-                  lambda s: F.format_string("%.2f-%.2f", s["t0"], s["t1"])), " ").alias("first_silences")))
+    shown = F.when(F.col("_k") <= first, F.struct("t0", "t1"))                # nulls are not collected
+    total = numbered(intervals, keys, ["t0"], "_k", max_rows).groupBy(*keys).agg(
+        F.sum(length).alias("silent"), F.max(length).alias("longest"), F.count(F.lit(1)).alias("n_silences"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(shown)),
+                                 lambda s: F.format_string("%.2f-%.2f", s["t0"], s["t1"])), " ").alias("first_silences"))
     d = F.col(duration)
-    out = (clips.select(*keys, duration).join(total, keys, "left").join(listed, keys, "left")
+    out = (clips.select(*keys, duration).join(total, keys, "left")
            .withColumn("silent", F.coalesce("silent", F.lit(0.0)))
            .withColumn("longest", F.coalesce("longest", F.lit(0.0)))
            .withColumn("n_silences", F.coalesce("n_silences", F.lit(0)).cast("bigint"))
@@ -263,11 +275,11 @@ def compare_formats(series: DataFrame, format_col: str, keys: list[str], gap: fl
     """One row per format: clips, rows, spots, drift of tone and edges, verdict and noise level."""
     by = [format_col, *keys]
     spots = spot_report(series, by, gap, max_rows).groupBy(format_col).agg(
-        F.count(F.lit(1)).alias("clips"), F.sum("n").alias("n_rows"), F.sum("spots").alias("spots"))
+        F.count(F.lit(1)).alias("clips"), F.sum("n").alias("n_rows"), F.sum("spots").alias("spots"),
+        decibels(F.sum(F.col("mean_square") * F.col("n")) / F.sum("n")).alias("rms_db"))
     d = drift_report(series.withColumn("edges", F.col("v") * F.col("v")), by, ["t"], "v", "edges", max_rows)
     drifts = d.groupBy(format_col).agg(F.avg("tone_pct").alias("tone_pct"), F.avg("edges_pct").alias("edges_pct"))
-    noise = rms_level(series, [format_col]).select(format_col, "rms_db")
-    return (spots.join(drifts, format_col, "left").join(noise, format_col)
+    return (spots.join(drifts, format_col, "left")
             .withColumn("verdict", drift_verdict(F.greatest(F.abs("tone_pct"), F.abs("edges_pct")))))
 
 
