@@ -102,6 +102,29 @@ NOTICES: list[tuple[str, str, str]] = [
     ("isc", "permission to use", r"permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee"),
     ("bsd", "redistribution and use", r"redistribution and use in source and binary forms with or without modification are permitted"),
     ("zlib", "as is without any", r"this software is provided as is without any express or implied warranty"),
+    ("mit", "shall be included", r"the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("bsd", "redistributions of", r"redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd", "redistributions in", r"redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd-3-clause", "neither the name", r"neither the names? of (?:the )?(?:copyright holders?|author|[0-9a-z]+ [0-9a-z]+|[0-9a-z]+) nor the names of (?:its|their|any) contributors may be used to endorse or promote products"),
+    ("bsd-4-clause", "advertising materials", r"all advertising materials mentioning features or use of this software must display the following acknowledge?ment"),
+    ("zlib", "altered source", r"altered source versions must be plainly marked as such and must not be misrepresented as being the original software"),
+    ("zlib", "origin of this", r"the origin of this software must not be misrepresented you must not claim that you wrote the original software"),
+    ("isc", "author disclaims", r"the author disclaims all warranties with regard to this software including all implied warranties"),
+    ("gpl", "free software", r"this program is free software you can redistribute it and or modify it under the terms of the gnu general public licen[cs]e"),
+    ("lgpl", "free software", r"this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public licen[cs]e"),
+    ("gpl", "without any warranty", r"this program is distributed in the hope that it will be useful but without any warranty"),
+    ("lgpl", "without any warranty", r"this library is distributed in the hope that it will be useful but without any warranty"),
+    ("apache-2.0", "except in compliance", r"you may not use this file except in compliance with the licen[cs]e"),
+    ("apache-2.0", "agreed to in writing", r"unless required by applicable law or agreed to in writing software distributed under the licen[cs]e is distributed on an as is basis"),
+    ("apache-2.0", "irrevocable copyright", r"perpetual worldwide non exclusive no charge royalty free irrevocable copyright licen[cs]e"),
+    ("patent-grant", "irrevocable", r"perpetual worldwide non exclusive no charge royalty free irrevocable (?:except as stated in this section )?patent licen[cs]e"),
+    ("mpl-2.0", "source code form", r"this source code form is subject to the terms of the mozilla public licen[cs]e v(?:ersion)? 2 0"),
+    ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain"),
+    ("unlicense", "free to copy", r"anyone is free to copy modify publish use compile sell or distribute this software"),
+    ("cc-by", "attribution", r"this work is licen[cs]ed under a creative commons attribution (?:[0-9] [0-9] )?(?:international |unported )?licen[cs]e"),
+    ("warranty-disclaimer", "without warranty", r"(?:provided as is without warranty of any kind express or implied|as is without warranty of any kind)"),
+    ("warranty-disclaimer", "express or implied", r"any express or implied warranties including but not limited to the implied warranties"),
+    ("warranty-disclaimer", "merchantability", r"(?:implied )?warrant(?:y|ies) of merchantability"),
     ("public-domain", "public domain", r"(?:released|placed|dedicated) (?:in|into|to) the public domain"),
     ("public-domain", "public domain", r"(?:is|are) in the public domain"),
     ("all-rights-reserved", "all rights", r"all rights reserved"),
@@ -125,8 +148,11 @@ GRANT = r"(?:re)?(?:licen[cs]ed|released|distributed|published|provided|availabl
 END = (r"(?! [0-9]{1,2} (?!(?:january|february|march|april|may|june|july|august|september|october|november|december"
        r"|jan|feb|mar|apr|jun|jul|aug|sep|sept|oct|nov|dec) ))")
 
+#: Results gathered by one inner fold.
+RUN = 256
+
 #: Every match of every rule has one of these; blanks may be any characters that are no words.
-GATE = r"(?i)licen[cs]e|copyright|rights|spdx|public|cc0|cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+by|commons|perl|proprietary|permission|redistribution|express|clause"
+GATE = r"(?i)licen[cs]e|copyright|rights|spdx|public|cc0|cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+by|commons|perl|proprietary|permission|redistribution|express|clause|warrant|free[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+software|misrepresented|contributors|acknowledge?ment|free[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+to[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+copy"
 
 
 def rules() -> list[tuple[str, str, str, float, bool]]:
@@ -151,40 +177,72 @@ def _spaces(part: Column) -> Column:
     return F.length(part) - F.length(F.replace(part, F.lit(" "), F.lit("")))
 
 
+def _running(rows: Column, state: Column, after, out, kind: str) -> Column:
+    """out(state, row) for every row in turn, the state being after(state, row) of the rows before. Results are
+    gathered in runs of RUN, so that no step copies all results so far."""
+    def run(at: Column, part: Column) -> Column:
+        none = F.array().cast(f"array<{kind}>")
+        return F.aggregate(part, F.struct(at.alias("state"), none.alias("out")), lambda acc, row: F.struct(
+            after(acc.state, row).alias("state"), F.array_append(acc.out, out(acc.state, row)).alias("out")))
+
+    def whole(all_rows: Column) -> Column:
+        last = ((F.size(all_rows) - 1) / RUN).cast("int")
+        parts = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(all_rows, i * RUN + 1, RUN))
+        start = F.struct(F.struct(state.alias("state"), F.array().cast(f"array<{kind}>").alias("out")).alias("last"),
+                         F.array().cast(f"array<array<{kind}>>").alias("done"))
+        return F.flatten(F.aggregate(
+            parts, start, lambda acc, part: F.struct(run(acc.last.state, part).alias("last"),
+                                                     F.array_append(acc.done, acc.last.out).alias("done")),
+            lambda acc: F.array_append(acc.done, acc.last.out)))
+    return let(rows, whole)
+
+
 def _places(words: Column, rule: Column) -> Column:
     """Detections of one rule: word ranges, by the blanks before and in every match."""
     pattern = F.concat(F.lit(" (?:"), rule.pattern, F.lit(")(?= )"))
     gaps = F.call_function("split", words, pattern, F.lit(-1))
     hits = F.call_function("regexp_extract_all", words, pattern, F.lit(0))
-    steps = F.zip_with(hits, gaps, lambda hit, gap: F.struct(_spaces(gap).alias("gap"), _spaces(hit).alias("hit")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
+    steps = F.filter(F.zip_with(hits, gaps, lambda hit, gap: F.struct(_spaces(gap).alias("gap"), _spaces(hit).alias("hit"))),
+                     lambda s: s.hit.isNotNull())
+    ranges = _running(steps, F.lit(0), lambda at, s: at + s.gap + s.hit,
+                      lambda at, s: F.struct((at + s.gap).alias("start"), (at + s.gap + s.hit).alias("end")), "struct<start:int,end:int>")
     return F.when(F.instr(words, rule.keyword) > 0, F.transform(
-        F.aggregate(F.filter(steps, lambda s: s.hit.isNotNull()), start, lambda acc, s: F.struct(
-            (acc.at + s.gap + s.hit).alias("at"),
-            F.concat(acc.out, F.array(F.struct((acc.at + s.gap).alias("start"), (acc.at + s.gap + s.hit).alias("end")))).alias("out")),
-            lambda acc: acc.out),
-        lambda p: F.struct(p.start.alias("start"), (-p.end).alias("minus_end"), rule.rank.alias("rank"), p.end.alias("end"),
-                           rule.label.alias("label"), rule.certainty.alias("certainty"), rule.base.alias("base"))))
+        ranges, lambda p: F.struct(p.start.alias("start"), (-p.end).alias("minus_end"), rule.rank.alias("rank"), p.end.alias("end"),
+                                   rule.label.alias("label"), rule.certainty.alias("certainty"), rule.base.alias("base"))))
 
 
 def _resolved(found: Column) -> Column:
-    """Marks kept detections. In order of start, longest first, a detection lies inside another if and only
-    if an earlier one reaches as far; of those left, ends rise with starts, so overlaps are neighbours' affairs."""
-    row = "struct<start:int,end:int,rank:int,label:string,certainty:double,base:boolean,kept:boolean>"
+    """Marks kept detections, in time proportional to their number. In order of start, longest first, a detection
+    lies inside another if and only if an earlier one reaches as far. Of those left ends rise with starts, so one
+    pass each way meets all overlaps, holding only the ranges that are still open: they start at different words
+    of one match, so the longest rule bounds them."""
+    kind = "struct<start:int,end:int,rank:int,label:string,certainty:double,base:boolean,kept:boolean,beaten:boolean>"
+    ranges = "array<struct<start:int,end:int,rank:int>>"
 
-    def slim(d: Column, kept: Column) -> Column:
+    def marked(d: Column, kept: Column, beaten: Column) -> Column:
         return F.struct(d.start.alias("start"), d.end.alias("end"), d["rank"].alias("rank"), d.label.alias("label"),
-                        d.certainty.alias("certainty"), d.base.alias("base"), kept.alias("kept"))
-    first = F.struct(F.lit(-1).alias("reach"), F.array().cast(f"array<{row}>").alias("out"))
-    outer = F.aggregate(F.sort_array(found), first, lambda acc, d: F.struct(
-        F.greatest(acc.reach, d.end).alias("reach"),
-        F.concat(acc.out, F.array(slim(d, d.end > acc.reach))).alias("out")), lambda acc: acc.out)
-
-    def against(rows: Column) -> Column:
-        kept = F.filter(rows, lambda d: d.kept)
-        return let(kept, lambda others: F.transform(rows, lambda d: slim(d, d.kept & ~F.exists(
-            others, lambda o: (o.start < d.end) & (d.start < o.end) & (o["rank"] < d["rank"])))))
-    return let(outer, against)
+                        d.certainty.alias("certainty"), d.base.alias("base"), kept.alias("kept"), beaten.alias("beaten"))
+
+    def meets(o: Column, d: Column) -> Column:
+        return (o.start < d.end) & (d.start < o.end)
+
+    def opened(others: Column, d: Column) -> Column:
+        own = F.struct(d.start.alias("start"), d.end.alias("end"), d["rank"].alias("rank"))
+        return F.array_append(F.filter(others, lambda o: meets(o, d)), own)
+
+    def beaten(others: Column, d: Column) -> Column:
+        return F.exists(others, lambda o: meets(o, d) & (o["rank"] < d["rank"]))
+    none = F.array().cast(ranges)
+    forth = _running(
+        F.sort_array(found), F.struct(F.lit(-1).alias("reach"), none.alias("others")),
+        lambda at, d: F.struct(F.greatest(at.reach, d.end).alias("reach"),
+                               F.when(d.end > at.reach, opened(at.others, d)).otherwise(at.others).alias("others")),
+        lambda at, d: marked(d, d.end > at.reach, beaten(at.others, d)), kind)
+    back = _running(
+        F.reverse(forth), none, lambda others, d: F.when(d.kept, opened(others, d)).otherwise(others),
+        lambda others, d: marked(d, d.kept & ~d.beaten & ~beaten(others, d), d.beaten), kind)
+    return F.transform(F.reverse(back), lambda d: F.struct(
+        *[d[f].alias(f) for f in ("start", "end", "rank", "label", "certainty", "base", "kept")]))
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

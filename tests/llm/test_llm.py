@@ -10,6 +10,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from reelspark.llm import bpe, decontaminate, html, jaccard, licenses, lm, quality, substrings, tokencount, toxicity
 
@@ -410,6 +411,36 @@ def test_licenses(spark, empty):
         assert re.compile(pattern) and keyword
 
 
+def test_license_resolution_by_brute_force(spark):
+    """Detections are found again rule by rule with re, and resolved by comparing all with all."""
+    parts = ["mit license", "licensed under the", "apache license version 2 0", "gnu general public license", "version 3", "and", "bsd 3 clause license",
+             "spdx license identifier gpl 2 0", "all rights reserved", "simplified", "the terms of the", "lesser", "this program is free software",
+             "without any warranty", "warranties of merchantability", "you may not use this file except in compliance with the license", "2 0", "license"]
+    pick = random.Random(9)
+    texts = {k: " ".join(pick.choice(parts) for _ in range(pick.choice((0, 1, 3, 9, 40, 700)))) for k in range(24)}
+    texts[24] = "mit license " * (licenses.RUN * 3)
+    scanned = licenses.scan(spark.createDataFrame(list(texts.items()), "doc_id int, text string")).collect()
+    compiled = [(i, label, re.compile(f" (?:{pattern})(?= )")) for i, (label, _, pattern, _, _) in enumerate(licenses.rules())]
+    for row in scanned:
+        flat = f" {texts[row.doc_id].strip()} "
+        blanks = list(itertools.accumulate(c == " " for c in flat))
+        found = [(blanks[m.start()] - 1, blanks[m.end() - 1], i, label) for i, label, rule in compiled for m in rule.finditer(flat)]
+        inner = {d for d in found if any(o[0] <= d[0] and d[1] <= o[1] and (o[:2] != d[:2] or o[2] < d[2]) for o in found)}
+        outer = [d for d in found if d not in inner]
+        kept = {d for d in outer if not any(o[0] < d[1] and d[0] < o[1] and o[2] < d[2] for o in outer)}
+        assert sorted((d.start, d.end, d.rank, d.label) for d in row.detections) == sorted(found)
+        assert {(d.start, d.end, d.rank, d.label) for d in row.detections if d.kept} == kept
+
+
+def test_licenses_many_names_in_one_text(spark):
+    """64,000 names in one text: every one is found and kept, in time that follows their number."""
+    n = 64_000
+    rows = spark.createDataFrame([(1, "mit license and " * n)], "doc_id int, text string")
+    got = licenses.scan(rows).select(F.size("detections").alias("all"), F.size(F.filter("detections", lambda d: d.kept)).alias("kept"),
+                                     F.array_max(F.transform("detections", lambda d: d.end)).alias("last")).first()
+    assert got["all"] >= n and got["kept"] == n and got["last"] == 3 * n - 1
+
+
 def test_token_counts(docs, empty, rows):
     from tokenizers import Tokenizer, models, pre_tokenizers
     path = public_tokenizers.path("piece_bpe_32k.model")
