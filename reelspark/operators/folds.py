@@ -1,10 +1,11 @@
 """Order-dependent folds over the sentences of one document.
 
-A document is one row, so each fold is a column expression: no shuffle, no Python, and the
-number of documents per source or language does not matter.
+A document is one row, so each fold is a column expression without a shuffle, and the number of
+documents per source or language does not matter. Only the filter of what was already said runs in Arrow batches.
 """
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -84,21 +85,39 @@ def novelty(stems: Column, said: Column) -> Column:
             ((n > 0) & ((fresh < K.NEW_STEMS_MIN) | (share >= K.REPEAT_SHARE_MAX))).alias("skip"))))
 
 
+def already_said(stems: Column) -> Column:
+    """`novelty` of every sentence of a document in turn, as an array beside `stems` (one array of stems per sentence).
+
+    What has been said grows with the document, and an array column is copied when it grows; a set in an
+    Arrow batch is not, so the time follows the number of words. A null document stays null.
+    """
+    fresh_min, share_max = K.NEW_STEMS_MIN, K.REPEAT_SHARE_MAX
+
+    def judge(document):
+        said, out = set(), []
+        for own in document:
+            n = len(own)
+            fresh = sum(stem not in said for stem in own)
+            base = min(n, len(said)) if said else n
+            share = (n - fresh) / base if base else 0.0
+            skip = n > 0 and (fresh < fresh_min or share >= share_max)
+            if not skip:
+                said.update(own)
+            out.append({"fresh": fresh, "repeated": share, "skip": skip})
+        return out
+
+    @F.pandas_udf("array<struct<fresh:int,repeated:double,skip:boolean>>")
+    def fold(documents: pd.Series) -> pd.Series:
+        return documents.map(judge, na_action="ignore")
+    return fold(stems)
+
+
 def novelty_filter(df: DataFrame, key: str, text: str) -> DataFrame:
     """Keep or skip each sentence of a document by what was kept before it."""
-    units = F.transform(X.sentences(text), lambda s: F.struct(s.alias("sentence"), X.content_set(s).alias("stems")))
-    zero = F.expr(f"named_struct('said', {_STRINGS}, 'out', cast(array() as array<struct<sentence:string,fresh:int,"
-                  "repeated:double,skip:boolean>>))")
-
-    def step(acc, u):
-        return let(novelty(u["stems"], acc["said"]), lambda v: F.struct(
-            F.when(v["skip"], acc["said"]).otherwise(F.array_union(acc["said"], u["stems"])).alias("said"),
-            F.array_append(acc["out"], F.struct(u["sentence"].alias("sentence"), v["fresh"].alias("fresh"),
-                                                v["repeated"].alias("repeated"), v["skip"].alias("skip"))).alias("out")))
-
-    folded = df.select(key, F.aggregate(units, zero, step, lambda acc: acc["out"]).alias("_o"))
-    return folded.select(key, F.posexplode("_o").alias("_p", "o")).select(
-        key, (F.col("_p") + 1).alias("idx"), "o.sentence", "o.fresh", "o.repeated", "o.skip")
+    split = X.once(df.select(F.col(key), X.sentences(text).alias("_s")), _w=F.transform("_s", X.content_set))
+    judged = split.select(key, F.arrays_zip("_s", already_said(F.col("_w")).alias("_v")).alias("_o"))
+    return judged.select(key, F.posexplode("_o").alias("_p", "o")).select(
+        key, (F.col("_p") + 1).alias("idx"), F.col("o._s").alias("sentence"), "o._v.fresh", "o._v.repeated", "o._v.skip")
 
 
 # --- whole plan --------------------------------------------------------------------------

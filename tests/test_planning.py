@@ -128,3 +128,35 @@ def test_repeated_prefix_and_prune(spark):
     got = spark.range(1).select(X.prune_prefix(F.lit(unit), F.lit(5)).alias("t")).first().t
     assert got == "Otras cinco resultaron heridas, tres de ellas de gravedad."
     assert spark.range(1).select(X.repeated_prefix(X.tokens(F.lit("otra cosa")), F.lit(f" {said} ")).alias("n")).first().n == 0
+
+
+def said_by_hand(sets):
+    """(fresh, repeated, skip) of every set in turn; what is skipped is not said."""
+    kept, out = [], []
+    for own in sets:
+        said = set().union(*kept)
+        fresh = [x for x in own if x not in said]
+        smaller = len(own) if not said else min(len(own), len(said))
+        share = (len(own) - len(fresh)) / smaller if smaller else 0
+        skip = bool(own) and (len(fresh) < K.NEW_STEMS_MIN or share >= K.REPEAT_SHARE_MAX)
+        kept += [] if skip else [own]
+        out.append((len(fresh), round(share, 9), skip))
+    return out
+
+
+def test_already_said(spark, corpus):
+    rows = corpus.select("doc_id", "body").unionByName(spark.createDataFrame([(-1, None), (-2, ""), (-3, " ")], "doc_id bigint, body string"))
+    sets = {r.doc_id: r.w for r in rows.select("doc_id", F.transform(X.sentences("body"), X.content_set).alias("w")).collect()}
+    got = {}
+    for r in folds.novelty_filter(rows, "doc_id", "body").orderBy("doc_id", "idx").collect():
+        assert r.idx == len(got.setdefault(r.doc_id, [])) + 1
+        got[r.doc_id].append((r.fresh, round(r.repeated, 9), r.skip))
+    assert got == {k: said_by_hand(w) for k, w in sets.items() if w}
+    assert folds.novelty_filter(rows.limit(0), "doc_id", "body").count() == 0
+
+
+def test_already_said_in_a_long_document(spark):
+    """20,000 sentences of new words: every one is fresh, in time that follows the words."""
+    body = " ".join(f"El barrio{i} cerró la calle{i} del puerto{i} y la plaza{i}." for i in range(20_000))
+    out = folds.novelty_filter(spark.createDataFrame([(1, body)], "doc_id bigint, body string"), "doc_id", "body")
+    assert out.agg(F.count("*"), F.max("idx")).first()[0] >= 20_000
