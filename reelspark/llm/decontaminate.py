@@ -5,8 +5,9 @@ of every block of two words, and buckets of windows by their last block. At a pl
 that ends there either allows a shift past impossible places, or names a bucket whose windows are
 compared word by word.
 
-Windows are broadcast in shards of at most `shard_bytes` of item text; a benchmark above that bound is
-searched shard after shard in the same pass over the texts, so no shard grows with the benchmark.
+Items travel to tasks in shards of about `shard_bytes` of their text. A benchmark above that bound is searched in
+one pass over the texts per shard, the rows being written to the checkpoint folder between passes: the driver
+and a task hold one shard at a time, however large the benchmark is.
 
 Defined cases: a null or empty text, or one without words, has no words and no hits; an item without
 words or with a null text has no windows; an item with a null id hits words but is not counted or
@@ -21,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import checkpointed
+
 #: Bytes as words see them: A-Z in lower case, every other ASCII character that is no letter or digit a blank.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 
@@ -41,12 +44,12 @@ class WuManber:
     def __init__(self, length: int, owners: dict[tuple[bytes, ...], set]):
         self.length, self.block = length, min(2, length)
         self.shift: dict[tuple[bytes, ...], int] = {}
-        self.buckets: dict[tuple[bytes, ...], list[tuple[bytes, ...]]] = {}
+        self.buckets: dict[tuple[bytes, ...], set[tuple[bytes, ...]]] = {}
         for window in owners:
             for end in range(self.block, length + 1):
                 part = window[end - self.block:end]
                 self.shift[part] = min(self.shift.get(part, length), length - end)
-            self.buckets.setdefault(window[-self.block:], []).append(window)
+            self.buckets.setdefault(window[-self.block:], set()).add(window)
 
     def find(self, text: list[bytes]) -> Iterator[tuple[int, tuple[bytes, ...]]]:
         """Every place where a window starts, with the window."""
@@ -60,10 +63,9 @@ class WuManber:
                 end += step
                 continue
             start = end - length
-            head = text[start]
-            for window in buckets[part]:
-                if window[0] == head and window == tuple(text[start:end]):
-                    yield start, window
+            window = tuple(text[start:end])
+            if window in buckets[part]:
+                yield start, window
             end += 1
 
 
@@ -132,8 +134,8 @@ def search(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "
                       F.array().cast("array<struct<start:int,end:int>>").alias("spans"),
                       F.array().cast("array<string>").alias("item_ids"))
     schema = T.StructType([T.StructField("key", kind), *out.schema.fields[1:]])
-    for items_of_shard in _shards(items, item, item_text, shard_bytes):
-        out = out.mapInArrow(_search(items_of_shard, size), schema)
+    for k, items_of_shard in enumerate(_shards(items, item, item_text, shard_bytes)):
+        out = (checkpointed(out) if k else out).mapInArrow(_search(items_of_shard, size), schema)
     return out.withColumnRenamed("key", key).withColumnRenamed("text", text)
 
 
@@ -148,6 +150,6 @@ def select_clean(docs: DataFrame, items: DataFrame, text: str = "text", item: st
             for batch in batches:
                 yield batch.filter(pa.array([next(shard.find(words(x.as_py())), None) is None for x in batch.column(at)], pa.bool_()))
         return run
-    for items_of_shard in _shards(items, item, item_text, shard_bytes):
-        docs = docs.mapInArrow(without(items_of_shard), docs.schema)
+    for k, items_of_shard in enumerate(_shards(items, item, item_text, shard_bytes)):
+        docs = (checkpointed(docs) if k else docs).mapInArrow(without(items_of_shard), docs.schema)
     return docs
