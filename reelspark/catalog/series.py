@@ -156,7 +156,7 @@ def _shots(spark, d):
 @query("chain_links", "WITH " + _SHOTS + """ SELECT clip_id, from_shot, to_shot, round(excess_pct, 6) AS excess_pct, round(edge_jump_pct, 6) AS edge_jump_pct,
   round(entropy_jump_pct, 6) AS entropy_jump_pct, verdict FROM ln""")
 def chain_links(spark, d):
-    links = R.chain_links(_shots(spark, d), ["clip_id"], ["shot"])
+    links = R.chain_links(_shots(spark, d), ["clip_id"], ["shot"], zero_is_missing=False)
     return links.select("clip_id", "from_shot", "to_shot", "verdict",
                         *[F.round(c, 6).alias(c) for c in ("excess_pct", "edge_jump_pct", "entropy_jump_pct")])
 
@@ -168,7 +168,7 @@ def chain_links(spark, d):
     coalesce(w.verdict, 'NINGUNA') AS action FROM s LEFT JOIN w USING (clip_id)""")
 def chain_summary(spark, d):
     shots = _shots(spark, d)
-    out = R.chain_summary(R.chain_links(shots, ["clip_id"], ["shot"]), shots, ["clip_id"])
+    out = R.chain_summary(R.chain_links(shots, ["clip_id"], ["shot"], zero_is_missing=False), shots, ["clip_id"])
     return out.withColumn("mean_score", F.round("mean_score", 6)).withColumn("worst_excess", F.round("worst_excess", 6))
 
 

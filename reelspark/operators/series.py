@@ -134,7 +134,7 @@ def coverage(intervals: DataFrame, clips: DataFrame, keys: list[str], duration:
     total = numbered(intervals, keys, ["t0"], "_k", max_rows).groupBy(*keys).agg(
         F.sum(length).alias("silent"), F.max(length).alias("longest"), F.count(F.lit(1)).alias("n_silences"),
         F.array_join(F.transform(F.array_sort(F.collect_list(shown)),
-                                 lambda s: F.format_string("%.2f-%.2f", s["t0"], s["t1"])), " ").alias("first_silences"))
+                                 lambda s: F.concat(_decimals(s["t0"]), F.lit("-"), _decimals(s["t1"]))), " ").alias("first_silences"))
     d = F.col(duration)
     out = (clips.select(*keys, duration).join(total, keys, "left")
            .withColumn("silent", F.coalesce("silent", F.lit(0.0)))
@@ -187,28 +187,33 @@ def background_verdict(deviation: Column, mean: Column) -> Column:
     return first_match([((deviation < 6) & (mean < 8), "NEGRO"), (deviation < 12, "CASI NEGRO")], "CON OBJETOS")
 
 
-def chain_links(shots: DataFrame, keys: list[str], order: list[str], max_rows: int | None = None) -> DataFrame:
+def _percent(change: Column, of: Column) -> Column:
+    """100 * change / of as floating point defines it: of zero, infinite in the direction of the change, or NaN."""
+    return (F.when(of != 0, 100 * change / of).when(change > 0, F.lit(float("inf")))
+            .when(change < 0, F.lit(float("-inf"))).when(change == 0, F.lit(float("nan"))))
+
+
+def chain_links(shots: DataFrame, keys: list[str], order: list[str], max_rows: int | None = None,
+                zero_is_missing: bool = True) -> DataFrame:
     """Each shot against its successor.
 
     shots: edge_first, edge_last, entropy_first, score.  The reference is the first edge value
-    of the chain; null and zero measures give null jumps.
+    of the chain; null measures give null jumps.  So do zeros, where zero_is_missing; else they
+    are measures, and a change from zero is infinite (none: NaN).
     """
+    if zero_is_missing:
+        shots = shots.withColumns({c: F.when(F.col(c) != 0, F.col(c)) for c in ("edge_first", "edge_last", "entropy_first")})
     nexts = {"_next_edge": "edge_first", "_next_entropy": "entropy_first", "_next_score": "score",
              "to_shot": order[0]}
     linked = ordered(shots, keys, order, max_rows, lead=nexts).filter(F.col("to_shot").isNotNull())
     ref = shots.groupBy(*keys).agg(F.min_by("edge_first", F.struct(*order)).alias("ref_edge"))
 
-    def jump(a, b):
-        ok = (F.coalesce(a, F.lit(0.0)) != 0) & (F.coalesce(b, F.lit(0.0)) != 0)
-        return F.when(ok, 100 * (b - a) / a)
-
     last = F.col("edge_last")
-    excess = F.when(F.coalesce(last, F.lit(0.0)) != 0,
-                    100 * (last - F.col("ref_edge")) / F.col("ref_edge")).otherwise(F.lit(0.0))
+    excess = F.when(last.isNotNull(), _percent(last - F.col("ref_edge"), F.col("ref_edge"))).otherwise(F.lit(0.0))
     return linked.join(ref, keys).select(
         *keys, F.col(order[0]).alias("from_shot"), "to_shot", excess.alias("excess_pct"),
-        jump(last, F.col("_next_edge")).alias("edge_jump_pct"),
-        jump(F.col("entropy_first"), F.col("_next_entropy")).alias("entropy_jump_pct"),
+        _percent(F.col("_next_edge") - last, last).alias("edge_jump_pct"),
+        _percent(F.col("_next_entropy") - F.col("entropy_first"), F.col("entropy_first")).alias("entropy_jump_pct"),
         link_verdict(excess, F.col("_next_score")).alias("verdict"))
 
 
