@@ -1,6 +1,7 @@
 """Queries over per-clip time series."""
 from pyspark.sql import functions as F
 
+from ..functions import constants as K
 from ..functions import numeric as N
 from ..operators import series as R
 from ..operators.ordered import medians, numbered, top_per_group
@@ -78,12 +79,13 @@ def first_spike_groups(spark, d):
     return R.first_per_group(g, ["clip_id"], ["group_no"], 10).select("clip_id", "group_no", "start", "spike")
 
 
-_LEVELS = """lv AS (SELECT clip_id, t, 20 * log10(v) AS level_db, round_even((20 * log10(sqrt(avg(v * v) OVER (PARTITION BY clip_id))) - 22) * 10, 0) / 10 AS threshold_db
-    FROM series_v),
-  fl AS (SELECT clip_id, t, level_db < threshold_db AS under, lead(t) OVER (PARTITION BY clip_id ORDER BY t) AS nt FROM lv),
+_LEVELS = f"""lv AS (SELECT clip_id, t, event_id, 20 * log10(v) AS level_db, CASE WHEN r > 0
+      THEN round_even((20 * log10(r) - 22) * 10, 0) / 10 ELSE {K.SILENCE_WITHOUT_RMS_DB} END AS threshold_db
+    FROM (SELECT *, sqrt(avg(v * v) OVER (PARTITION BY clip_id)) AS r FROM series_v)),
+  fl AS (SELECT clip_id, t, event_id, level_db < threshold_db AS under, lead(t) OVER (PARTITION BY clip_id ORDER BY t, event_id) AS nt FROM lv),
   rn AS (SELECT *, sum(CASE WHEN under AND NOT coalesce(pu, false) THEN 1 ELSE 0 END)
-      OVER (PARTITION BY clip_id ORDER BY t ROWS UNBOUNDED PRECEDING) AS run
-    FROM (SELECT *, lag(under) OVER (PARTITION BY clip_id ORDER BY t) AS pu FROM fl)),
+      OVER (PARTITION BY clip_id ORDER BY t, event_id ROWS UNBOUNDED PRECEDING) AS run
+    FROM (SELECT *, lag(under) OVER (PARTITION BY clip_id ORDER BY t, event_id) AS pu FROM fl)),
   si AS (SELECT clip_id, CAST(run AS BIGINT) AS run, min(t) AS t0, max(coalesce(nt, t)) AS t1 FROM rn WHERE under
     GROUP BY clip_id, run HAVING max(coalesce(nt, t)) - min(t) >= 0.8)"""
 
@@ -91,7 +93,7 @@ _LEVELS = """lv AS (SELECT clip_id, t, 20 * log10(v) AS level_db, round_even((20
 def _silences(spark, d):
     s = series(spark, d)
     levels = R.silence_levels(s, ["clip_id"])
-    return levels, R.silences(s.join(levels, "clip_id").withColumn("level_db", 20 * F.log10("v")), ["clip_id"])
+    return levels, R.silences(s.join(levels, "clip_id").withColumn("level_db", R.level_of(F.col("v"))), ["clip_id"], ties=("event_id",))
 
 
 @query("silences", with_views("series_v", extra=_LEVELS) + "SELECT clip_id, run, round(t0, 6) AS t0, round(t1, 6) AS t1 FROM si")

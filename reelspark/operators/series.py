@@ -98,6 +98,11 @@ def rms_level(df: DataFrame, keys: list[str], value: str = "v") -> DataFrame:
         "grade", noise_grade("rms_db")).withColumn("clean", F.col("rms_db") <= K.NOISE_CLEAN_DB)
 
 
+def level_of(value: Column) -> Column:
+    """Level of one sample in dB; a sample of zero lies below every level."""
+    return F.when(value == 0, F.lit(float("-inf"))).otherwise(20 * F.log10(value))
+
+
 def silence_levels(samples: DataFrame, keys: list[str], t: str = "t", value: str = "v",
                    below: float = K.SILENCE_BELOW_RMS_DB) -> DataFrame:
     """(keys, duration, threshold_db): a clip's last time, and the level under which its samples are silent.
@@ -111,13 +116,14 @@ def silence_levels(samples: DataFrame, keys: list[str], t: str = "t", value: str
 
 def silences(levels: DataFrame, keys: list[str], t: str = "t", level: str = "level_db",
              threshold: str = "threshold_db", min_length: float = K.SILENCE_MIN_SECONDS,
-             max_rows: int | None = None) -> DataFrame:
+             ties: tuple[str, ...] = (), max_rows: int | None = None) -> DataFrame:
     """Runs of consecutive rows under the threshold that last at least `min_length`.
 
     A run ends at the next row that is not under; an unclosed run ends with the clip.
+    ties: columns that order rows of equal times.
     """
-    under = levels.select(*keys, t, (F.col(level) < F.col(threshold)).alias("_under"))
-    groups = OrderedGroups.plan(under, keys, [t], max_rows)
+    under = levels.select(*keys, t, *ties, (F.col(level) < F.col(threshold)).alias("_under"))
+    groups = OrderedGroups.plan(under, keys, [t, *ties], max_rows)
     near = groups.add(groups.tag(under), lag={"_before": "_under"}, lead={"_next": t})
     opens = (F.col("_under") & ~F.coalesce(F.col("_before"), F.lit(False))).cast("int")
     runs = groups.untag(groups.add(near, running={"run": opens})).filter("_under")
@@ -126,6 +132,11 @@ def silences(levels: DataFrame, keys: list[str], t: str = "t", level: str = "lev
             .filter(F.col("t1") - F.col("t0") >= min_length))
 
 
+def _decimals(x: Column) -> Column:
+    """Two decimals of the binary value, as C prints them; `format_string` rounds its shortest decimal form."""
+    return F.call_function("format_number", x, F.lit("0.00"))
+
+
 def coverage(intervals: DataFrame, clips: DataFrame, keys: list[str], duration: str = "duration",
              first: int = 12, longest_allowed: float = K.LONGEST_SILENCE, max_rows: int | None = None) -> DataFrame:
     """Share of each clip that is not silent, the longest silence, the first ones, and the verdict."""
