@@ -39,8 +39,7 @@ def plan_warnings(spark, d):
 
 @query("plan_one_take")
 def plan_one_take(spark, d):
-    plans = folds.plan_one_take(news(spark, d))
-    return folds.plan_units(plans).join(plans.select("doc_id", "format.width", "format.height"), "doc_id")
+    return folds.plan_units(folds.plan_one_take(news(spark, d)), "doc_id", "format.width", "format.height")
 
 
 @query("news_issues", f"""WITH {SQL['news']}, c AS (SELECT doc_id, {S.squish(S.without_tags("headline"))} AS h, {S.squish(S.without_tags("body"))} AS b FROM news)

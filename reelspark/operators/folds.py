@@ -1,16 +1,20 @@
 """Order-dependent folds over the sentences of one document.
 
 A document is one row, so each fold is a column expression without a shuffle, and the number of
-documents per source or language does not matter. Only the filter of what was already said runs in Arrow batches.
+documents per source or language does not matter. Only what depends on all that was said before runs in Arrow batches.
 """
 from __future__ import annotations
 
-import pandas as pd
+from array import array
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import numeric as N
+from ..functions import plain
 from ..functions import text as X
 from ..functions.text import let
 
@@ -68,48 +72,38 @@ def priced_documents(df: DataFrame, key: str, text: str, seconds: float) -> Data
 
 
 # --- already-said filter ---------------------------------------------------------------
-_STRINGS = "cast(array() as array<string>)"
-
+def _lines(texts: Column) -> Column:
+    """An array of texts without line ends as one text, a line end before each; an empty array is an empty text.
 
-def novelty(stems: Column, said: Column) -> Column:
-    """Struct of fresh stems, repeated share and whether the sentence is skipped.
-
-    The share is measured against the smaller of the two sets, so a long sentence that repeats
-    a whole headline does not hide behind its own words.
+    A batch of such texts is one buffer; only the document at hand becomes Python objects.
     """
-    n = F.size(stems)
-    base = F.when(F.size(said) > 0, F.least(n, F.size(said))).otherwise(n)
-    return let(F.size(F.array_except(stems, said)), lambda fresh: let(
-        F.when(base > 0, (n - fresh) / base).otherwise(F.lit(0.0)), lambda share: F.struct(
-            fresh.alias("fresh"), share.alias("repeated"),
-            ((n > 0) & ((fresh < K.NEW_STEMS_MIN) | (share >= K.REPEAT_SHARE_MAX))).alias("skip"))))
+    return F.array_join(F.transform(texts, lambda t: F.concat(F.lit("\n"), F.coalesce(t, F.lit("")))), "")
 
 
 def already_said(stems: Column) -> Column:
-    """`novelty` of every sentence of a document in turn, as an array beside `stems` (one array of stems per sentence).
+    """What each sentence of a document adds to those kept before it, as an array beside `stems` (one array per sentence).
 
-    What has been said grows with the document, and an array column is copied when it grows; a set in an
-    Arrow batch is not, so the time follows the number of words. A null document stays null.
+    Stems are distinct in a sentence and hold no blanks.  What has been said is a set, so the time follows the
+    number of words; a document at a time is looked at.  A null document stays null.
     """
-    fresh_min, share_max = K.NEW_STEMS_MIN, K.REPEAT_SHARE_MAX
-
-    def judge(document):
-        said, out = set(), []
-        for own in document:
-            n = len(own)
-            fresh = sum(stem not in said for stem in own)
-            base = min(n, len(said)) if said else n
-            share = (n - fresh) / base if base else 0.0
-            skip = n > 0 and (fresh < fresh_min or share >= share_max)
-            if not skip:
-                said.update(own)
-            out.append({"fresh": fresh, "repeated": share, "skip": skip})
-        return out
-
-    @F.pandas_udf("array<struct<fresh:int,repeated:double,skip:boolean>>")
-    def fold(documents: pd.Series) -> pd.Series:
-        return documents.map(judge, na_action="ignore")
-    return fold(stems)
+    @F.arrow_udf("array<struct<fresh:int,repeated:double,skip:boolean>>")
+    def fold(documents: pa.Array) -> pa.Array:
+        ends, fresh, share, skip = [0], array("i"), array("d"), bytearray()
+        for document in documents:
+            said = set()
+            for line in (document.as_py() or "").split("\n")[1:]:
+                own = set(line.split())
+                found = plain.repeats(own, said)
+                if not found[2]:
+                    said |= own
+                fresh.append(found[0])
+                share.append(found[1])
+                skip.append(found[2])
+            ends.append(len(fresh))
+        values = pa.StructArray.from_arrays([pa.array(np.frombuffer(fresh, np.int32)), pa.array(np.frombuffer(share, np.float64)),
+                                             pa.array(np.frombuffer(skip, np.bool_))], ["fresh", "repeated", "skip"])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values, mask=documents.is_null())
+    return fold(_lines(F.transform(stems, lambda w: F.array_join(w, " "))))
 
 
 def novelty_filter(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -121,142 +115,113 @@ def novelty_filter(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 # --- whole plan --------------------------------------------------------------------------
-_TAKE = "struct<text:string,n_words:int,frames:int>"
-_WARN = "struct<kind:string,detail:string>"
-_STATE = (f"named_struct('said', {_STRINGS}, 'spoken', ' ', 'open', {_STRINGS}, 'n_open', 0, "
-          f"'takes', cast(array() as array<{_TAKE}>), 'seconds', 0.0D, 'warnings', cast(array() as array<{_WARN}>), "
-          "'stop', false)")
-_FIELDS = ("said", "spoken", "open", "n_open", "takes", "seconds", "warnings", "stop")
-
-
-def _with(acc: Column, **changes: Column) -> Column:
-    return F.struct(*[(changes[f] if f in changes else acc[f]).alias(f) for f in _FIELDS])
-
-
-def _warned(acc: Column, kind: str, detail: Column) -> Column:
-    return F.array_append(acc["warnings"], F.struct(F.lit(kind).alias("kind"), detail.alias("detail")))
+_PLAN = ("struct<takes:array<struct<text:string,n_words:int,frames:int>>,seconds:double,"
+         "warnings:array<struct<kind:string,detail:string>>>")
 
 
-def plan_column(headline, body, max_seconds, target_seconds, max_units: int = K.MAX_UNITS,
-                max_frames=K.FRAMES_MAX, one_take: bool = False) -> Column:
-    """Plan of one document as struct(takes, seconds, warnings).
+def limits(max_seconds, target_seconds, max_frames=K.FRAMES_MAX) -> Column:
+    """Words that a take holds, has at least, and that a cut leaves; seconds of the plan and frames of a take.
 
-    Sentences are shortened where they do not fit, skipped when already said, pruned when they
-    open with a run said before, and packed into takes whose length follows their words.  What
-    is said is chosen against a fixed reference length, so a longer take never changes the text.
     All limits may be columns.
     """
     top_frames = X._c(max_frames)
     limit = F.least(X._c(max_seconds), top_frames / K.FPS)
     capacity = F.least(limit, F.lit(K.REFERENCE_TAKE_SECONDS)) * K.WORDS_PER_SECOND
     whole = lambda share, least: F.greatest(F.lit(least), F.floor(capacity * share).cast("int"))
-    limits = F.struct(whole(K.CAPACITY_SLACK, 6).alias("cap"), whole(K.CAPACITY_FLOOR, 4).alias("floor"),
-                      whole(K.MIN_CUT_SHARE, 6).alias("cut"), X._c(target_seconds).cast("double").alias("target"),
-                      top_frames.cast("int").alias("frames"))
-
-    def described(text):
-        return F.struct(text.alias("text"), X.squished_count(text).alias("n"), X.content_set(text).alias("stems"),
-                        X.tokens(text).alias("tokens"))
-
-    def build(lim):
-        def full(acc):
-            return (F.size(acc["takes"]) >= max_units) | (acc["seconds"] >= lim["target"])
-
-        def close(acc):
-            frames = N.frames_for_words(acc["n_open"], lim["frames"])
-            closed = let(frames, lambda f: _with(
-                acc, open=F.expr(_STRINGS), n_open=F.lit(0), seconds=acc["seconds"] + f / K.FPS,
-                takes=F.array_append(acc["takes"], F.struct(F.array_join(acc["open"], " ").alias("text"),
-                                                            acc["n_open"].alias("n_words"), f.alias("frames")))))
-            return F.when(F.size(acc["open"]) > 0, closed).otherwise(acc)
-
-        def add(acc, u):
-            grown = _with(acc, open=F.array_append(acc["open"], u["text"]), n_open=acc["n_open"] + u["n"],
-                          said=F.array_union(acc["said"], u["stems"]),
-                          spoken=F.concat(acc["spoken"], F.array_join(u["tokens"], " "), F.lit(" ")))
-            if one_take:
-                return grown
-            return let(grown, lambda a: F.when(
-                (a["n_open"] >= lim["floor"]) & (a["n_open"] + lim["cut"] > lim["cap"]), close(a)).otherwise(a))
-
-        def place(acc, u):
-            if one_take:
-                return add(acc, u)
-            overflow = (F.size(acc["open"]) > 0) & (acc["n_open"] + u["n"] > lim["cap"])
-            after = let(close(acc), lambda a: F.when(full(a), _with(a, stop=F.lit(True))).otherwise(add(a, u)))
-            return F.when(overflow, after).otherwise(add(acc, u))
-
-        def unsaid(acc, u):
-            def pruned(n):
-                return let(X.prune_prefix(u["text"], n), lambda t: F.when(
-                    t.isNull(), _with(acc, warnings=_warned(acc, "repeats_literally", u["text"]))).otherwise(
-                    let(described(t), lambda v: place(_with(acc, warnings=_warned(acc, "pruned", t)), v))))
-            return let(X.repeated_prefix(u["tokens"], acc["spoken"]),
-                       lambda n: F.when(n > 0, pruned(n)).otherwise(place(acc, u)))
-
-        def step(acc, u):
-            decide = let(novelty(u["stems"], acc["said"]), lambda v: F.when(
-                v["skip"], _with(acc, warnings=_warned(acc, "already_said", u["text"]))).otherwise(unsaid(acc, u)))
-            return decide
-
-        def guarded(acc, text):
-            # sentences after the stop cost nothing: their words are only looked at when needed
-            return F.when(acc["stop"] | full(acc), acc).otherwise(let(described(text), lambda u: step(acc, u)))
-
-        def start(sents):
-            def unit(s, i):
-                return let(X.shorten(s, lim["cap"], lim["cut"]), lambda t: F.struct(
-                    F.when(t.isNull() & (i == 0), X.close_sentence(s)).otherwise(t).alias("text"),
-                    F.when(t.isNull(), F.when(i == 0, "headline_uncut").otherwise("dropped")).alias("kind"),
-                    s.alias("sentence")))
-            return F.transform(sents, unit)
-
-        def fold(units):
-            early = F.transform(F.filter(units, lambda u: u["kind"].isNotNull()),
-                                lambda u: F.struct(u["kind"].alias("kind"), u["sentence"].alias("detail")))
-            kept = F.transform(F.filter(units, lambda u: u["text"].isNotNull()), lambda u: u["text"])
-            folded = F.aggregate(kept, F.expr(_STATE), guarded,
-                                 lambda acc: F.when(full(acc), acc).otherwise(close(acc)))
-
-            def finish(acc):
-                rate = lambda t: t["n_words"] / (t["frames"] / K.FPS)
-                late = F.filter(F.transform(acc["takes"], lambda t: F.struct(
-                    N.rate_band(rate(t)).alias("kind"), t["text"].alias("detail"))), lambda w: w["kind"] != "ok")
-                return F.struct(acc["takes"].alias("takes"), acc["seconds"].alias("seconds"),
-                                F.concat(early, acc["warnings"], late).alias("warnings"))
-            return let(folded, finish)
-
-        first = F.slice(X.sentences(headline), 1, 1)
-        return let(let(F.concat(first, X.sentences(body)), start), fold)
-
-    return let(limits, build)
+    return F.struct(whole(K.CAPACITY_SLACK, 6).alias("cap"), whole(K.CAPACITY_FLOOR, 4).alias("floor"),
+                    whole(K.MIN_CUT_SHARE, 6).alias("cut"), X._c(target_seconds).cast("double").alias("target"),
+                    top_frames.cast("int").alias("frames"))
+
+
+def _said(texts: Column, lim: Column, max_units: int, one_take: bool) -> Column:
+    @F.arrow_udf(_PLAN)
+    def fold(documents: pa.Array, cap: pa.Array, floor: pa.Array, cut: pa.Array, target: pa.Array, top: pa.Array) -> pa.Array:
+        bounds = zip(*(c.to_pylist() for c in (cap, floor, cut, target, top)))
+        plans = (plain.say(d.as_py().split("\n")[1:], *b, max_units, one_take) for d, b in zip(documents, bounds))
+        return pa.array(plans, schema)
+    schema = pa.struct([("takes", pa.list_(pa.struct([("text", pa.string()), ("n_words", pa.int32()), ("frames", pa.int32())]))),
+                        ("seconds", pa.float64()), ("warnings", pa.list_(pa.struct([("kind", pa.string()), ("detail", pa.string())])))])
+    return fold(_lines(texts), *[lim[f] for f in ("cap", "floor", "cut", "target", "frames")])
+
+
+def _finished(units: Column, folded: Column) -> Column:
+    """The plan of a document: takes, seconds, and all warnings: of the cuts, of the fold, of the takes' rates."""
+    early = F.transform(F.filter(units, lambda u: u["kind"].isNotNull()),
+                        lambda u: F.struct(u["kind"].alias("kind"), u["sentence"].alias("detail")))
+    rate = lambda t: t["n_words"] / (t["frames"] / K.FPS)
+    late = F.filter(F.transform(folded["takes"], lambda t: F.struct(
+        N.rate_band(rate(t)).alias("kind"), t["text"].alias("detail"))), lambda w: w["kind"] != "ok")
+    return F.struct(folded["takes"].alias("takes"), folded["seconds"].alias("seconds"),
+                    F.concat(early, folded["warnings"], late).alias("warnings"))
+
+
+def _folded(df: DataFrame, sentences: str, lim: Column, max_units: int, one_take: bool) -> DataFrame:
+    """Adds `_lim`, `_units` (sentences, shortened where they do not fit) and `_f` (what is said of them)."""
+    def unit(s, i):
+        return let(X.shorten(s, F.col("_lim.cap"), F.col("_lim.cut")), lambda t: F.struct(
+            F.when(t.isNull() & (i == 0), X.close_sentence(s)).otherwise(t).alias("text"),
+            F.when(t.isNull(), F.when(i == 0, "headline_uncut").otherwise("dropped")).alias("kind"),
+            s.alias("sentence")))
+    shaped = X.once(X.once(df, _lim=lim), _units=F.transform(sentences, unit))
+    kept = F.transform(F.filter("_units", lambda u: u["text"].isNotNull()), lambda u: u["text"])
+    return shaped.withColumn("_f", _said(kept, F.col("_lim"), max_units, one_take))
+
+
+def planned(df: DataFrame, sentences: str, lim: Column, max_units: int = K.MAX_UNITS) -> DataFrame:
+    """Adds the plan of each row's sentences as struct(takes, seconds, warnings).
+
+    Sentences are shortened where they do not fit, skipped when already said, pruned when they
+    open with a run said before, and packed into takes whose length follows their words.  What
+    is said is chosen against a fixed reference length, so a longer take never changes the text.
+    """
+    return X.once(_folded(df, sentences, lim, max_units, False), plan=_finished(F.col("_units"), F.col("_f"))).drop("_lim", "_units", "_f")
+
+
+def _split_news(news: DataFrame, key: str, headline: str, body: str, clean: bool) -> DataFrame:
+    """(key, `_s`): the first sentence of the headline and all of the body."""
+    h, b = (X.strip_html(headline), X.strip_html(body)) if clean else (F.col(headline), F.col(body))
+    base = X.once(news, _h=h, _b=b).select(key, "_h", "_b")
+    return X.once(base, _s=F.concat(F.slice(X.sentences("_h"), 1, 1), X.sentences("_b"))).select(key, "_s")
 
 
 def plan_news(news: DataFrame, key: str = "doc_id", headline: str = "headline", body: str = "body",
               max_seconds: float = K.REFERENCE_TAKE_SECONDS, target_seconds: float = K.TARGET_SECONDS,
               max_units: int = K.MAX_UNITS, clean: bool = True) -> DataFrame:
     """One plan per document; `news_issues` names those that a caller may want to refuse."""
-    h, b = (X.strip_html(headline), X.strip_html(body)) if clean else (F.col(headline), F.col(body))
-    base = X.once(news, _h=h, _b=b).select(key, "_h", "_b")
-    return base.select(key, plan_column("_h", "_b", max_seconds, target_seconds, max_units).alias("plan"))
+    split = _split_news(news, key, headline, body, clean)
+    return planned(split, "_s", limits(max_seconds, target_seconds), max_units).select(key, "plan")
 
 
 def plan_one_take(news: DataFrame, key: str = "doc_id", headline: str = "headline", body: str = "body",
                   budget_mib: float = K.MIB_BUDGET) -> DataFrame:
-    """The whole document as one take: measure its words, choose the largest frame that fits, plan again."""
-    base = X.once(news, _h=X.strip_html(headline), _b=X.strip_html(body)).select(key, "_h", "_b")
+    """The whole document as one take: measure its words, choose the largest frame that fits, plan again.
+
+    Only a short document gets other limits for its words from its frame; where they stay, the first plan's text
+    stands and its frames are counted again.
+    """
     words_of = lambda plan: F.aggregate(plan["takes"], F.lit(0), lambda a, t: a + t["n_words"])
-    probe = X.once(base, _n=let(plan_column("_h", "_b", 60.0, 9999.0, 1, one_take=True), words_of))
-    sized = X.once(probe, format=N.one_take_format("_n", budget_mib))
+    probe = _folded(_split_news(news, key, headline, body, True), "_s", limits(60.0, 9999.0), 1, True)
+    sized = X.once(probe, format=N.one_take_format(words_of(F.col("_f")), budget_mib))
     seconds = F.col("format.frames") / K.FPS
-    return sized.select(key, "format", plan_column(
-        "_h", "_b", seconds, seconds, 1, max_frames=F.col("format.frames"), one_take=True).alias("plan"))
-
-
-def plan_units(plans: DataFrame, key: str = "doc_id") -> DataFrame:
+    sized = X.once(sized, _lim2=limits(seconds, seconds, F.col("format.frames")))
+    same = F.lit(True)
+    for f in ("cap", "floor", "cut"):
+        same = same & (F.col("_lim")[f] == F.col("_lim2")[f])
+    recount = F.transform("_f.takes", lambda t: F.struct(
+        t["text"].alias("text"), t["n_words"].alias("n_words"), N.frames_for_words(t["n_words"], F.col("format.frames")).alias("frames")))
+    first = X.once(sized, _same=same, _t=recount)
+    first = X.once(first, _first=F.struct(F.col("_t").alias("takes"), F.aggregate(
+        "_t", F.lit(0.0), lambda a, t: a + t["frames"] / K.FPS).alias("seconds"), F.col("_f.warnings").alias("warnings")))
+    first = X.once(first, _p1=_finished(F.col("_units"), F.col("_first")), _s2=F.when(F.col("_same"), F.slice("_s", 1, 0)).otherwise(F.col("_s")))
+    again = _folded(first.select(key, "format", "_same", "_p1", "_lim2", "_s2"), "_s2", F.col("_lim2"), 1, True)
+    return again.select(key, "format", F.when(F.col("_same"), F.col("_p1")).otherwise(_finished(F.col("_units"), F.col("_f"))).alias("plan"))
+
+
+def plan_units(plans: DataFrame, key: str = "doc_id", *more: str) -> DataFrame:
+    """One row per take, with `more` columns of its plan."""
     rate = F.rint(F.col("t.n_words") / (F.col("t.frames") / K.FPS) * 100) / 100
-    return plans.select(key, F.posexplode("plan.takes").alias("_p", "t")).select(
-        key, (F.col("_p") + 1).alias("unit_idx"), "t.text", "t.n_words", "t.frames", rate.alias("rate"))
+    return plans.select(key, F.posexplode("plan.takes").alias("_p", "t"), *more).select(
+        key, (F.col("_p") + 1).alias("unit_idx"), "t.text", "t.n_words", "t.frames", rate.alias("rate"), *[c.split(".")[-1] for c in more])
 
 
 def plan_warnings(plans: DataFrame, key: str = "doc_id") -> DataFrame:

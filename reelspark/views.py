@@ -12,19 +12,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-ROW_GROUP = 32 << 20
+TASK_BYTES = 4 << 20
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal rows round-robin over the cores when the files hold too few row groups to fill them.
+    """Deal rows round-robin into parts of `TASK_BYTES` of the files, and at least one for every core.
 
-    Text work is bound by computing, and a small file is one task however many cores there are.
-    Inputs that already give every core its own row groups are left as they are.
+    Text work is bound by computing: a file's row group, which a task reads whole, may be minutes of work, and
+    a small file is one task however many cores there are.  So tasks become more with the input, not longer.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
     files = df.groupBy("_metadata.file_path").agg(F.max("_metadata.file_size").alias("size"))
     total = files.agg(F.sum("size")).first()[0] or 0
-    return df.repartition(cores) if total < cores * ROW_GROUP else df
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_BYTES)))
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
