@@ -86,8 +86,11 @@ def squished_count(x) -> Column:
 
 def fold_accents(x) -> Column:
     """Lower case without diacritics."""
-    lowered = F.translate(F.lower(F.coalesce(_c(x), F.lit(""))), FOLD_FROM, FOLD_TO)
-    return F.regexp_replace(lowered, r"\p{Mn}+", "")
+    def fold(lowered):
+        # a text of as many bytes as letters has no diacritics
+        return F.when(F.octet_length(lowered) == F.length(lowered), lowered).otherwise(
+            F.regexp_replace(F.translate(lowered, FOLD_FROM, FOLD_TO), r"\p{Mn}+", ""))
+    return let(F.lower(F.coalesce(_c(x), F.lit(""))), fold)
 
 
 def tokens(x) -> Column:
@@ -96,10 +99,11 @@ def tokens(x) -> Column:
 
 def strip_html(x) -> Column:
     """Tags become blanks first and references are resolved after, so `&lt;b&gt;` stays text."""
-    t = F.regexp_replace(F.coalesce(_c(x), F.lit("")), r"(?is)<script[^>]*>.*?</script>", " ")
-    t = F.regexp_replace(t, r"(?is)<style[^>]*>.*?</style>", " ")
-    t = F.regexp_replace(t, r"(?s)<[^>]+>", " ")
-    return squish(let(t, entities.unescape))
+    def without_tags(raw):
+        t = F.regexp_replace(raw, r"(?is)<script[^>]*>.*?</script>", " ")
+        t = F.regexp_replace(t, r"(?is)<style[^>]*>.*?</style>", " ")
+        return F.when(F.contains(raw, F.lit("<")), F.regexp_replace(t, r"(?s)<[^>]+>", " ")).otherwise(raw)
+    return squish(let(let(F.coalesce(_c(x), F.lit("")), without_tags), entities.unescape))
 
 
 def sentences(x, abbreviations: str | None = K.ABBREVIATIONS, ends: str = ".!?…",
@@ -164,11 +168,12 @@ def has_verb(x) -> Column:
 
 
 def close_sentence(x) -> Column:
-    t = F.rtrim(_c(x), F.lit(" ,;:"))
-    return F.regexp_replace(t, r"([^.!?…])\z", "$1.")
+    return let(F.rtrim(_c(x), F.lit(" ,;:")), lambda t: F.when(
+        (t == "") | F.right(t, F.lit(1)).isin(*".!?…"), t).otherwise(F.concat(t, F.lit("."))))
 
 
 _MARKER = "^(" + "|".join(K.TAIL_MARKERS) + ") "
+_MARKER_STARTS = sorted({m.split()[0] for m in K.TAIL_MARKERS})
 
 
 def shorten(sentence, cap, minimum) -> Column:
@@ -185,7 +190,7 @@ def shorten(sentence, cap, minimum) -> Column:
         recent = F.slice(ws, F.greatest(n - 2, F.lit(1)), F.least(n, F.lit(3)))
         in_list = F.element_at(fd, n + 1).isin(list(K.LIST_MARKERS)) & (
             last.rlike("^[0-9.,%]+$") | F.exists(recent, lambda w: w.endswith(",")))
-        return after.rlike(_MARKER) & ~last.isin(K.FORBIDDEN_ENDINGS) & ~in_list
+        return F.element_at(fd, n + 1).isin(_MARKER_STARTS) & after.rlike(_MARKER) & ~last.isin(K.FORBIDDEN_ENDINGS) & ~in_list
 
     def cut(ws):
         folded = F.split(fold_accents(F.array_join(F.slice(ws, 1, cap + 3), " ")), " ")
@@ -200,8 +205,8 @@ def shorten(sentence, cap, minimum) -> Column:
         best = let(cuts, with_verb)
         return let(best, lambda n: F.when(n.isNotNull(), close_sentence(F.array_join(F.slice(ws, 1, n), " "))))
 
-    return let(words(sentence), lambda ws: F.when(
-        F.size(ws) <= cap, close_sentence(F.array_join(ws, " "))).otherwise(cut(ws)))
+    return let(squish(sentence), lambda t: F.when(
+        squished_count(t) <= cap, close_sentence(t)).otherwise(let(F.split(t, " "), cut)))
 
 
 def repeated_prefix(unit_tokens, said: Column, minimum: int = K.LITERAL_REPEAT_TOKENS) -> Column:
@@ -232,7 +237,7 @@ def prune_prefix(unit, n: Column) -> Column:
     def drop_while(ws, test):
         keep = F.filter(F.sequence(F.lit(1), F.size(ws)), lambda i: ~test(F.element_at(ws, i)))
         start = F.array_min(keep)
-        return F.when(F.size(ws) == 0, ws).when(start.isNull(), F.slice(ws, 1, 0)).otherwise(
+        return F.when(F.size(ws) == 0, ws).when(~test(ws[0]), ws).when(start.isNull(), F.slice(ws, 1, 0)).otherwise(
             F.slice(ws, start, F.size(ws)))
 
     def build(ws):
