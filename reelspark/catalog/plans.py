@@ -71,7 +71,7 @@ def script_takes(spark, d):
 
 @query("script_headers", _PARSE + "SELECT script_id, key, line_no, value FROM h")
 def script_headers(spark, d):
-    return C.parse(script_lines(spark, d))[0].select("script_id", "key", "line_no", "value")
+    return C.headers(script_lines(spark, d)).select("script_id", "key", "line_no", "value")
 
 
 @query("script_issues", _PARSE + """SELECT script_id, CAST(line_no AS INT) AS line_no, issue FROM (
@@ -100,7 +100,7 @@ def script_catalog(spark, d):
 def missing_headers(spark, d):
     """Of every order's script, those without any line included."""
     every = table(spark, d, "orders").select(F.col("o_orderkey").alias("script_id"))
-    return U.missing_headers(C.parse(script_lines(spark, d))[0], scripts=every)
+    return U.missing_headers(C.headers(script_lines(spark, d)), scripts=every)
 
 
 _RENDER = "rt AS (SELECT script_id, idx, 'Toma ' || idx || ' de ' || script_id AS content, take_type, CASE WHEN own_scene THEN NULL ELSE frames END AS frames FROM takes_v)"

@@ -6,7 +6,7 @@ lines; only those three need a shuffle, and none of them gathers a whole script
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
@@ -26,75 +26,99 @@ def split_lines(scripts: DataFrame, script: str = "script_id", raw: str = "raw")
 
 
 def classify(lines: DataFrame, script: str = "script_id") -> DataFrame:
-    """Kind and fields of every line that is neither blank nor a comment."""
+    """Kind and fields of every line that is neither blank nor a comment.
+
+    The fields of a take are split where they are needed; one that names frames may stand anywhere behind the content.
+    """
     rows = X.once(lines.select(script, "line_no", "line"), _t=X.strip_ws("line")).drop("line")
     t = F.col("_t")
     rows = rows.filter((t != "") & ~t.startswith("#"))
-    head = F.regexp_extract(t, K.HEADER_PATTERN, 1)
+    header, take = t.startswith("@"), t.startswith("TOMA|") | t.startswith("HABLA|")
     rows = X.once(
-        rows, f=F.transform(F.split(t, r"\|"), X.strip_ws), key=F.when(head != "", head),
-        value=F.when(head != "", F.trim(F.regexp_extract(t, K.HEADER_PATTERN, 2))),
-        kind=F.when(t.startswith("@"), "header").when(t.startswith("TOMA|") | t.startswith("HABLA|"), "take").otherwise("other"))
-    tail = F.slice("f", 3, 100)
-    rows = X.once(rows, named=F.filter(tail, lambda x: x.rlike(K.FRAMES_FIELD_PATTERN)),
-                  positional=F.filter(tail, lambda x: ~x.rlike(K.FRAMES_FIELD_PATTERN)))
-    n = F.size("f")
+        rows, kind=F.when(header, "header").when(take, "take").otherwise("other"), f=F.when(take, F.split(t, r"\|")),
+        key=F.when(header, F.nullif(F.regexp_extract(t, K.HEADER_PATTERN, 1), F.lit(""))),
+        value=F.when(header, F.trim(F.regexp_extract(t, K.HEADER_PATTERN, 2))), _nul=F.contains(t, F.lit("\0")),
+        _frames=F.contains(t, F.lit("frames="))).drop("_t")
     take = F.col("kind") == "take"
-    issue = (F.when(F.contains(t, F.lit("\0")), "nul_byte")
+    rows = X.once(rows, _tail=F.when(take, F.transform(F.slice("f", 3, 100), X.strip_ws)))
+    is_named = lambda x: x.rlike(K.FRAMES_FIELD_PATTERN)
+    rows = X.once(rows, named=F.when(F.col("_frames"), F.filter("_tail", is_named)),
+                  positional=F.when(F.col("_frames"), F.filter("_tail", lambda x: ~is_named(x))).otherwise(F.col("_tail")))
+    n = F.size("f")
+
+    def own(i):
+        return F.coalesce(F.get("positional", F.lit(i)), F.lit(""))
+    rows = X.once(
+        rows, record=F.get("f", F.lit(0)), content=X.strip_ws(F.get("f", F.lit(1))), raw_mode=own(0), own_type=own(1), own_scene=own(2),
+        own_ambience=own(3), own_frames=F.regexp_extract(F.get("named", F.lit(0)), K.FRAMES_FIELD_PATTERN, 1).try_cast("bigint"),
+        _n=n, _n_named=F.coalesce(F.size("named"), F.lit(0)), _n_positional=F.size("positional"))
+    issue = (F.when(F.col("_nul"), "nul_byte")
              .when((F.col("kind") == "header") & F.col("key").isNull(), "bad_header")
              .when(F.col("kind") == "other", "unexpected_line")
-             .when(take & ((n < 2) | (n > 7)), "field_count")
-             .when(take & (F.size("named") > 1), "repeated_frames")
-             .when(take & (F.size("positional") > 4), "too_many_positional")
-             .when(take & (F.get("f", F.lit(1)) == ""), "empty_content"))
-    return X.once(rows, issue=issue)
+             .when(take & ((F.col("_n") < 2) | (F.col("_n") > 7)), "field_count")
+             .when(take & (F.col("_n_named") > 1), "repeated_frames")
+             .when(take & (F.col("_n_positional") > 4), "too_many_positional")
+             .when(take & (F.col("content") == ""), "empty_content"))
+    return X.once(rows, issue=issue).select(script, "line_no", "kind", "key", "value", "record", "content", "raw_mode", "own_type",
+                                            "own_scene", "own_ambience", "own_frames", "issue")
+
+
+def headers(lines: DataFrame, script: str = "script_id") -> DataFrame:
+    """(script, key, line_no, value): the first line of each header; only header lines are looked at."""
+    rows = X.once(lines.select(script, "line_no", "line"), _t=X.strip_ws("line")).drop("line")
+    rows = rows.filter(F.col("_t").startswith("@") & ~F.contains("_t", F.lit("\0")))
+    rows = X.once(rows, key=F.regexp_extract("_t", K.HEADER_PATTERN, 1), value=F.trim(F.regexp_extract("_t", K.HEADER_PATTERN, 2)))
+    first = rows.filter("key != ''").groupBy(script, "key").agg(F.min(F.struct("line_no", "value")).alias("_first"))
+    return first.select(script, "key", "_first.line_no", "_first.value")
+
+
+def _with_heads(placed: DataFrame, lines: DataFrame, script: str, split: bool) -> DataFrame:
+    """Adds `_h`, the first line and value of each header of the script, to classified lines.
+
+    The lines of a script are beside each other already; where a script is cut into chunks, its headers are joined.
+    """
+    names = list(K.HEADER_KEYS)
+    if split:
+        first = headers(lines, script).groupBy(script).agg(F.struct(*[
+            F.max(F.when(F.col("key") == k, F.struct("line_no", "value"))).alias(k) for k in names]).alias("_h"))
+        return placed.join(first, script, "left")
+    whole = Window.partitionBy(script).orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    good = F.col("issue").isNull()
+    return placed.select("*", *[F.min(F.when(good & (F.col("key") == k), F.struct("line_no", "value"))).over(whole).alias(f"_h{i}")
+                                for i, k in enumerate(names)]).select(
+        *placed.columns, F.struct(*[F.col(f"_h{i}").alias(k) for i, k in enumerate(names)]).alias("_h"))
 
 
 def parse(lines: DataFrame, script: str = "script_id", max_rows: int | None = None
           ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Lines to (headers, takes, issues).
 
-    Lines are classified, folded into one row per script (its first header lines and its number of takes),
-    and meet that row again; everything else is a projection of either side.
+    Lines are classified once and stand beside their script's number of takes and first headers by windows over
+    one exchange; issues of a script are those of its first line.
     """
-    rows = classify(lines, script)
-    good = F.col("issue").isNull()
-    first = [F.struct(F.lit(k).alias("key"), F.min(F.when(good & (F.col("key") == k), F.col("line_no"))).alias("line_no"),
-                      F.min_by("value", F.when(good & (F.col("key") == k), F.col("line_no"))).alias("value")) for k in K.HEADER_KEYS]
-    scripts = rows.groupBy(script).agg(F.array(*first).alias("heads"), F.count_if(good & (F.col("kind") == "take")).alias("n_takes"))
-    headers = scripts.select(script, F.inline(F.filter("heads", lambda h: h["line_no"].isNotNull())))
-
     groups = OrderedGroups.plan(lines, [script], ["line_no"], max_rows)     # no script has more rows than lines, and lines are cheap to count
     is_take = F.when((F.col("kind") == "take") & F.col("issue").isNull(), 1).otherwise(0)
-    placed = groups.untag(groups.add(groups.tag(rows), running={"idx": is_take}))
-    placed = placed.join(scripts.select(script, F.map_from_entries(F.transform(
-        "heads", lambda h: F.struct(h["key"].alias("key"), F.struct(h["line_no"], h["value"])))).alias("_h")), script)
-    every = normalize_modes(resolve_types(_fields(placed, script), script))
-    takes = every.filter("kind = 'take' and issue is null").drop("kind", "issue", "header_issue")
-
+    placed = groups.untag(groups.add(groups.tag(classify(lines, script)), row_number="_at", running={"idx": is_take},
+                                     total={"n_takes": is_take}))
+    every = normalize_modes(resolve_types(_with_heads(placed, lines, script, groups.is_split), script))
+    takes = every.filter("kind = 'take' and issue is null").drop("kind", "issue", "key", "value", "_h", "_at", "n_takes")
+
+    # a struct without a match is null, and so is its line
+    first_line = F.coalesce(*[F.when(F.col("key") == k, F.col("_h")[k]["line_no"]) for k in K.HEADER_KEYS])
+    header_issue = (F.when(F.col("line_no") > first_line, "duplicate_header")
+                    .when((F.col("key") == "TIPO") & ~F.col("value").isin(list(K.TAKE_TYPES)), "unknown_default_type"))
     take_issues = F.array(
         F.when(~F.col("take_type").isin(list(K.TAKE_TYPES)), F.lit("unknown_type")), F.col("mode_issue"),
         F.when((F.col("own_frames") != 0) & ~ladder_valid("own_frames"), F.lit("frames_off_ladder")))
-    line_issues = F.when((F.col("kind") == "take") & F.col("issue").isNull(), take_issues).otherwise(F.array(F.coalesce("issue", "header_issue")))
-    of_lines = every.select(script, "line_no", F.explode(F.filter(line_issues, lambda x: x.isNotNull())).alias("issue"))
-    missing = F.transform(F.filter("heads", lambda h: h["key"].isin(list(K.REQUIRED_HEADERS)) & (F.coalesce(F.trim(h["value"]), F.lit("")) == "")),
-                          lambda h: F.concat(F.lit("missing_"), F.lower(h["key"])))
-    empty = F.when(F.col("n_takes") == 0, F.array(F.lit("no_takes"))).otherwise(F.expr("cast(array() as array<string>)"))
-    of_scripts = scripts.select(script, F.lit(None).cast("int").alias("line_no"), F.explode(F.concat(missing, empty)).alias("issue"))
-    return headers.select(script, "key", "line_no", "value"), takes, of_lines.unionByName(of_scripts)
-
-
-def _fields(rows: DataFrame, script: str) -> DataFrame:
-    """Named fields of take lines, in a row with the headers `_h` of their script; what is wrong with header lines."""
-    def own(i):
-        return F.coalesce(F.try_element_at("positional", F.lit(i)), F.lit(""))
-    header_issue = (F.when(F.col("line_no") > F.col("_h")[F.col("key")]["line_no"], "duplicate_header")
-                    .when((F.col("key") == "TIPO") & ~F.col("value").isin(list(K.TAKE_TYPES)), "unknown_default_type"))
-    return rows.select(
-        script, "line_no", F.element_at("f", 1).alias("record"), F.try_element_at("f", F.lit(2)).alias("content"),
-        own(1).alias("raw_mode"), own(2).alias("own_type"), own(3).alias("own_scene"), own(4).alias("own_ambience"),
-        F.nullif(F.regexp_extract(F.element_at(F.array_append("named", F.lit("")), 1), K.FRAMES_FIELD_PATTERN, 1),
-                 F.lit("")).try_cast("bigint").alias("own_frames"), "idx", "_h", "kind", "issue", header_issue.alias("header_issue"))
+    line_issues = F.when((F.col("kind") == "take") & F.col("issue").isNull(), take_issues).otherwise(F.array(F.coalesce("issue", header_issue)))
+    no_line = F.lit(None).cast("int")
+    of_script = [F.when(F.coalesce(F.trim(F.col("_h")[k]["value"]), F.lit("")) == "", F.lit(f"missing_{k.lower()}"))
+                 for k in K.REQUIRED_HEADERS] + [F.when(F.col("n_takes") == 0, F.lit("no_takes"))]
+    found = X.once(every, _own=line_issues, _all=F.when(F.col("_at") == 1, F.array(*of_script)))
+    issues = found.select(script, F.explode(F.concat(
+        F.transform("_own", lambda x: F.struct(F.col("line_no").alias("line_no"), x.alias("issue"))),
+        F.coalesce(F.transform("_all", lambda x: F.struct(no_line.alias("line_no"), x.alias("issue"))), F.expr("cast(array() as array<struct<line_no:int,issue:string>>)")))).alias("i"))
+    return headers(lines, script), takes, issues.select(script, "i.line_no", "i.issue").filter("issue is not null")
 
 
 def header_row(headers: DataFrame, script: str = "script_id") -> DataFrame:
@@ -110,28 +134,31 @@ def resolve_types(takes: DataFrame, script: str = "script_id") -> DataFrame:
     take_type = (F.when(F.col("own_type") != "", F.col("own_type")).when(F.col("record") == "HABLA", "habla")
                  .otherwise(F.coalesce(head("TIPO"), F.lit("habla"))))
     return takes.select(
-        *[c for c in takes.columns if c != "_h"], take_type.alias("take_type"),
+        *takes.columns, take_type.alias("take_type"),
         F.when(F.col("own_scene") != "", F.col("own_scene")).otherwise(head("ESCENA")).alias("scene"),
         F.when(F.col("own_ambience") != "", F.col("own_ambience")).otherwise(head("AMBIENTE")).alias("ambience"), head("MUSICA").alias("music"))
 
 
 def normalize_modes(takes: DataFrame, raw: str = "raw_mode", idx: str = "idx") -> DataFrame:
     """Canonical mode, the take it is anchored to, and a warning or an issue where one applies."""
-    mode0 = X.strip_ws(raw)
+    extra = takes.columns
+    mode0 = F.col("_mode")
+    legacy, chain, numeric, ref = (F.col(c) for c in ("_legacy", "_chain", "_numeric", "_ref"))
+    takes = X.once(takes, _mode=X.strip_ws(raw))
+    anchor = mode0.startswith("ancla:")
+    takes = X.once(takes, _legacy=anchor & mode0.rlike(K.LEGACY_ANCHOR_PATTERN), _chain=mode0 == "encadena",
+                   _numeric=anchor & mode0.rlike(K.NUMERIC_ANCHOR_PATTERN))
+    takes = X.once(takes, _ref=F.when(numeric, F.regexp_extract(mode0, K.NUMERIC_ANCHOR_PATTERN, 1).try_cast("bigint")))
     i = F.col(idx)
-    legacy = mode0.rlike(K.LEGACY_ANCHOR_PATTERN)
-    short = mode0.isin("", "ancla")
-    chain = mode0 == "encadena"
-    ref = F.when(mode0.rlike(K.NUMERIC_ANCHOR_PATTERN), F.regexp_extract(mode0, K.NUMERIC_ANCHOR_PATTERN, 1).try_cast("bigint"))
-    to_first = legacy | short | chain
+    to_first = legacy | chain | mode0.isin("", "ancla")
     source = F.when(i == 1, F.lit(None)).when(to_first, F.lit(1).cast("bigint")).when((ref >= 1) & (ref < i), ref)
     start = ((i == 1) & to_first) | (mode0 == "inicio")
-    issue = (F.when(start | to_first, F.lit(None)).when(mode0.rlike(K.NUMERIC_ANCHOR_PATTERN), F.when(ref.isNull(), "anchor_out_of_range")
+    issue = (F.when(start | to_first, F.lit(None)).when(numeric, F.when(ref.isNull(), "anchor_out_of_range")
              .when(ref < 1, "no_such_take").when(ref >= i, "points_forward")).otherwise("unknown_mode"))
     warning = F.when(legacy, "legacy_mode").when(chain, "chain_mode")
-    mode = F.when(start, "inicio").when(source.isNotNull(), F.concat(F.lit("ancla:"), source.cast("string")))
-    return takes.withColumn("mode", mode).withColumn("anchor_source", source) \
-                .withColumn("mode_warning", warning).withColumn("mode_issue", issue)
+    takes = X.once(takes, anchor_source=source, mode_warning=warning, mode_issue=issue, _start=start)
+    mode = F.when(F.col("_start"), "inicio").when(F.col("anchor_source").isNotNull(), F.concat(F.lit("ancla:"), F.col("anchor_source").cast("string")))
+    return takes.select(*extra, mode.alias("mode"), "anchor_source", "mode_warning", "mode_issue")
 
 
 def catalog(lines: DataFrame, script: str = "script_id") -> DataFrame:
