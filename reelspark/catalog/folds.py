@@ -89,7 +89,7 @@ def topic_search(spark, d):
 def ungrounded_units(spark, d):
     units = folds.packed_units(documents(spark, d), "doc_id", "text", 8.0)
     src = news(spark, d).filter("lang <> 'es'").select("doc_id", "headline", F.replace("body", F.lit("ation"), F.lit("atjon")).alias("body"))
-    return search.ungrounded(units, src, ["doc_id"], ["unit_idx"])
+    return search.ungrounded(units, src, ["doc_id"], ["unit_idx"], squished=True)
 
 
 @query("log_tail", r"""WITH l AS (SELECT conv_id, turn, generate_subscripts(a, 1) AS i, unnest(a) AS line FROM (SELECT conv_id, turn, string_split(text, chr(10)) AS a FROM conversations)),

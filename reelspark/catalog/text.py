@@ -105,7 +105,7 @@ SELECT doc_id, CAST(idx AS INT) AS idx, CAST(n AS INT) AS kept_words,
 @query("shorten", _SHORTEN_SQL)
 def shorten(spark, d):
     s = _docs(spark, d).select("doc_id", F.posexplode(X.sentences("text")).alias("pos", "sentence"))
-    s = s.select("doc_id", (F.col("pos") + 1).alias("idx"), X.shorten("sentence", 23, 9).alias("short"))
+    s = s.select("doc_id", (F.col("pos") + 1).alias("idx"), X.shorten("sentence", 23, 9, squished=True).alias("short"))
     return s.select("doc_id", "idx", X.word_count("short").alias("n"), "short").select(
         "doc_id", "idx", F.when(F.col("short").isNotNull(), F.col("n")).alias("kept_words"), "short")
 

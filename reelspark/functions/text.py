@@ -107,17 +107,17 @@ def strip_html(x) -> Column:
 
 
 def sentences(x, abbreviations: str | None = K.ABBREVIATIONS, ends: str = ".!?…",
-              strip_quotes: bool = True) -> Column:
+              strip_quotes: bool = True, squished: bool = False) -> Column:
     """Split into sentences; a dot that belongs to an abbreviation does not end one.
 
     The split looks back from each blank, so the text is scanned once.  Words inside a
-    sentence are separated by single blanks.
+    sentence are separated by single blanks; squished says that those of the text are already.
     """
     boundary = f" (?<=[{ends}] )"
     if abbreviations:
         boundary += rf"(?<!(?:^|{NOT_WORD})(?iu:{abbreviations})\. )"
     edge = QUOTES if strip_quotes else " "
-    return F.filter(F.transform(F.split(squish(x), boundary), lambda p: F.btrim(p, F.lit(edge))),
+    return F.filter(F.transform(F.split(_c(x) if squished else squish(x), boundary), lambda p: F.btrim(p, F.lit(edge))),
                     lambda p: p != "")
 
 
@@ -176,7 +176,7 @@ _MARKER = "^(" + "|".join(K.TAIL_MARKERS) + ") "
 _MARKER_STARTS = sorted({m.split()[0] for m in K.TAIL_MARKERS})
 
 
-def shorten(sentence, cap, minimum) -> Column:
+def shorten(sentence, cap, minimum, squished: bool = False) -> Column:
     """Longest prefix of at most `cap` words that still reads as a sentence, or null.
 
     A cut is legal before a marker word, needs a verb in front of it and must not
@@ -205,7 +205,7 @@ def shorten(sentence, cap, minimum) -> Column:
         best = let(cuts, with_verb)
         return let(best, lambda n: F.when(n.isNotNull(), close_sentence(F.array_join(F.slice(ws, 1, n), " "))))
 
-    return let(squish(sentence), lambda t: F.when(
+    return let(_c(sentence) if squished else squish(sentence), lambda t: F.when(
         squished_count(t) <= cap, close_sentence(t)).otherwise(let(F.split(t, " "), cut)))
 
 

@@ -26,30 +26,25 @@ def pack(sentences: Column, seconds: float) -> Column:
     Returns an array of struct(text, n_words).
     """
     cap = int(seconds * K.WORDS_PER_SECOND)
-    kind = "struct<done:array<struct<first:int,last:int,n_words:int>>,first:int,last:int,n:int>"
-    zero = F.lit(None).cast(kind)
-
-    def step(acc, i, n):
-        start = F.struct(F.expr("cast(array() as array<struct<first:int,last:int,n_words:int>>)").alias("done"),
-                         i.alias("first"), i.alias("last"), n.alias("n"))
-        closed = F.struct(F.array_append(acc["done"], F.struct(acc["first"].alias("first"), acc["last"].alias("last"),
-                                                              acc["n"].alias("n_words"))).alias("done"),
-                          i.alias("first"), i.alias("last"), n.alias("n"))
-        grown = F.struct(acc["done"].alias("done"), acc["first"].alias("first"), i.alias("last"),
-                         (acc["n"] + n).alias("n"))
-        return F.when(acc.isNull(), start.cast(kind)).when(acc["n"] + n > cap, closed.cast(kind)).otherwise(
-            grown.cast(kind))
+    zero = F.expr("named_struct('starts', cast(array() as array<int>), 'n', 0)")
+
+    def step(acc, x):
+        # the fold carries where units start; their texts are cut out afterwards
+        opens = (x["i"] == 1) | (acc["n"] + x["n"] > cap)
+        return F.struct(F.when(opens, F.array_append(acc["starts"], x["i"])).otherwise(acc["starts"]).alias("starts"),
+                        F.when(opens, x["n"]).otherwise(acc["n"] + x["n"]).alias("n"))
+
+    def cut(sents, ns, starts):
+        def unit(start, i):
+            size = F.coalesce(F.get(starts, i + 1), F.size(sents) + 1) - start
+            return let(size, lambda k: F.struct(
+                F.array_join(F.slice(sents, start, k), " ").alias("text"),
+                F.aggregate(F.slice(ns, start, k), F.lit(0), lambda a, n: a + n).alias("n_words")))
+        return F.transform(starts, unit)
 
     def fold(sents, ns):
-        spans = F.aggregate(
-            F.transform(ns, lambda n, i: F.struct(i.cast("int").alias("i"), n.alias("n"))), zero,
-            lambda acc, x: step(acc, x["i"], x["n"]),
-            lambda acc: F.when(acc.isNull(), F.expr("cast(array() as array<struct<first:int,last:int,n_words:int>>)"))
-            .otherwise(F.array_append(acc["done"], F.struct(acc["first"].alias("first"), acc["last"].alias("last"),
-                                                           acc["n"].alias("n_words")))))
-        return F.transform(spans, lambda s: F.struct(
-            F.array_join(F.slice(sents, s["first"] + 1, s["last"] - s["first"] + 1), " ").alias("text"),
-            s["n_words"].alias("n_words")))
+        numbered = F.transform(ns, lambda n, i: F.struct((i + 1).alias("i"), n.alias("n")))
+        return let(F.aggregate(numbered, zero, step, lambda acc: acc["starts"]), lambda starts: cut(sents, ns, starts))
 
     return let(sentences, lambda s: let(F.transform(s, X.squished_count), lambda n: fold(s, n)))
 
@@ -158,7 +153,7 @@ def _finished(units: Column, folded: Column) -> Column:
 def _folded(df: DataFrame, sentences: str, lim: Column, max_units: int, one_take: bool) -> DataFrame:
     """Adds `_lim`, `_units` (sentences, shortened where they do not fit) and `_f` (what is said of them)."""
     def unit(s, i):
-        return let(X.shorten(s, F.col("_lim.cap"), F.col("_lim.cut")), lambda t: F.struct(
+        return let(X.shorten(s, F.col("_lim.cap"), F.col("_lim.cut"), squished=True), lambda t: F.struct(
             F.when(t.isNull() & (i == 0), X.close_sentence(s)).otherwise(t).alias("text"),
             F.when(t.isNull(), F.when(i == 0, "headline_uncut").otherwise("dropped")).alias("kind"),
             s.alias("sentence")))
@@ -181,7 +176,7 @@ def _split_news(news: DataFrame, key: str, headline: str, body: str, clean: bool
     """(key, `_s`): the first sentence of the headline and all of the body."""
     h, b = (X.strip_html(headline), X.strip_html(body)) if clean else (F.col(headline), F.col(body))
     base = X.once(news, _h=h, _b=b).select(key, "_h", "_b")
-    return X.once(base, _s=F.concat(F.slice(X.sentences("_h"), 1, 1), X.sentences("_b"))).select(key, "_s")
+    return X.once(base, _s=F.concat(F.slice(X.sentences("_h", squished=clean), 1, 1), X.sentences("_b", squished=clean))).select(key, "_s")
 
 
 def plan_news(news: DataFrame, key: str = "doc_id", headline: str = "headline", body: str = "body",

@@ -108,16 +108,17 @@ def topic_search(topics: DataFrame, catalogue: DataFrame, topic_id: str = "topic
 
 
 def ungrounded(units: DataFrame, sources: DataFrame, keys: list[str], unit_cols: list[str], text: str = "text",
-               headline: str = "headline", body: str = "body") -> DataFrame:
+               headline: str = "headline", body: str = "body", squished: bool = False) -> DataFrame:
     """Sentences of a unit that are not literally in its own source, or whose source is missing.
 
-    Sentence by sentence: a unit may join sentences that were apart in the source.
+    Sentence by sentence: a unit may join sentences that were apart in the source.  squished says that
+    words in units are separated by single blanks, as in packed ones.
     """
     plain = F.lower(X.squish(F.concat_ws(" ", headline, body)))
     src = sources.select(*keys, plain.alias("_plain"))
-    sents = units.select(*keys, *unit_cols, F.explode(X.sentences(text)).alias("sentence"))
+    sents = units.select(*keys, *unit_cols, F.explode(X.sentences(text, squished=squished)).alias("sentence"))
     core = F.col("_core")
-    sents = X.once(sents, _core=F.rtrim(X.squish(F.lower("sentence")), F.lit(".!?…"))).filter(core != "")
+    sents = X.once(sents, _core=F.rtrim(F.lower("sentence"), F.lit(".!?…"))).filter(core != "")
     return (sents.join(src, keys, "left")
             .filter(F.col("_plain").isNull() | ~F.contains("_plain", core))
             .select(*keys, *unit_cols, "sentence",

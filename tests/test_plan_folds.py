@@ -82,3 +82,25 @@ def test_tasks_follow_the_files(spark, tmp_path, monkeypatch):
     assert 50 <= views.spread(df).rdd.getNumPartitions() <= 52
     monkeypatch.setattr(views, "TASK_BYTES", size * 2)
     assert views.spread(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_packing_by_hand(spark):
+    """Units start where the words no longer fit; texts are cut out of the sentences afterwards."""
+    r = random.Random(11)
+    docs = [[" ".join("w" * r.randint(1, 30)) for _ in range(r.randint(0, 40))] for _ in range(60)]
+    cap = int(8.0 * K.WORDS_PER_SECOND)
+    for row in spark.createDataFrame([(d,) for d in docs], "s array<string>").select("s", folds.pack(F.col("s"), 8.0).alias("u")).collect():
+        units = []
+        for s in row.s:
+            if units and units[-1][1] + len(s.split()) <= cap:
+                units[-1] = (units[-1][0] + " " + s, units[-1][1] + len(s.split()))
+            else:
+                units.append((s, len(s.split())))
+        assert [(u.text, u.n_words) for u in row.u] == units
+
+
+def test_squished_texts_are_split_alike(spark):
+    df = spark.createDataFrame([(t,) for t in odd_texts()], "t string").select(X.squish("t").alias("t"))
+    same = X.sentences("t") == X.sentences("t", squished=True)
+    short = lambda known: F.transform(X.sentences("t"), lambda s: X.shorten(s, 6, 3, squished=known))
+    assert df.filter(~same | ~short(True).eqNullSafe(short(False))).count() == 0
