@@ -12,6 +12,7 @@ So a hot item costs one entry per block, and no group is larger than a block's d
 """
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zlib
 from collections.abc import Iterator
@@ -98,3 +99,12 @@ def checkpointed(rows: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(rows.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
     return rows.checkpoint()
+
+
+def release() -> None:
+    """Gives what was freed back to the system: Arrow's pool and, where the C library can, its heap. A driver that once trained a
+    model would hold the arrays' pages for all later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

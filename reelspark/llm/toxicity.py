@@ -19,8 +19,9 @@ is; null labels and keys teach nothing; keys may be null or repeat; other column
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import fold, slices
+from .common import fold, release, slices
 from .decontaminate import words
 
 BUCKETS, DIM = 1 << 18, 4
@@ -40,6 +41,8 @@ POSITIVES, NEGATIVES, SAMPLE_BYTES = 1_000, 2_000, 16 << 20
 ROW_CHARS, PIECES = 1 << 16, 16
 #: Buckets seen in fewer texts of the sample stay at zero.
 LEAST_ROWS = 3
+#: Texts whose subwords training looks at together.
+BAG_TEXTS = 50
 #: Words that a task's cache may hold before it is emptied.
 CACHE_WORDS = 100_000
 
@@ -56,28 +59,36 @@ def starts(n: int) -> np.ndarray:
     return np.arange(0, max(n - WINDOW // 2, 1), WINDOW // 2) if n else np.zeros(0, np.int64)
 
 
-def fit(texts: list[str], label: np.ndarray, buckets: int, dim: int = DIM, mean_rounds: int = 12, top_rounds: int = 60,
+def fit(texts: Iterable[str], label: np.ndarray, buckets: int, dim: int = DIM, mean_rounds: int = 12, top_rounds: int = 60,
         rate: float = 1.0) -> tuple[np.ndarray, float]:
-    """Slope of every bucket (its embedding through the layer) and intercept, for the second class against the first."""
+    """Slope of every bucket (its embedding through the layer) and intercept, for the second class against the first.
+
+    Texts are read once, one at a time; few and plain arrays stand for them, as the driver keeps what many small ones leave behind."""
     ids: dict[bytes, int] = {}
-    coded = [np.fromiter((ids.setdefault(w, len(ids)) for w in words(t)), np.int32) for t in texts]
-    flat, texts = np.concatenate(coded) if coded else np.zeros(0, np.int32), coded
-    parts = [np.array(subwords(w, buckets), np.int32) for w in ids]
-    word_ends = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-    places = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-    del parts, ids
-    text_of = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-    pairs = np.unique(flat.astype(np.int64) * len(texts) + text_of)                          # in how many texts a bucket stands, by its words
-    per_word = np.bincount(pairs // len(texts), minlength=len(word_ends) - 1)
+    coded, ends = array("i"), array("q", [0])
+    for t in texts:
+        coded.extend(ids.setdefault(w, len(ids)) for w in words(t))
+        ends.append(len(coded))
+    flat, text_ends, n_texts = np.frombuffer(coded, np.int32), np.frombuffer(ends, np.int64), len(ends) - 1
+    coded, ends = array("i"), array("q", [0])
+    for w in ids:
+        coded.extend(subwords(w, buckets))
+        ends.append(len(coded))
+    places, word_ends = np.frombuffer(coded, np.int32), np.frombuffer(ends, np.int64)
+    del ids, coded, ends
+    pairs = flat.astype(np.int64) * n_texts
+    pairs += np.repeat(np.arange(n_texts, dtype=np.int32), np.diff(text_ends))
+    pairs.sort()                                                             # in how many texts a bucket stands, by its words
+    per_word = np.bincount(pairs[np.diff(pairs, prepend=-1) != 0] // max(n_texts, 1), minlength=len(word_ends) - 1)
     del pairs
     rows_of = np.bincount(places, weights=np.repeat(per_word, np.diff(word_ends)), minlength=buckets)
     live = rows_of >= LEAST_ROWS
-    sizes = np.diff(word_ends)[flat]
-    size_sum = np.concatenate([[0], np.cumsum(sizes)])
-    text_ends = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-    first = [starts(len(t)) + at for t, at in zip(texts, text_ends)]
-    owner = np.repeat(np.arange(len(texts)), [len(f) for f in first])
+    size_sum = np.zeros(len(flat) + 1, np.int64)
+    np.cumsum(np.diff(word_ends).astype(np.int32)[flat], out=size_sum[1:])
+    first = [starts(n) + at for n, at in zip(np.diff(text_ends).tolist(), text_ends.tolist())]
+    owner = np.repeat(np.arange(n_texts), [len(f) for f in first])
     begin = np.concatenate(first) if first else np.zeros(0, np.int64)
+    del first
     end = np.minimum(begin + WINDOW, text_ends[owner + 1])
 
     rng = np.random.default_rng(0)
@@ -96,44 +107,60 @@ def fit(texts: list[str], label: np.ndarray, buckets: int, dim: int = DIM, mean_
         at = np.repeat(word_ends[word] - np.concatenate([[0], np.cumsum(length)[:-1]]), length) + np.arange(length.sum())
         return places[at], np.repeat(of, length), np.maximum(size_sum[b] - size_sum[a], 1)
 
-    bags = None
+    def bags() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Live buckets of whole texts, text by text, their shares, and where each text's end. Room for every subword is
+        reserved and only used as far as buckets differ."""
+        kind = np.uint16 if live.sum() <= 1 << 16 else np.int32
+        rank, room = np.cumsum(live) - 1, int(size_sum[-1])
+        held, shares, ends, at = np.empty(room, kind), np.empty(room, np.float32), np.zeros(n_texts + 1, np.int64), 0
+        for low in range(0, n_texts, BAG_TEXTS):
+            own = text_ends[low:low + BAG_TEXTS + 1]
+            place, of, total = spread(own[:-1], own[1:])
+            pair, n = np.unique(of.astype(np.int64) * buckets + place, return_counts=True)
+            keep = live[pair % buckets]
+            pair, n = pair[keep], n[keep]
+            held[at:at + len(pair)], shares[at:at + len(pair)] = rank[pair % buckets], n / total[pair // buckets]
+            ends[low + 1:low + len(own)] = at + np.cumsum(np.bincount(pair // buckets, minlength=len(own) - 1))
+            at += len(pair)
+        return held, shares, ends
+
+    def whole(held: np.ndarray, shares: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Buckets, texts and shares of whole texts, a few texts at a time."""
+        bucket = np.flatnonzero(live)
+        for low in range(0, n_texts, BAG_TEXTS):
+            own = ends[low:low + BAG_TEXTS + 1]
+            of = np.repeat(np.arange(low, low + len(own) - 1), np.diff(own))
+            yield bucket[held[own[0]:own[-1]]], of, shares[own[0]:own[-1]]
+
+    def highest() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Buckets, texts and shares of every text's highest window, some windows at a time."""
+        for some in np.array_split(top, len(top) // 250 + 1):
+            place, of, total = spread(begin[some], end[some])
+            yield place, owner[some][of], (1 / total).astype(np.float32)[of]
+
+    kept = bags() if mean_rounds else None
     for turn in range(mean_rounds + top_rounds):
-        if turn < mean_rounds:
-            if bags is None:            # whole texts, as shares of distinct live buckets, a few texts at a time
-                made = []
-                for low in range(0, len(texts), 50):
-                    ends = text_ends[low:low + 51]
-                    place, of, total = spread(ends[:-1], ends[1:])
-                    pair, n = np.unique(of.astype(np.int64) * buckets + place, return_counts=True)
-                    keep = live[pair % buckets]
-                    pair, n = pair[keep], n[keep]
-                    made.append(((pair % buckets).astype(np.int32), (pair // buckets + low).astype(np.int32),
-                                 (n / total[pair // buckets]).astype(np.float32)))
-                bags = made
-            parts = bags
-        else:
-            bags = parts = None
+        if turn >= mean_rounds:
+            kept = None
             slope = table @ (layer[:, 1] - layer[:, 0])
             word_sum = np.add.reduceat(slope[places], word_ends[:-1])
-            running = np.concatenate([[0], np.cumsum(word_sum[flat], dtype=np.float64)])
+            running = np.zeros(len(flat) + 1)
+            np.cumsum(word_sum[flat], dtype=np.float64, out=running[1:])
             value = (running[end] - running[begin]) / np.maximum(size_sum[end] - size_sum[begin], 1)
+            del running
             best = np.lexsort((-np.arange(len(value)), value, owner))
             top = best[np.append(np.flatnonzero(np.diff(owner[best])), len(best) - 1)] if len(best) else best
-            parts = []
-            for some in np.array_split(top, len(top) // 250 + 1):
-                place, of, total = spread(begin[some], end[some])
-                parts.append((place, owner[some].astype(np.int32)[of], (1 / total).astype(np.float32)[of]))
-        mean = np.zeros((len(texts), dim))
-        for place, of, share in parts:
+        mean = np.zeros((n_texts, dim))
+        for place, of, share in whole(*kept) if kept else highest():
             for d in range(dim):
-                mean[:, d] += np.bincount(of, weights=table[place, d] * share, minlength=len(texts))
+                mean[:, d] += np.bincount(of, weights=table[place, d] * share, minlength=n_texts)
         mean = mean.astype(np.float32)
         logits = mean @ layer + shift
         p = np.exp(logits - logits.max(1, keepdims=True))
         wrong = (p / p.sum(1, keepdims=True) - target) * weight
         back = wrong @ layer.T
         push = np.zeros((buckets, dim), np.float32)
-        for place, of, share in parts:
+        for place, of, share in whole(*kept) if kept else highest():
             for d in range(dim):
                 push[:, d] += np.bincount(place, weights=back[of, d] * share, minlength=buckets)
         grads = {"layer": mean.T @ wrong, "shift": wrong.sum(0), "table": push * live[:, None]}
@@ -205,8 +232,10 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
                 .filter(F.col("so_far") <= SAMPLE_BYTES * n // (positives + negatives)).select("label", "text"))
     rows = sample(1, positives).unionByName(sample(0, negatives)).toArrow()
     label_of = rows.column("label").to_numpy().astype(int)
-    slope, intercept = (fit(rows.column("text").to_pylist(), label_of, buckets) if len(set(label_of)) == 2
+    slope, intercept = (fit((t.as_py() for t in rows.column("text")), label_of, buckets) if len(set(label_of)) == 2
                         else (np.zeros(buckets, np.float32), 0.0))
+    del rows
+    release()
     return Model(slope, intercept + np.log(counts[1] / counts[0]), counts[1] / (counts[0] + counts[1]))      # trained as if both were as frequent
 
 
