@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import deal, pack, partitions, unpack
+from .common import deal, pack, partitions, release, unpack
 
 #: Fixed value: how byte-level tokenizers of this family split a text.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -111,7 +111,7 @@ def encode(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str
                     pa.array([-1, *(i for i, x in enumerate(dealt) if len(x))], pa.int32()),
                     pa.array([blk] * len(data), pa.binary()), pa.array(data, pa.binary())], names=["shard", "blk", "data"])
             del every
-            pa.default_memory_pool().release_unused()
+            release()
 
     def encode_words(table: pa.Table) -> pa.Table:
         tok = _tokenizer(definition)
@@ -141,7 +141,7 @@ def encode(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str
             at = bounds[np.concatenate([[0], np.cumsum(whole["n"].to_numpy(), dtype=np.int64)])]
             ids = pa.ListArray.from_arrays(pa.array(at, pa.int32()), per_word.take(whole["places"]).flatten())
             out.append(pa.table({"key": whole["keys"], "ids": ids}))
-        pa.default_memory_pool().release_unused()
+        release()
         return pa.concat_tables(out)
 
     kind = rows.schema["key"].dataType.simpleString()
@@ -186,6 +186,6 @@ def decode(coded: DataFrame, tokenizer_path: str, ids: str = "ids", to: str = "d
                 joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), table.take(pa.array(place))), b"")
                 out = pa.array([x.decode("utf-8", "replace") for x in joined.to_pylist()], pa.string())
                 yield pa.RecordBatch.from_arrays([*batch.columns, out], names=[*batch.schema.names, to])
-            pa.default_memory_pool().release_unused()
+            release()
 
     return coded.mapInArrow(run, schema)

@@ -86,6 +86,7 @@ def slices(batch: pa.RecordBatch, text: int, size: int = 1 << 20) -> Iterator[pa
     cuts = (np.flatnonzero(np.diff(total // size)) + 1).tolist()
     for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
         yield batch.slice(a, b - a)
+    release()
 
 
 def texts(values: pa.Array) -> list[str]:
@@ -102,8 +103,8 @@ def checkpointed(rows: DataFrame) -> DataFrame:
 
 
 def release() -> None:
-    """Gives what was freed back to the system: Arrow's pool and, where the C library can, its heap. A driver that once trained a
-    model would hold the arrays' pages for all later stages."""
+    """Gives what was freed back to the system: Arrow's pool and, where the C library can, its heap. Else a driver
+    that trained a model, and a worker that served a stage, hold the pages of its arrays through all later stages."""
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:
