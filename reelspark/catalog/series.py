@@ -160,7 +160,7 @@ def _shots(spark, d):
 def chain_links(spark, d):
     links = R.chain_links(_shots(spark, d), ["clip_id"], ["shot"], zero_is_missing=False)
     return links.select("clip_id", "from_shot", "to_shot", "verdict",
-                        *[F.round(c, 6).alias(c) for c in ("excess_pct", "edge_jump_pct", "entropy_jump_pct")])
+                        *[N.round_scaled(c, 6).alias(c) for c in ("excess_pct", "edge_jump_pct", "entropy_jump_pct")])
 
 
 @query("chain_summary", "WITH " + _SHOTS + """, w AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY clip_id ORDER BY excess_pct DESC, from_shot) AS k
@@ -171,7 +171,7 @@ def chain_links(spark, d):
 def chain_summary(spark, d):
     shots = _shots(spark, d)
     out = R.chain_summary(R.chain_links(shots, ["clip_id"], ["shot"], zero_is_missing=False), shots, ["clip_id"])
-    return out.withColumn("mean_score", F.round("mean_score", 6)).withColumn("worst_excess", F.round("worst_excess", 6))
+    return out.withColumn("mean_score", N.round_scaled("mean_score", 6)).withColumn("worst_excess", N.round_scaled("worst_excess", 6))
 
 
 @query("noise_grade", """SELECT user_id, event_type, round(db, 6) AS rms_db, round(greatest(0, least(10, (-22 - db) / 10 * 10)), 6) AS grade, db <= -30 AS clean

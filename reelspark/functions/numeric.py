@@ -14,6 +14,14 @@ def clamp(x, low=0.0, high=1.0) -> Column:
     return F.greatest(F.lit(low), F.least(F.lit(high), _c(x)))
 
 
+def round_scaled(x, places: int) -> Column:
+    """x rounded as SQL's round of a floating-point number: scaled, rounded half away from zero, scaled back.
+
+    Spark's own round takes the shortest decimal that names the number, so beside a tie the two may differ by one unit."""
+    scale = 10.0 ** places
+    return F.round(_c(x) * scale) / scale
+
+
 # --- frame ladder -------------------------------------------------------------
 def ladder_valid(frames) -> Column:
     f = _c(frames)
