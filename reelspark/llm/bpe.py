@@ -4,9 +4,10 @@ Texts are split into the tokenizer's words in Spark. A task turns blocks of rows
 lists each block's distinct words. Every distinct word of the corpus is encoded once, in the shard that
 its hash names, and its ids are joined back to the words' positions. Decoding joins ids to pieces.
 
-A block is named by its content, and the numbers and the lists are read in two passes; so the input should
-give the same rows in the same order when read again, as tables and checkpoints do (a lost task of another
-input would find no answers and fail rather than give wrong ids).
+Numbers and lists go through one exchange, by the block or the shard that they are for; both readers use it, so texts
+are split once. A block is named by its content; so the input should give the same rows in the same order when
+read again, as tables and checkpoints do (a lost task of another input would find no answers and fail rather than
+give wrong ids).
 
 Defined cases: a null or empty text has no ids and decodes to the empty text; keys may be null or
 repeat, each row gives one row; other columns are not read. Special tokens inside a text are matched as
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import deal, pack, partitions, release, unpack
+from .common import deal, pack, partitions, plain_values, release, unpack
 
 #: Fixed value: how byte-level tokenizers of this family split a text.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -93,7 +94,7 @@ def encode(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str
         return pa.array(out, pa.list_(pa.string()))
 
     def list_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Per block of rows: its keys and word numbers under shard -1, and its distinct words by shard."""
+        """Per block of rows: its keys and word numbers under shard -1, and its distinct words by shard; to: whom it is for."""
         for batch in batches:
             every = split(batch)
             ends = np.concatenate([[0], np.cumsum(every.value_lengths().fill_null(0).to_numpy())])
@@ -107,28 +108,36 @@ def encode(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str
                              places=place.take(coded.indices))
                 data = [whole, *(pack(words=x) for x in dealt if len(x))]
                 blk = hashlib.blake2b(b"".join(hashlib.blake2b(x).digest() for x in data), digest_size=16).digest()
+                asked = [i for i, x in enumerate(dealt) if len(x)]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([-1, *(i for i, x in enumerate(dealt) if len(x))], pa.int32()),
-                    pa.array([blk] * len(data), pa.binary()), pa.array(data, pa.binary())], names=["shard", "blk", "data"])
+                    pa.array([blk.hex(), *map(str, asked)], pa.string()), pa.array([-1, *asked], pa.int32()),
+                    pa.array([blk] * len(data), pa.binary()), pa.array(data, pa.binary())], names=["to", "shard", "blk", "data"])
             del every
             release()
 
     def encode_words(table: pa.Table) -> pa.Table:
+        """Answers of a shard to the blocks that ask it; none to what is for a block."""
+        if table.column("shard")[0].as_py() < 0:
+            return pa.table({"to": pa.array([], pa.string()), "shard": pa.array([], pa.int32()), "data": pa.array([], pa.binary())})
         tok = _tokenizer(definition)
         asked = [unpack(x)["words"] for x in table.column("data").to_pylist()]
         every = pc.unique(pa.chunked_array(asked, pa.binary()))
         coded = []
         for at in range(0, len(every), 10_000):
-            batch = tok.encode_batch(every.slice(at, 10_000).cast(pa.string()).to_pylist(), add_special_tokens=False)
+            batch = tok.encode_batch(plain_values(every.slice(at, 10_000).cast(pa.string())), add_special_tokens=False)
             coded.append(pa.array([x.ids for x in batch], pa.list_(pa.int32())))
         ids = pa.chunked_array(coded, pa.list_(pa.int32())).combine_chunks()
         answers = []
         for x in asked:
             own = ids.take(pc.index_in(x, value_set=every))
             answers.append(pack(n=own.value_lengths(), ids=own.flatten()))
-        return pa.table({"blk": table.column("blk"), "shard": table.column("shard"), "data": pa.array(answers, pa.binary())})
+        return pa.table({"to": pa.array([x.hex() for x in table.column("blk").to_pylist()], pa.string()),
+                         "shard": table.column("shard"), "data": pa.array(answers, pa.binary())})
 
     def join_ids(left: pa.Table, right: pa.Table) -> pa.Table:
+        """Ids of a block's rows; none for what is for a shard."""
+        if left.column("shard")[0].as_py() >= 0:
+            return pa.table({"key": pa.array([], key_type), "ids": pa.array([], pa.list_(pa.int32()))})
         answers = [unpack(d) for _, d in sorted(dict(zip(right.column("shard").to_pylist(), right.column("data").to_pylist())).items())]
         length = np.concatenate([a["n"].to_numpy() for a in answers]) if answers else np.zeros(0, np.int64)
         flat = pa.chunked_array([a["ids"] for a in answers], pa.int32()).combine_chunks()
@@ -144,10 +153,10 @@ def encode(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str
         release()
         return pa.concat_tables(out)
 
-    kind = rows.schema["key"].dataType.simpleString()
-    listed = rows.mapInArrow(list_words, "shard int, blk binary, data binary")
-    table = (listed.filter("shard >= 0").groupBy("shard").applyInArrow(encode_words, "blk binary, shard int, data binary"))
-    return (listed.filter("shard < 0").groupBy("blk").cogroup(table.groupBy("blk"))
+    listed = rows.mapInArrow(list_words, "to string, shard int, blk binary, data binary")
+    table = listed.groupBy("to").applyInArrow(encode_words, "to string, shard int, data binary")
+    kind, key_type = rows.schema["key"].dataType.simpleString(), rows.select("key").limit(0).toArrow().schema.field("key").type
+    return (listed.groupBy("to").cogroup(table.groupBy("to"))
             .applyInArrow(join_ids, f"key {kind}, ids array<int>").withColumnRenamed("key", key))
 
 

@@ -47,11 +47,16 @@ def in_blocks(rows: DataFrame, by: tuple[str, ...] = ("key", "text"), per_partit
             .repartition(n, "blk"))
 
 
+def plain_values(values: pa.Array) -> list:
+    """Many words as Python values, by way of numpy: to_pylist makes an Arrow scalar of each one first."""
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
 def deal(items: pa.Array, shards: int) -> list[pa.Array]:
     """Distinct items (binary) by shard, each in byte order: the same list whenever the same block is dealt."""
     seen = pc.unique(items).drop_null()
     seen = seen.take(pc.sort_indices(seen))
-    at = np.fromiter((zlib.crc32(x) % shards for x in seen.to_pylist()), np.int64, len(seen))
+    at = np.fromiter(map(zlib.crc32, plain_values(seen)), np.int64, len(seen)) % shards
     order = np.argsort(at, kind="stable")
     ends = np.searchsorted(at[order], np.arange(shards + 1))
     return [seen.take(pa.array(order[a:b])) for a, b in zip(ends[:-1], ends[1:])]

@@ -13,8 +13,10 @@ def components(edges: DataFrame) -> DataFrame:
     A round takes the smallest label among a node and its neighbours and then that label's own label: one
     join and map-side minimum by node, one join by label. Rounds grow with the logarithm of the longest
     chain; star-shaped input needs two or three. The lineage is cut in the shared checkpoint folder."""
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct()
-    pairs = checkpointed(both.unionByName(both.select("a", F.col("a").alias("b")).distinct()))
+    def pair(a: str, b: str):
+        return F.struct(F.col(a).alias("a"), F.col(b).alias("b"))
+    # Each edge both ways and each of its nodes with itself, from one pass: edges may be costly to make again.
+    pairs = checkpointed(edges.filter("a <> b").select(F.inline(F.array(pair("a", "b"), pair("b", "a"), pair("a", "a"), pair("b", "b")))).distinct())
     labels = pairs.groupBy("a").agg(F.min("b").alias("label")).withColumnRenamed("a", "node")
     labels = checkpointed(labels)
     while True:

@@ -18,6 +18,7 @@ group (a group of null keys only has a null component_id); repeated rows are cop
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,9 +48,7 @@ def shingles(texts: list[str | None], size: int = WORDS) -> list[np.ndarray]:
     """Sorted distinct 64-bit shingle hashes of every text."""
     from xxhash import xxh3_64_intdigest
     split = [t.encode("utf-8", "surrogatepass").lower().split() if t else [] for t in texts]
-    coded = pa.array([w for t in split for w in t], pa.binary()).dictionary_encode()
-    known = np.fromiter((xxh3_64_intdigest(w) for w in coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
-    flat = known[coded.indices.to_numpy()] if len(coded) else np.zeros(0, np.uint64)
+    flat = np.fromiter(map(xxh3_64_intdigest, chain.from_iterable(split)), np.uint64)
     out, at = [], 0
     for t in split:
         own = flat[at:at + len(t)]
