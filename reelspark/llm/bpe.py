@@ -131,6 +131,8 @@ def encode(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str
         for x in asked:
             own = ids.take(pc.index_in(x, value_set=every))
             answers.append(pack(n=own.value_lengths(), ids=own.flatten()))
+        del tok, coded, ids, every
+        release()
         return pa.table({"to": pa.array([x.hex() for x in table.column("blk").to_pylist()], pa.string()),
                          "shard": table.column("shard"), "data": pa.array(answers, pa.binary())})
 

@@ -47,7 +47,7 @@ LEAST_ROWS = 3
 #: Texts whose subwords training looks at together.
 BAG_TEXTS = 50
 #: Words that a task keeps the sums of, besides those of the texts at hand; longer words are never kept.
-CACHE_WORDS, LONG_WORD = 1 << 18, 64
+CACHE_WORDS, LONG_WORD = 1 << 17, 64
 
 
 def cuts(length: int, low: int, high: int) -> Iterator[slice]:
@@ -288,6 +288,8 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
             scores = own.scores(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores, pa.float64())],
                                              names=["key", "text", "score"])
+        own.known.clear()
+        release()
     return (docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, text string, score double")
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
             .withColumnRenamed("key", key).withColumnRenamed("text", text))
@@ -301,4 +303,6 @@ def select_clean(docs: DataFrame, model: Model, text: str = "text") -> DataFrame
         own = Model(*parts)
         for batch in (part for whole in batches for part in slices(whole, at)):
             yield batch.filter(pc.less(pa.array(own.scores(batch.column(at).to_pylist()), pa.float64()), 0.5))
+        own.known.clear()
+        release()
     return docs.mapInArrow(run, docs.schema)
